@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest
+from . import ingest, service
 from .oracle import ORACLE
 
 QUERIES = {
@@ -17,6 +17,27 @@ QUERIES = {
     "hotels_merge": ingest.hotels_merge,
     "reviews_merge": ingest.reviews_merge,
     "store_counters": ingest.store_counters,
+    "file_admission": service.file_admission,
+    "multi_file_results": service.multi_file_results,
+    "job_ids": service.job_ids,
+    "ingest_gate": service.ingest_gate,
+    "ledger_transition": service.ledger_transition,
+    "job_status": service.job_status,
+    "run_summary": service.run_summary,
+    "jobs_by_status": service.jobs_by_status,
+    "jobs_page": service.jobs_page,
+    "point_lookup": service.point_lookup,
+    "review_lookup": service.review_lookup,
+    "newest_reviews_by_hotel": service.newest_reviews_by_hotel,
+    "newest_reviews_by_platform": service.newest_reviews_by_platform,
+    "hotels_by_review_count": service.hotels_by_review_count,
+    "generic_page": service.generic_page,
+    "table_counts": service.table_counts,
+    "review_filters": service.review_filters,
+    "hotel_filters": service.hotel_filters,
+    "reviews_with_hotel": service.reviews_with_hotel,
+    "reviews_with_job": service.reviews_with_job,
+    "reviewers_dim": service.reviewers_dim,
 }
 
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}

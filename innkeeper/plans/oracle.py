@@ -73,9 +73,9 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["ingest_file_counts"] = _with("""
 SELECT file,
-       COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS total_records,
-       SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS valid_records,
-       SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS invalid_records
+       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+       CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
+       CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records
 FROM val GROUP BY file""")
 
 ORACLE["valid_records"] = _with("""
@@ -88,10 +88,10 @@ FROM val WHERE is_valid""")
 
 ORACLE["valid_no_rules"] = _with("""
 SELECT file,
-       COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS total_records,
-       SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS valid_records,
-       SUM(CASE WHEN parsed THEN 0 ELSE 1 END) AS invalid_records,
-       SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS collected_records
+       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+       CAST(SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
+       CAST(SUM(CASE WHEN parsed THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records,
+       CAST(SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS BIGINT) AS collected_records
 FROM val GROUP BY file""")
 
 ORACLE["rejects"] = _with(f"""
@@ -125,10 +125,10 @@ FROM val WHERE parsed""")
 
 ORACLE["strict_policy_counts"] = _with("""
 SELECT file,
-       COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS total_records,
-       SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS valid_records,
-       SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS invalid_records,
-       SUM(CASE WHEN parsed AND NOT nested THEN 1 ELSE 0 END) AS transform_errors
+       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+       CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
+       CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records,
+       CAST(SUM(CASE WHEN parsed AND NOT nested THEN 1 ELSE 0 END) AS BIGINT) AS transform_errors
 FROM (
   SELECT *, parsed AND nested
             AND NOT ((rating_kind = 'num' AND (rating_num < 0 OR rating_num > 10)) OR e_hotel OR e_platform) AS ok
@@ -186,3 +186,184 @@ UNION ALL SELECT 'hotels_upserted', CAST(COUNT(*) AS BIGINT) FROM hrows
 UNION ALL SELECT 'review_rows', CAST(COUNT(*) AS BIGINT) FROM rrows
 UNION ALL SELECT 'reviews_rejected', CAST(COUNT(*) FILTER (WHERE NOT storable) AS BIGINT) FROM rrows
 UNION ALL SELECT 'reviews_inserted', CAST(COUNT(*) AS BIGINT) FROM firsts""")
+
+
+# ---------------------------------------------------------------------------
+# Stored tables of one load, job ledger from orders
+# ---------------------------------------------------------------------------
+_TABLES_CTE = f"""
+, rfirst AS (
+  SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY {_ORD}) AS rn FROM rrows WHERE storable
+), reviews_t AS (
+  SELECT CAST(review_id AS INTEGER) AS hotel_review_id, CAST(l_suppkey AS INTEGER) AS hotel_id, platform,
+         CAST(rating_dec AS DOUBLE) AS rating, review_date, false AS is_show_review_response,
+         job_id AS processing_job_id
+  FROM rfirst WHERE rn = 1
+), hranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY {_ORD_DESC}) AS rn_last,
+            row_number() OVER (PARTITION BY l_suppkey ORDER BY {_ORD}) AS rn_first
+  FROM hrows
+), hotels_t AS (
+  SELECT CAST(a.l_suppkey AS INTEGER) AS hotel_id, b.platform AS platform, a.s_name AS hotel_name,
+         CAST(a.score_dec AS DOUBLE) AS overall_score, a.review_count
+  FROM hranked a JOIN hranked b ON a.l_suppkey = b.l_suppkey AND b.rn_first = 1
+  WHERE a.rn_last = 1
+), counts AS (
+  SELECT file, CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+         CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
+         CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records
+  FROM val GROUP BY file
+), run_ledger AS (
+  SELECT 'job-' || md5(m.file || '-agoda') AS job_id, m.file AS filepath, 'agoda' AS platform,
+         'completed' AS status, true AS success,
+         COALESCE(c.total_records, 0) AS total_records, COALESCE(c.valid_records, 0) AS valid_records,
+         COALESCE(c.invalid_records, 0) AS invalid_records
+  FROM (SELECT 'f' || CAST(range AS VARCHAR) AS file FROM range(5)) m LEFT JOIN counts c ON m.file = c.file
+)"""
+
+
+def _tables(body: str) -> str:
+    return _with(_TABLES_CTE + "\n" + body)
+
+
+_PLATFORM_OF_PRIORITY = """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'agoda' WHEN '2' THEN 'booking'
+         WHEN '3' THEN 'expedia' WHEN '4' THEN 'hotels' WHEN '5' THEN 'tripadvisor' END"""
+
+_JOBS_CTE = f"""WITH jobs0 AS (
+  SELECT o_orderkey, o_totalprice, o_orderdate,
+         'orders/' || CAST(o_orderkey AS VARCHAR) || '.jl' AS filepath,
+         {_PLATFORM_OF_PRIORITY} AS platform,
+         CASE WHEN o_orderkey % 3 = 0 THEN 's3' ELSE 'local' END AS storage_provider,
+         CASE WHEN o_orderkey % 10 = 0 THEN 'pending' WHEN o_orderstatus = 'F' THEN 'completed'
+              WHEN o_orderstatus = 'P' THEN 'processing' WHEN o_orderstatus = 'O' THEN 'failed'
+              ELSE 'pending' END AS status
+  FROM orders
+), jobs1 AS (
+  SELECT *, 'job-' || md5(filepath || '-' || platform) AS job_id, status IN ('completed', 'failed') AS done,
+         CAST(o_orderkey % 1000 AS INTEGER) AS tot, CAST((o_orderkey % 1000) % 7 AS INTEGER) AS inv
+  FROM jobs0
+), ledger AS (
+  SELECT o_orderkey, job_id, filepath, platform, storage_provider, status,
+         CASE WHEN done THEN tot ELSE 0 END AS total_records,
+         CASE WHEN done THEN tot - inv ELSE 0 END AS valid_records,
+         CASE WHEN done THEN inv ELSE 0 END AS invalid_records,
+         CASE WHEN done THEN CAST(floor(o_totalprice) % 5000 AS INTEGER) ELSE 0 END AS processing_time_ms,
+         CASE WHEN status = 'failed' THEN 'File processing failed: order ' || CAST(o_orderkey AS VARCHAR)
+              ELSE '' END AS errors,
+         o_orderdate AS created_at, o_orderdate AS updated_at,
+         CASE WHEN status <> 'pending' THEN o_orderdate END AS started_at,
+         CASE WHEN done THEN o_orderdate END AS completed_at
+  FROM jobs1
+)"""
+
+ORACLE["file_admission"] = f"""
+WITH req AS (
+  SELECT 'orders/' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 17 = 0 THEN '.json' ELSE '.jl' END AS filepath,
+         CASE WHEN o_orderkey % 19 = 0 THEN 'unknown' ELSE {_PLATFORM_OF_PRIORITY} END AS platform,
+         CASE WHEN o_orderkey % 3 = 0 THEN 's3' ELSE 'local' END AS storage_provider,
+         o_orderkey % 11 <> 0 AS present, (o_orderkey % 13) * 100 AS len
+  FROM orders
+), d AS (
+  SELECT *, CASE
+      WHEN platform NOT IN ('agoda', 'booking', 'expedia', 'hotels', 'tripadvisor') THEN 'Invalid platform'
+      WHEN storage_provider = 'local' AND NOT present THEN 'File is not valid'
+      WHEN storage_provider = 's3' AND NOT (present AND len > 0 AND filepath LIKE '%.jl') THEN 'File is not valid'
+    END AS err
+  FROM req
+)
+SELECT filepath, platform, storage_provider, err IS NULL AS admitted, err AS error FROM d"""
+
+ORACLE["multi_file_results"] = _tables("SELECT * FROM run_ledger")
+
+ORACLE["job_ids"] = _JOBS_CTE + "\nSELECT filepath, platform, job_id FROM ledger"
+
+ORACLE["ingest_gate"] = _JOBS_CTE + """
+SELECT r.job_id,
+       CASE WHEN s.job_id IS NULL THEN 'create' WHEN s.status = 'completed' THEN 'skip'
+            WHEN s.status = 'processing' THEN 'reject' ELSE 'rerun' END AS action,
+       CASE WHEN s.status = 'completed' THEN 'already_processed' WHEN s.status = 'processing' THEN 'failed'
+            ELSE 'completed' END AS result_status,
+       CASE WHEN s.status = 'processing' THEN 'File is currently being processed' END AS error,
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.total_records, 0) ELSE 0 END AS total_records
+FROM ledger r LEFT JOIN (SELECT * FROM ledger WHERE o_orderkey % 4 <> 0) s ON r.job_id = s.job_id"""
+
+_NOW = "TIMESTAMP '2025-06-01 00:00:00'"
+ORACLE["ledger_transition"] = _JOBS_CTE + f"""
+, upd AS (
+  SELECT job_id AS uid,
+         CASE WHEN o_orderkey % 9 = 0 THEN 'completed' WHEN o_orderkey % 9 = 3 THEN 'failed' ELSE 'processing' END AS u_status,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 500 AS INTEGER) END AS u_total,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 500 - o_orderkey % 5 AS INTEGER) END AS u_valid,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 5 AS INTEGER) END AS u_invalid,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 777 AS INTEGER) END AS u_ms,
+         CASE WHEN o_orderkey % 9 = 3 THEN 'retry failed' END AS u_errors
+  FROM ledger WHERE o_orderkey % 3 = 0
+), j AS (
+  SELECT *, u_status IN ('completed', 'failed') AS closing FROM ledger LEFT JOIN upd ON job_id = uid
+)
+SELECT job_id, COALESCE(u_status, status) AS status,
+       CASE WHEN closing THEN COALESCE(u_total, total_records) ELSE total_records END AS total_records,
+       CASE WHEN closing THEN COALESCE(u_valid, valid_records) ELSE valid_records END AS valid_records,
+       CASE WHEN closing THEN COALESCE(u_invalid, invalid_records) ELSE invalid_records END AS invalid_records,
+       CASE WHEN closing THEN COALESCE(u_ms, processing_time_ms) ELSE processing_time_ms END AS processing_time_ms,
+       CASE WHEN closing THEN COALESCE(u_errors, errors) ELSE errors END AS errors,
+       CASE WHEN u_status = 'processing' THEN {_NOW} ELSE started_at END AS started_at,
+       CASE WHEN closing THEN {_NOW} ELSE completed_at END AS completed_at,
+       CASE WHEN uid IS NOT NULL THEN {_NOW} ELSE updated_at END AS updated_at
+FROM j"""
+
+ORACLE["job_status"] = _JOBS_CTE + """
+SELECT job_id, status, total_records, valid_records, invalid_records, processing_time_ms,
+       CAST(round(total_records / NULLIF(processing_time_ms, 0) * 1000) AS BIGINT) AS records_per_sec
+FROM ledger"""
+
+ORACLE["run_summary"] = _JOBS_CTE + """
+SELECT platform, status, COUNT(*) AS jobs,
+       CAST(SUM(total_records) AS BIGINT) AS total_records, CAST(SUM(valid_records) AS BIGINT) AS valid_records,
+       CAST(SUM(invalid_records) AS BIGINT) AS invalid_records,
+       CAST(SUM(processing_time_ms) AS BIGINT) AS processing_time_ms
+FROM ledger GROUP BY platform, status"""
+
+ORACLE["jobs_by_status"] = _JOBS_CTE + """
+SELECT job_id, filepath, platform, status, created_at FROM ledger WHERE status = 'completed'
+ORDER BY created_at DESC NULLS FIRST, job_id ASC NULLS LAST LIMIT 10"""
+
+ORACLE["jobs_page"] = _JOBS_CTE + """
+SELECT job_id, status, created_at, (SELECT COUNT(*) FROM ledger) AS total, 10 AS page_limit,
+       20 AS page_offset, 3 AS page, CAST(ceil((SELECT COUNT(*) FROM ledger) / 10) AS BIGINT) AS total_pages
+FROM (SELECT * FROM ledger ORDER BY created_at DESC NULLS FIRST, job_id ASC NULLS LAST LIMIT 10 OFFSET 20)"""
+
+_RCOLS = "hotel_review_id, hotel_id, platform, rating, review_date, processing_job_id"
+_HCOLS = "hotel_id, platform, hotel_name, overall_score, review_count"
+
+ORACLE["point_lookup"] = _tables(f"SELECT {_HCOLS} FROM hotels_t WHERE hotel_id = 1")
+ORACLE["review_lookup"] = _tables(f"SELECT {_RCOLS} FROM reviews_t WHERE hotel_review_id = 9")
+ORACLE["newest_reviews_by_hotel"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t WHERE hotel_id = 1
+ORDER BY review_date DESC NULLS FIRST, hotel_review_id ASC NULLS LAST LIMIT 50""")
+ORACLE["newest_reviews_by_platform"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t WHERE platform = 'agoda'
+ORDER BY review_date DESC NULLS FIRST, hotel_review_id ASC NULLS LAST LIMIT 50""")
+ORACLE["hotels_by_review_count"] = _tables(f"""SELECT {_HCOLS} FROM hotels_t WHERE platform = 'agoda'
+ORDER BY review_count DESC NULLS FIRST, hotel_id ASC NULLS LAST LIMIT 50""")
+ORACLE["generic_page"] = _tables(f"""SELECT {_HCOLS}, (SELECT COUNT(*) FROM hotels_t) AS total, 10 AS page_limit,
+       10 AS page_offset, 2 AS page, CAST(ceil((SELECT COUNT(*) FROM hotels_t) / 10) AS BIGINT) AS total_pages
+FROM (SELECT * FROM hotels_t ORDER BY overall_score DESC NULLS FIRST, hotel_id ASC NULLS LAST LIMIT 10 OFFSET 10)""")
+ORACLE["table_counts"] = _tables("""SELECT 'hotels' AS table_name, COUNT(*) AS rows FROM hotels_t
+UNION ALL SELECT 'reviews', COUNT(*) FROM reviews_t
+UNION ALL SELECT 'processing_jobs', COUNT(*) FROM orders""")
+ORACLE["review_filters"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t
+WHERE platform = 'booking' AND rating BETWEEN 2 AND 8
+  AND review_date BETWEEN TIMESTAMP '1994-01-01 00:00:00' AND TIMESTAMP '1996-12-31 00:00:00'
+  AND is_show_review_response = false""")
+ORACLE["hotel_filters"] = _tables(f"""SELECT {_HCOLS} FROM hotels_t
+WHERE platform = 'agoda' AND overall_score BETWEEN 1 AND 9 AND review_count BETWEEN 5 AND 40""")
+ORACLE["reviews_with_hotel"] = _tables("""SELECT r.hotel_review_id, r.hotel_id, r.rating, h.hotel_name, h.overall_score
+FROM reviews_t r LEFT JOIN hotels_t h ON r.hotel_id = h.hotel_id""")
+ORACLE["reviews_with_job"] = _tables("""SELECT r.hotel_review_id, r.processing_job_id, l.filepath,
+       l.status AS job_status, l.total_records
+FROM reviews_t r LEFT JOIN run_ledger l ON r.processing_job_id = l.job_id""")
+ORACLE["reviewers_dim"] = """
+WITH cnt AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey)
+SELECT c_custkey AS reviewer_id, c_name AS display_member_name, n_name AS country_name,
+       c_nationkey AS country_id, CAST(COALESCE(n, 0) AS INTEGER) AS reviewer_reviewed_count,
+       COALESCE(n, 0) > 10 AS is_expert_reviewer
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN cnt ON c_custkey = o_custkey"""

@@ -191,3 +191,37 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     val = F.when(F.col("event_id") % 13 == 0, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props"))
     return e.select(F.col("event_type").alias("file"),
                     F.struct(F.col("event_id")).alias("ord"), val.alias("value"), "event_id")
+
+
+# Admission bridge (orders -> ingest requests + an object listing)
+BAD_EXT_MOD = 17        # filepath ends with ".json" instead of ".jl"
+BAD_PLATFORM_MOD = 19   # request platform outside the enum
+MISSING_FILE_MOD = 11   # no such file in the listing
+SIZE_MOD = 13           # listed size = (o_orderkey % 13) * 100 bytes (0 = empty object)
+
+
+def admission_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingest request per order: (filepath, platform, storage_provider)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    k = F.col("o_orderkey")
+    prio = F.substring("o_orderpriority", 1, 1)
+    platform = F.lit(None).cast("string")
+    for code, name in JOB_PLATFORMS.items():
+        platform = F.when(prio == code, F.lit(name)).otherwise(platform)
+    platform = F.when(k % BAD_PLATFORM_MOD == 0, F.lit("unknown")).otherwise(platform)
+    ext = F.when(k % BAD_EXT_MOD == 0, F.lit(".json")).otherwise(F.lit(".jl"))
+    return o.select(
+        F.concat(F.lit("orders/"), k.cast("string"), ext).alias("filepath"),
+        platform.alias("platform"),
+        F.when(k % 3 == 0, F.lit("s3")).otherwise(F.lit("local")).alias("storage_provider"),
+    )
+
+
+def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, length) of the files that exist, in the shape of a binaryFile listing."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    ext = F.when(k % BAD_EXT_MOD == 0, F.lit(".json")).otherwise(F.lit(".jl"))
+    return (o.filter(k % MISSING_FILE_MOD != 0)
+             .select(F.concat(F.lit("orders/"), k.cast("string"), ext).alias("path"),
+                     ((k % SIZE_MOD) * 100).alias("length")))
