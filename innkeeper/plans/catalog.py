@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest, service
+from . import ingest, service, streams
 from .oracle import ORACLE
 
 QUERIES = {
@@ -38,6 +38,9 @@ QUERIES = {
     "reviews_with_hotel": service.reviews_with_hotel,
     "reviews_with_job": service.reviews_with_job,
     "reviewers_dim": service.reviewers_dim,
+    "schema_report": streams.schema_report,
+    "stream_ingest": streams.stream_ingest,
+    "stream_resume": streams.stream_resume,
 }
 
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}

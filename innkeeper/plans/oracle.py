@@ -337,7 +337,7 @@ _RCOLS = "hotel_review_id, hotel_id, platform, rating, review_date, processing_j
 _HCOLS = "hotel_id, platform, hotel_name, overall_score, review_count"
 
 ORACLE["point_lookup"] = _tables(f"SELECT {_HCOLS} FROM hotels_t WHERE hotel_id = 1")
-ORACLE["review_lookup"] = _tables(f"SELECT {_RCOLS} FROM reviews_t WHERE hotel_review_id = 9")
+ORACLE["review_lookup"] = _tables(f"SELECT {_RCOLS} FROM reviews_t WHERE hotel_review_id = 15")
 ORACLE["newest_reviews_by_hotel"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t WHERE hotel_id = 1
 ORDER BY review_date DESC NULLS FIRST, hotel_review_id ASC NULLS LAST LIMIT 50""")
 ORACLE["newest_reviews_by_platform"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t WHERE platform = 'agoda'
@@ -367,3 +367,11 @@ SELECT c_custkey AS reviewer_id, c_name AS display_member_name, n_name AS countr
        c_nationkey AS country_id, CAST(COALESCE(n, 0) AS INTEGER) AS reviewer_reviewed_count,
        COALESCE(n, 0) > 10 AS is_expert_reviewer
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN cnt ON c_custkey = o_custkey"""
+
+ORACLE["schema_report"] = """
+SELECT event_id, event_id % 13 <> 0 AS ok,
+       CASE WHEN event_id % 13 = 0 THEN 'Invalid JSON format' ELSE '' END AS problems
+FROM events"""
+# The streaming ingest must store exactly what the batch ingest stores.
+ORACLE["stream_ingest"] = ORACLE["reviews_insert"]
+ORACLE["stream_resume"] = ORACLE["hotels_upsert"]

@@ -16,7 +16,7 @@ from . import ingest
 
 NOW = "2025-06-01 00:00:00"     # "now" of the ledger transition query (fixed)
 LOOKUP_HOTEL_ID = 1
-LOOKUP_REVIEW_ID = 9
+LOOKUP_REVIEW_ID = 15
 PAGE_LIMIT, PAGE_OFFSET = 10, 20
 
 
