@@ -176,6 +176,28 @@ def is_nan_or_inf(d: Column) -> Column:
     return F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
 
 
+def per_context(fn):
+    """Memoize a builder of Column expressions per running SparkContext.
+
+    Column expressions here are unresolved (they name columns, not plan nodes), so
+    one tree serves every DataFrame of the session; building it costs thousands of
+    Py4J round trips.
+    """
+    cache: dict = {}
+
+    def wrapper(*args):
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        key = (id(sc), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+
+    wrapper.__wrapped__ = fn
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def fence(df, **cols: Column):
     """Add computed columns evaluated exactly once per row.
 

@@ -131,21 +131,13 @@ def _errors_from_rules(rules: list[Rule]) -> tuple[Column, Column]:
     return thrown, errs
 
 
-def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
-                rules: list[Rule] | None = None) -> DataFrame:
-    """Parse, flatten and validate every line.
-
-    Adds: ``blank``, ``parsed`` (strict JSON ok), ``v`` (parsed VARIANT), ``raw``
-    (nested review shape), ``r_<field>`` / ``t_<field>`` (transformed record and
-    field types), ``rec_truthy``, ``errors ARRAY<STRING>``, ``is_valid`` (NULL for
-    blank lines). Each stage is fenced so every value is computed once per row.
-    """
-    if policy not in (LENIENT, STRICT):
-        raise ValueError(f"unknown policy {policy!r}")
-    rules = RECORD_RULES if rules is None else rules
+@js.per_context
+def _check_stages(policy: str, validate: bool, rules: tuple) -> list[dict[str, Column]]:
+    """The fenced stages of check_lines as name -> expression dicts (built once)."""
+    stages: list[dict[str, Column]] = []
     blank = js.is_blank(F.col("value"))
-    df = js.fence(lines, blank=blank, v=F.when(~blank, js.strict_parse(F.col("value"))),
-                  _kind=_top_kind(F.col("value")))
+    stages.append(dict(blank=blank, v=F.when(~blank, js.strict_parse(F.col("value"))),
+                       _kind=_top_kind(F.col("value"))))
     v = F.col("v")
     parsed = v.isNotNull()
     kind = F.col("_kind")
@@ -160,26 +152,24 @@ def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
         raw = is_obj & js.field(v, "$.comment.rating").isNotNull()
         transform_error = F.when(is_obj & comment_null, F.lit(MSG_COMMENT_NULL))
         null_error = F.when(is_null, F.lit(MSG_NULL_RECORD)) if validate else F.lit(None).cast("string")
-        stage = dict(raw=raw, _pre=F.coalesce(transform_error, null_error),
-                     rec_truthy=parsed & (raw | truthy_top))
-        df = js.fence(df, parsed=parsed, **stage)
-        df = js.fence(df, **_fields(v, F.col("raw")))
+        stages.append(dict(parsed=parsed, raw=raw, _pre=F.coalesce(transform_error, null_error),
+                           rec_truthy=parsed & (raw | truthy_top)))
+        stages.append(_fields(v, F.col("raw")))
     elif validate:  # strict, validation on: always flatten from `comment`
         missing = F.when(comment.isNull(), F.lit("undefined")).when(comment_null, F.lit("null"))
         pre = (F.when(is_null, F.lit(MSG_STRICT_NULL))
                .when(missing.isNotNull(), F.format_string(MSG_STRICT_NO_COMMENT, missing)))
-        df = js.fence(df, parsed=parsed, raw=parsed, _pre=pre, rec_truthy=parsed)
-        df = js.fence(df, **_fields(v, F.lit(True)))
+        stages.append(dict(parsed=parsed, raw=parsed, _pre=pre, rec_truthy=parsed))
+        stages.append(_fields(v, F.lit(True)))
     else:  # strict, validation off: the parsed value passes untouched
-        df = js.fence(df, parsed=parsed, raw=F.lit(False), _pre=F.lit(None).cast("string"),
-                      rec_truthy=parsed & truthy_top)
-        df = js.fence(df, **_fields(v, None))
+        stages.append(dict(parsed=parsed, raw=F.lit(False), _pre=F.lit(None).cast("string"),
+                           rec_truthy=parsed & truthy_top))
+        stages.append(_fields(v, None))
 
-    types = {f"t_{n}": js.vtype(REC[n]) for n in TYPED_FIELDS}
-    df = js.fence(df, **types)
-    df = js.fence(df, _rating_num=js.js_number(REC["rating"], REC.t("rating")))
+    stages.append({f"t_{n}": js.vtype(REC[n]) for n in TYPED_FIELDS})
+    stages.append({"_rating_num": js.js_number(REC["rating"], REC.t("rating"))})
     if validate:
-        thrown, errs = _errors_from_rules(rules)
+        thrown, errs = _errors_from_rules(list(rules))
     else:
         thrown, errs = F.lit(None).cast("string"), F.array().cast("array<string>")
     errors = (
@@ -189,8 +179,26 @@ def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
         .when(thrown.isNotNull(), F.array(thrown))
         .otherwise(errs)
     )
-    df = js.fence(df, errors=errors)
-    df = js.fence(df, is_valid=F.when(~F.col("blank"), F.size("errors") == 0))
+    stages.append({"errors": errors})
+    stages.append({"is_valid": F.when(~F.col("blank"), F.size("errors") == 0)})
+    return stages
+
+
+def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
+                rules: list[Rule] | None = None) -> DataFrame:
+    """Parse, flatten and validate every line.
+
+    Adds: ``blank``, ``parsed`` (strict JSON ok), ``v`` (parsed VARIANT), ``raw``
+    (nested review shape), ``r_<field>`` / ``t_<field>`` (transformed record and
+    field types), ``rec_truthy``, ``errors ARRAY<STRING>``, ``is_valid`` (NULL for
+    blank lines). Each stage is fenced so every value is computed once per row.
+    """
+    if policy not in (LENIENT, STRICT):
+        raise ValueError(f"unknown policy {policy!r}")
+    rules = RECORD_RULES if rules is None else rules
+    df = lines
+    for stage in _check_stages(policy, validate, tuple(rules)):
+        df = js.fence(df, **stage)
     return df.drop("_kind", "_pre", "_rating_num")
 
 

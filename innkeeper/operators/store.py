@@ -82,13 +82,10 @@ def store_eligible() -> Column:
             & REC.truthy("hotelReviewId") & js.present(REC["rating"]))
 
 
-def review_rows(valid: DataFrame, job_id: Column) -> DataFrame:
-    """Review projection of store-eligible records with truthy id and rating.
-
-    Keeps ``file``/``ord`` and adds ``storage_errors`` (empty = storable).
-    """
-    df = js.fence(valid, _take=store_eligible() & REC.truthy("hotelReviewId") & REC.truthy("rating"))
-    df = df.filter(F.col("_take"))
+@js.per_context
+def _review_exprs() -> tuple[Column, Column, dict[str, Column], list[Column]]:
+    eligible = store_eligible()
+    review_row = F.col("_eligible") & REC.truthy("hotelReviewId") & REC.truthy("rating")
     rating, t_rating = REC["rating"], REC.t("rating")
     rating_d = (F.when(js.is_string(rating, t_rating), js.js_parse_float(F.variant_get(rating, "$", "string")))
                 .when(js.is_number(rating, t_rating), F.try_variant_get(rating, "$", "double")))
@@ -108,11 +105,8 @@ def review_rows(valid: DataFrame, job_id: Column) -> DataFrame:
         "is_show_review_response": REC.truthy("isShowReviewResponse"),
         "provider_id": F.when(provider_given,
                               js.double_to_int32(js.js_number(provider, REC.t("providerId")))),
-        "processing_job_id": job_id,
         "_provider_given": provider_given,
     })
-    df = js.fence(df.select("file", "ord", *[c for c in valid.columns if c.startswith("r_") or c.startswith("t_")]),
-                  **cols)
     errs = [
         F.when(F.col("hotel_review_id").isNull(), F.lit("hotel_review_id: not an integer")),
         F.when(F.col("hotel_id").isNull(), F.lit("hotel_id: not an integer")),
@@ -121,15 +115,40 @@ def review_rows(valid: DataFrame, job_id: Column) -> DataFrame:
         F.when(F.col("review_date").isNull(), F.lit("review_date: invalid date")),
         F.when(F.col("_provider_given") & F.col("provider_id").isNull(), F.lit("provider_id: not an integer")),
     ] + _text_errors(REVIEW_TEXT_LIMITS)
-    df = js.fence(df.select("file", "ord", *REVIEW_COLUMNS, "_provider_given"),
-                  storage_errors=F.array_compact(F.array(*errs)))
+    return eligible, review_row, cols, F.array_compact(F.array(*errs))
+
+
+def review_rows(valid: DataFrame, job_id: Column, keep_all: bool = False) -> DataFrame:
+    """Review projection of store-eligible records with truthy id and rating.
+
+    Keeps ``file``/``ord`` and adds ``storage_errors`` (empty = storable). With
+    ``keep_all`` every input row is kept with flags ``_eligible`` / ``_review_row``
+    (and the other input columns), for single-pass counters.
+    """
+    eligible, review_row, cols, errs = _review_exprs()
+    if "_eligible" not in valid.columns:
+        valid = js.fence(valid, _eligible=eligible)
+    df = js.fence(valid, _review_row=review_row)
+    if not keep_all:
+        df = df.filter(F.col("_review_row"))
+    carry = [c for c in df.columns if keep_all or c in ("file", "ord") or c.startswith(("r_", "t_"))]
+    df = js.fence(df.select(*carry), processing_job_id=job_id, **cols)
+    if keep_all:
+        return js.fence(df, storage_errors=errs)
+    df = js.fence(df.select("file", "ord", *REVIEW_COLUMNS, "_provider_given"), storage_errors=errs)
     return df.select("file", "ord", *REVIEW_COLUMNS, "storage_errors")
 
 
-def hotel_rows(valid: DataFrame) -> DataFrame:
-    """Hotel projection of store-eligible records with truthy hotelId and hotelName."""
-    df = js.fence(valid, _take=store_eligible() & REC.truthy("hotelId") & REC.truthy("hotelName"))
-    df = df.filter(F.col("_take"))
+def hotel_rows(valid: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Hotel projection of store-eligible records with truthy hotelId and hotelName.
+
+    With ``keep_all`` every input row is kept, flagged ``_eligible`` / ``_hotel_row``,
+    with the hotel columns prefixed ``h_`` and their errors in ``hotel_errors``.
+    """
+    df = js.fence(valid, _eligible=store_eligible())
+    df = js.fence(df, _hotel_row=F.col("_eligible") & REC.truthy("hotelId") & REC.truthy("hotelName"))
+    if not keep_all:
+        df = df.filter(F.col("_hotel_row"))
     p0 = F.variant_get(REC["overallByProviders"], "$[0]", "variant")
     df = js.fence(df, _score=F.variant_get(p0, "$.overallScore", "variant"),
                   _count=F.variant_get(p0, "$.reviewCount", "variant"),
@@ -144,22 +163,26 @@ def hotel_rows(valid: DataFrame) -> DataFrame:
     review_count = F.when(count.isNull(), F.lit(0)).otherwise(
         js.double_to_int32(js.js_number(count, F.col("_t_count"))))
     grades = F.col("_grades")
+    pre = "h_" if keep_all else ""
+    carry = df.columns if keep_all else ["file", "ord"] + [c for c in df.columns if c.startswith(("r_", "t_", "_"))]
     df = js.fence(
-        df.select("file", "ord", *[c for c in df.columns if c.startswith(("r_", "t_", "_"))]),
-        hotel_id=js.pg_int32(REC["hotelId"], REC.t("hotelId")),
-        platform=js.pg_text(REC["platform"]),
-        hotel_name=js.pg_text(REC["hotelName"]),
-        overall_score=F.when(score_given, score_dec),
-        review_count=review_count,
-        grades=F.when(js.truthy(grades, F.col("_t_grades")), F.to_json(grades)).otherwise(F.lit("{}")),
-        _bad_score=score_given & score_dec.isNull(),
+        df.select(*carry),
+        **{pre + "hotel_id": js.pg_int32(REC["hotelId"], REC.t("hotelId")),
+           pre + "platform": js.pg_text(REC["platform"]),
+           pre + "hotel_name": js.pg_text(REC["hotelName"]),
+           pre + "overall_score": F.when(score_given, score_dec),
+           pre + "review_count": review_count,
+           pre + "grades": F.when(js.truthy(grades, F.col("_t_grades")), F.to_json(grades)).otherwise(F.lit("{}")),
+           "_bad_score": score_given & score_dec.isNull()},
     )
     errs = [
-        F.when(F.col("hotel_id").isNull(), F.lit("hotel_id: not an integer")),
-        F.when(F.col("platform").isNull(), F.lit("platform: null")),
+        F.when(F.col(pre + "hotel_id").isNull(), F.lit("hotel_id: not an integer")),
+        F.when(F.col(pre + "platform").isNull(), F.lit("platform: null")),
         F.when(F.col("_bad_score"), F.lit("overall_score: not numeric(3,1)")),
-        F.when(F.col("review_count").isNull(), F.lit("review_count: not an integer")),
-    ] + _text_errors(HOTEL_TEXT_LIMITS)
+        F.when(F.col(pre + "review_count").isNull(), F.lit("review_count: not an integer")),
+    ] + _text_errors({pre + k: v for k, v in HOTEL_TEXT_LIMITS.items()})
+    if keep_all:
+        return js.fence(df, hotel_errors=F.array_compact(F.array(*errs)))
     df = js.fence(df.select("file", "ord", *HOTEL_COLUMNS, "_bad_score"),
                   storage_errors=F.array_compact(F.array(*errs)))
     return df.select("file", "ord", *HOTEL_COLUMNS, "storage_errors")

@@ -165,15 +165,25 @@ def _metrics(df: DataFrame, **named: F.Column) -> DataFrame:
 
 
 def store_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q17: store-stage counters of one load, as (metric, value) rows."""
+    """Q17: store-stage counters of one load, as (metric, value) rows.
+
+    One pass over the checked lines: the hotel / review projections are flags on the
+    same rows, and reviews_inserted = distinct storable review keys (what the
+    insert-ignore keeps).
+    """
     c = _checked(spark, sf_dir)
     valid = c.filter(F.col("is_valid"))
-    eligible = store.store_eligible()
-    rr = store.review_rows(valid, _job_id())
-    hr = store.hotel_rows(valid)
-    return (_metrics(valid, store_valid=F.count_if(eligible), store_invalid=F.count_if(~eligible))
-            .unionByName(_metrics(hr, hotel_rows=F.count(F.lit(1)),
-                                  hotels_upserted=F.count_if(F.size("storage_errors") == 0)))
-            .unionByName(_metrics(rr, review_rows=F.count(F.lit(1)),
-                                  reviews_rejected=F.count_if(F.size("storage_errors") > 0)))
-            .unionByName(_metrics(store.first_reviews(rr), reviews_inserted=F.count(F.lit(1)))))
+    hr = store.hotel_rows(valid, keep_all=True)
+    rr = store.review_rows(hr, _job_id(), keep_all=True)
+    ok_h = F.col("_hotel_row") & (F.size("hotel_errors") == 0)
+    ok_r = F.col("_review_row") & (F.size("storage_errors") == 0)
+    return _metrics(
+        rr,
+        store_valid=F.count_if(F.col("_eligible")),
+        store_invalid=F.count_if(~F.col("_eligible")),
+        hotel_rows=F.count_if(F.col("_hotel_row")),
+        hotels_upserted=F.count_if(ok_h),
+        review_rows=F.count_if(F.col("_review_row")),
+        reviews_rejected=F.count_if(F.col("_review_row") & (F.size("storage_errors") > 0)),
+        reviews_inserted=F.count_distinct(F.when(ok_r, F.col("hotel_review_id"))),
+    )
