@@ -62,10 +62,18 @@ def valid_no_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q05: rejected lines with their exact physical line number and error list."""
-    c = _checked(spark, sf_dir)
-    numbered = ordinal.number_by_order(c, "file", "ord", keep_filter=~F.col("is_valid"))
-    return numbered.select("file", "line_no", F.array_join("errors", ", ").alias("errors"))
+    """Q05: rejected lines with their exact physical line number and error list.
+
+    Line numbers come from the narrow (file, ord) pairs of the source lines (the
+    range shuffle and its sampling never touch parsed rows); the rejects, a subset,
+    are joined to them.
+    """
+    ensure_conf(spark)
+    lines = bridge.review_lines(spark, sf_dir)
+    bad = (records.check_lines(lines).filter(~F.col("is_valid"))
+           .select("file", "ord", F.array_join("errors", ", ").alias("errors")))
+    numbered = ordinal.number_by_order(lines.select("file", "ord"), "file", "ord")
+    return bad.join(numbered, ["file", "ord"], "inner").select("file", "line_no", "errors")
 
 
 def flattened_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
