@@ -76,20 +76,33 @@ class TableStore:
 
     # -- the merge of one batch --
     def apply(self, checked: DataFrame, batch_id: int, job_id: Column, run_ts: Column) -> None:
-        """Merge one batch of checked lines into the store (idempotent per batch id)."""
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        """Merge one batch of checked lines into the store (idempotent per batch id).
+
+        The batch is projected once into typed hotel / review columns and only that
+        slim frame is persisted (the parsed VARIANT columns are never cached); the
+        hotels, reviews and counters writes all read it.
+        """
+        rows = store.review_rows(store.hotel_rows(checked, keep_all=True), job_id, keep_all=True)
+        hcols = ["h_" + c for c in store.HOTEL_COLUMNS]
+        slim = rows.select("file", "ord", "is_valid", "_hotel_row", "hotel_errors", *hcols,
+                           "_review_row", "storage_errors", *store.REVIEW_COLUMNS)
+        slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            valid = checked.filter(F.col("is_valid"))
-            folded = store.fold_hotels(store.hotel_rows(valid))
-            merged = store.merge_hotels(self.hotels(before=batch_id), folded, run_ts)
+            valid = slim.filter(F.col("is_valid"))
+            hotel_rows = valid.filter(F.col("_hotel_row")).select(
+                "file", "ord", *[F.col("h_" + c).alias(c) for c in store.HOTEL_COLUMNS],
+                F.col("hotel_errors").alias("storage_errors"))
+            merged = store.merge_hotels(self.hotels(before=batch_id), store.fold_hotels(hotel_rows), run_ts)
             merged.write.mode("overwrite").parquet(f"{self.root}/hotels/batch={batch_id}")
 
-            first = store.first_reviews(store.review_rows(valid, job_id))
+            review_rows = valid.filter(F.col("_review_row")).select(
+                "file", "ord", *store.REVIEW_COLUMNS, "storage_errors")
+            first = store.first_reviews(review_rows)
             new = store.new_reviews(self.reviews(before=batch_id), first).select(
                 *store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"))
             new.write.mode("overwrite").parquet(f"{self.root}/reviews/batch={batch_id}")
 
-            (records.file_counts(checked).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
+            (records.file_counts(slim).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
              .write.mode("overwrite").parquet(f"{self.root}/counters/batch={batch_id}"))
         finally:
-            checked.unpersist()
+            slim.unpersist()
