@@ -41,25 +41,33 @@ def read_lines(spark: SparkSession, paths: list[str], line_sep: str | None = Non
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    df = r.text([_abs(p) for p in paths])
-    df = df.select(
+    raw = r.text([_abs(p) for p in paths])
+    df = raw.select(
         norm_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mid"),
         "value",
     )
-    df = _rank(df, paths)
+    df = df.join(_ranks(raw, paths), "file", "left")
     return df.select("file", F.struct(F.col("file_rank"), F.col("file"), F.col("_split"), F.col("_mid")).alias("ord"),
                      "value", "_split", "_mid")
 
 
-def _rank(df: DataFrame, paths: list[str]) -> DataFrame:
-    """file_rank = index of the first requested path that is the file or one of its folders."""
-    expr = F.lit(len(paths))
-    for i in range(len(paths) - 1, -1, -1):
-        p = _abs(paths[i]).rstrip("/")
-        expr = F.when((F.col("file") == p) | F.col("file").startswith(p + "/"), F.lit(i)).otherwise(expr)
-    return df.withColumn("file_rank", expr)
+def _ranks(raw: DataFrame, paths: list[str]) -> DataFrame:
+    """(file, file_rank): index of the first requested path that is the file or a folder of it.
+
+    Uses the file list Spark already built on the driver for planning
+    (``inputFiles``): one small row per file, joined to the lines (AQE broadcasts it
+    while it is small, shuffles otherwise).
+    """
+    req = [_abs(p).rstrip("/") for p in paths]
+    rows = []
+    for uri in raw.inputFiles():
+        f = uri[len("file:"):] if uri.startswith("file:") else uri
+        f = "/" + f.lstrip("/") if uri.startswith("file:") else f
+        rank = next((i for i, p in enumerate(req) if f == p or f.startswith(p + "/")), len(req))
+        rows.append((f, rank))
+    return raw.sparkSession.createDataFrame(rows, "file string, file_rank int")
 
 
 def list_files(spark: SparkSession, paths: list[str], glob: str | None = None,
