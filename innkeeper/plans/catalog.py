@@ -41,6 +41,7 @@ QUERIES = {
     "schema_report": streams.schema_report,
     "stream_ingest": streams.stream_ingest,
     "stream_resume": streams.stream_resume,
+    "file_runs": streams.file_runs,
 }
 
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}

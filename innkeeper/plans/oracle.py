@@ -375,3 +375,16 @@ FROM events"""
 # The streaming ingest must store exactly what the batch ingest stores.
 ORACLE["stream_ingest"] = ORACLE["reviews_insert"]
 ORACLE["stream_resume"] = ORACLE["hotels_upsert"]
+
+ORACLE["file_runs"] = _tables("""
+, feed AS (
+  SELECT r.run, c.file,
+         CASE WHEN r.run = 1 THEN 'completed' ELSE 'already_processed' END AS status,
+         c.total_records, c.valid_records, c.invalid_records, CAST(NULL AS VARCHAR) AS error
+  FROM counts c JOIN (SELECT 1 AS run UNION ALL SELECT 2) r ON true
+)
+SELECT * FROM feed
+UNION ALL SELECT 1, 'empty.jl', 'completed', 0, 0, 0, NULL
+UNION ALL SELECT 2, 'empty.jl', 'already_processed', 0, 0, 0, NULL
+UNION ALL SELECT 1, 'missing.jl', 'failed', 0, 0, 0, 'File is not valid'
+UNION ALL SELECT 2, 'missing.jl', 'failed', 0, 0, 0, 'File is not valid'""")

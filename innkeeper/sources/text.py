@@ -23,16 +23,20 @@ def norm_path(c: Column) -> Column:
 
 
 def _abs(p: str) -> str:
+    """Absolute local path (``file:`` URIs unwrapped); other schemes unchanged."""
+    if p.startswith("file:"):
+        return "/" + p[len("file:"):].lstrip("/")
     return p if "://" in p else os.path.abspath(p)
 
 
 def read_lines(spark: SparkSession, paths: list[str], line_sep: str | None = None,
                glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Lines of many files in one job: (file, ord, value, _split, _mid).
+    """Lines of many files in one job: (file, ord, value, request, _split, _mid).
 
-    ``ord`` = (file_rank, split start, row id): the request order of files, then the
-    physical position. ``line_sep="\\n"`` gives the object-store policy (split on LF
-    only; a trailing CR is JSON white space).
+    ``file`` is the physical file, ``request`` the requested path (a file or a folder)
+    it belongs to. ``ord`` = (file_rank, file, split start, row id): the request order
+    of files, then the physical position. ``line_sep="\\n"`` gives the object-store
+    policy (split on LF only; a trailing CR is JSON white space).
     """
     r = spark.read
     if line_sep:
@@ -50,7 +54,7 @@ def read_lines(spark: SparkSession, paths: list[str], line_sep: str | None = Non
     )
     df = df.join(_ranks(raw, paths), "file", "left")
     return df.select("file", F.struct(F.col("file_rank"), F.col("file"), F.col("_split"), F.col("_mid")).alias("ord"),
-                     "value", "_split", "_mid")
+                     "value", "request", "_split", "_mid")
 
 
 def _ranks(raw: DataFrame, paths: list[str]) -> DataFrame:
@@ -66,8 +70,8 @@ def _ranks(raw: DataFrame, paths: list[str]) -> DataFrame:
         f = uri[len("file:"):] if uri.startswith("file:") else uri
         f = "/" + f.lstrip("/") if uri.startswith("file:") else f
         rank = next((i for i, p in enumerate(req) if f == p or f.startswith(p + "/")), len(req))
-        rows.append((f, rank))
-    return raw.sparkSession.createDataFrame(rows, "file string, file_rank int")
+        rows.append((f, rank, req[rank] if rank < len(req) else f))
+    return raw.sparkSession.createDataFrame(rows, "file string, file_rank int, request string")
 
 
 def list_files(spark: SparkSession, paths: list[str], glob: str | None = None,
@@ -84,6 +88,23 @@ def list_files(spark: SparkSession, paths: list[str], glob: str | None = None,
     return r.load([_abs(p) for p in existing]).select(norm_path(F.col("path")).alias("path"), "length")
 
 
+def request_listing(spark: SparkSession, requests: DataFrame) -> DataFrame:
+    """(path, length) per requested path that exists: a file, or a folder of files.
+
+    One filesystem stat per requested path (files, not lines): a Spark scan makes no
+    split for a 0-byte file, so an empty file would be invisible to a binaryFile
+    listing, while the admission rules must see it (size 0).
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    rows = []
+    for (p,) in requests.select("filepath").distinct().collect():
+        path = spark._jvm.org.apache.hadoop.fs.Path(_abs(p))
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            rows.append((p, int(fs.getContentSummary(path).getLength())))
+    return spark.createDataFrame(rows, "path string, length bigint")
+
+
 def _exists(spark: SparkSession, p: str) -> bool:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(_abs(p))
