@@ -131,3 +131,29 @@ def admission(requests: DataFrame, listing: DataFrame) -> DataFrame:
                      & F.col("filepath").endswith(OBJECT_STORE_EXT)), F.lit(MSG_NOT_VALID)))
     return j.select("filepath", "platform", "storage_provider",
                     err.isNull().alias("admitted"), err.alias("error"))
+
+
+def is_job_processed(ledger_df: DataFrame, job: str) -> bool:
+    """True when the job exists and its status is completed (one-row lookup)."""
+    row = ledger_df.filter(F.col("job_id") == F.lit(job)).select("status").limit(1).collect()
+    return bool(row) and row[0][0] == "completed"
+
+
+def list_jobs(ledger_df: DataFrame, status: str | None = None, platform: str | None = None,
+              limit=None, offset=None) -> tuple[DataFrame, dict]:
+    """Job listing: filter by status and platform, newest first, one page.
+
+    Returns the page and its envelope {total (true count of the filter), page_size,
+    limit, offset}; limit 0 / missing / not a number -> 10.
+    """
+    from .reads import page, page_request
+    cond = F.lit(True)
+    if status is not None:
+        cond = cond & (F.col("status") == F.lit(status))
+    if platform is not None:
+        cond = cond & (F.col("platform") == F.lit(platform))
+    filtered = ledger_df.filter(cond)
+    lim, off = page_request(limit, offset)
+    rows = page(filtered, "created_at", "desc", "job_id", lim, off)
+    total = filtered.count()
+    return rows, {"total": total, "page_size": max(0, min(lim, total - off)), "limit": lim, "offset": off}

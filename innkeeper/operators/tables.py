@@ -106,3 +106,28 @@ class TableStore:
              .write.mode("overwrite").parquet(f"{self.root}/counters/batch={batch_id}"))
         finally:
             slim.unpersist()
+
+    # -- single-row operations (the service's per-record repository calls) --
+    def upsert_hotel(self, hotel: dict, batch_id: int, run_ts: Column) -> None:
+        """Insert or update one hotel (review_count defaults to 0 on insert)."""
+        row = {c: hotel.get(c) for c in store.HOTEL_COLUMNS}
+        if row["review_count"] is None:
+            row["review_count"] = 0
+        df = self.spark.createDataFrame(
+            [tuple(row[c] for c in store.HOTEL_COLUMNS)],
+            "hotel_id int, platform string, hotel_name string, overall_score decimal(3,1), "
+            "review_count int, grades string")
+        merged = store.merge_hotels(self.hotels(before=batch_id), df, run_ts)
+        merged.write.mode("overwrite").parquet(f"{self.root}/hotels/batch={batch_id}")
+
+    def create_review(self, review: dict, batch_id: int, run_ts: Column) -> DataFrame:
+        """Return the stored review with this key, inserting ``review`` first if absent."""
+        key = review["hotel_review_id"]
+        existing = self.reviews(before=batch_id)
+        if existing.filter(F.col("hotel_review_id") == F.lit(key)).limit(1).count() == 0:
+            schema = ", ".join(x for x in REVIEW_SCHEMA.split(", ")
+                               if not x.startswith(("created_at", "updated_at")))
+            df = self.spark.createDataFrame([tuple(review.get(c) for c in store.REVIEW_COLUMNS)], schema)
+            df.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at")) \
+              .write.mode("overwrite").parquet(f"{self.root}/reviews/batch={batch_id}")
+        return self.reviews().filter(F.col("hotel_review_id") == F.lit(key)).limit(1)
