@@ -2,7 +2,9 @@
 
 Layout under ``root`` (a shared folder, e.g. below spark.checkpoint.dir):
   hotels/batch=<id>/    full snapshot after batch <id> (hotels are few next to reviews)
-  reviews/batch=<id>/   the reviews batch <id> inserted (insert-ignore appends only)
+  reviews/batch=<id>/bucket=<b>/  the reviews batch <id> inserted (insert-ignore appends
+                        only), hash-bucketed by hotel_review_id so a batch reads back
+                        only the buckets its keys fall into
   counters/batch=<id>/  per-file counters of batch <id>
 Every batch writes only its own ``batch=<id>`` folders with overwrite, so a replayed
 batch (streaming retry, executor loss) rewrites the same output instead of appending
@@ -29,10 +31,18 @@ REVIEW_SCHEMA = ("hotel_review_id int, hotel_id int, reviewer_id int, platform s
                  "created_at timestamp_ntz, updated_at timestamp_ntz")
 
 
+REVIEW_BUCKETS = 256
+
+
+def review_bucket(key: Column, buckets: int = REVIEW_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, review_buckets: int = REVIEW_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.review_buckets = review_buckets
 
     # -- filesystem helpers (Hadoop FS: works for local, HDFS and object stores) --
     def _fs_path(self, sub: str):
@@ -60,12 +70,20 @@ class TableStore:
             return self.spark.createDataFrame([], HOTEL_SCHEMA)
         return self.spark.read.parquet(f"{self.root}/hotels/batch={ids[-1]}")
 
-    def reviews(self, before: int | None = None) -> DataFrame:
-        """All stored reviews (of batches earlier than ``before``)."""
+    def reviews(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Stored reviews (of batches earlier than ``before``; of the given buckets only).
+
+        Bucket selection is a partition filter: folders of other buckets are not listed
+        for reading at all.
+        """
         ids = [b for b in self._batches("reviews") if before is None or b < before]
         if not ids:
             return self.spark.createDataFrame([], REVIEW_SCHEMA)
-        return self.spark.read.parquet(*[f"{self.root}/reviews/batch={b}" for b in ids])
+        df = (self.spark.read.option("basePath", f"{self.root}/reviews")
+              .parquet(*[f"{self.root}/reviews/batch={b}" for b in ids]))
+        if buckets is not None:
+            df = df.filter(F.col("bucket").isin(buckets))
+        return df.drop("batch", "bucket")
 
     def counters(self) -> DataFrame:
         ids = self._batches("counters")
@@ -97,10 +115,17 @@ class TableStore:
 
             review_rows = valid.filter(F.col("_review_row")).select(
                 "file", "ord", *store.REVIEW_COLUMNS, "storage_errors")
-            first = store.first_reviews(review_rows)
-            new = store.new_reviews(self.reviews(before=batch_id), first).select(
-                *store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"))
-            new.write.mode("overwrite").parquet(f"{self.root}/reviews/batch={batch_id}")
+            first = store.first_reviews(review_rows).withColumn(
+                "bucket", review_bucket(F.col("hotel_review_id"), self.review_buckets))
+            # The buckets this batch touches: at most review_buckets small ints.
+            touched = [r[0] for r in first.select("bucket").distinct().collect()]
+            existing = self.reviews(before=batch_id, buckets=touched).withColumn(
+                "bucket", review_bucket(F.col("hotel_review_id"), self.review_buckets))
+            new = (first.join(existing.select("bucket", "hotel_review_id"), ["bucket", "hotel_review_id"], "left_anti")
+                   .select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"),
+                           "bucket"))
+            (new.write.mode("overwrite").partitionBy("bucket")
+             .parquet(f"{self.root}/reviews/batch={batch_id}"))
 
             (records.file_counts(slim).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
              .write.mode("overwrite").parquet(f"{self.root}/counters/batch={batch_id}"))
@@ -123,11 +148,13 @@ class TableStore:
     def create_review(self, review: dict, batch_id: int, run_ts: Column) -> DataFrame:
         """Return the stored review with this key, inserting ``review`` first if absent."""
         key = review["hotel_review_id"]
-        existing = self.reviews(before=batch_id)
+        bucket = self.spark.range(1).select(review_bucket(F.lit(key).cast("int"), self.review_buckets)).first()[0]
+        existing = self.reviews(before=batch_id, buckets=[bucket])
         if existing.filter(F.col("hotel_review_id") == F.lit(key)).limit(1).count() == 0:
             schema = ", ".join(x for x in REVIEW_SCHEMA.split(", ")
                                if not x.startswith(("created_at", "updated_at")))
             df = self.spark.createDataFrame([tuple(review.get(c) for c in store.REVIEW_COLUMNS)], schema)
-            df.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at")) \
-              .write.mode("overwrite").parquet(f"{self.root}/reviews/batch={batch_id}")
-        return self.reviews().filter(F.col("hotel_review_id") == F.lit(key)).limit(1)
+            df.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"),
+                      review_bucket(F.col("hotel_review_id"), self.review_buckets).alias("bucket")) \
+              .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/reviews/batch={batch_id}")
+        return self.reviews(buckets=[bucket]).filter(F.col("hotel_review_id") == F.lit(key)).limit(1)
