@@ -14,7 +14,7 @@ src AS (
          s_name, s_acctbal, p_name,
          'f' || CAST(l_orderkey % 4 AS VARCHAR) AS file,
          l_orderkey % 4 AS file_rank,
-         CASE WHEN l_shipdate < TIMESTAMP '1995-01-01 00:00:00' THEN 1 ELSE 2 END AS load
+         CASE WHEN l_shipdate < TIMESTAMP '1998-06-01 00:00:00' THEN 1 ELSE 2 END AS load
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
 ),
 rec AS (
