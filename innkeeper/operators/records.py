@@ -188,8 +188,7 @@ def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
                 rules: list[Rule] | None = None) -> DataFrame:
     """Parse, flatten and validate every line.
 
-    Adds: ``blank``, ``parsed`` (strict JSON ok), ``v`` (parsed VARIANT), ``raw``
-    (nested review shape), ``r_<field>`` / ``t_<field>`` (transformed record and
+    Adds: ``blank``, ``parsed`` (strict JSON ok), ``raw`` (nested review shape), ``r_<field>`` / ``t_<field>`` (transformed record and
     field types), ``rec_truthy``, ``errors ARRAY<STRING>``, ``is_valid`` (NULL for
     blank lines). Each stage is fenced so every value is computed once per row.
     """
@@ -199,6 +198,8 @@ def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
     df = lines
     for stage in _check_stages(policy, validate, tuple(rules)):
         df = js.fence(df, **stage)
+        if any(k.startswith("r_") for k in stage):
+            df = df.drop("v")   # fields extracted: the whole document is not carried further
     return df.drop("_kind", "_pre", "_rating_num")
 
 

@@ -127,11 +127,16 @@ def review_rows(valid: DataFrame, job_id: Column, keep_all: bool = False) -> Dat
     """
     eligible, review_row, cols, errs = _review_exprs()
     if "_eligible" not in valid.columns:
-        valid = js.fence(valid, _eligible=eligible)
-    df = js.fence(valid, _review_row=review_row)
+        df = js.fence(valid, _eligible=eligible,
+                      _review_row=eligible & REC.truthy("hotelReviewId") & REC.truthy("rating"))
+    else:
+        df = js.fence(valid, _review_row=review_row)
     if not keep_all:
         df = df.filter(F.col("_review_row"))
-    carry = [c for c in df.columns if keep_all or c in ("file", "ord") or c.startswith(("r_", "t_"))]
+    used = {"hotelReviewId", "hotelId", "platform", "rating", "reviewDate", "isShowReviewResponse",
+            "providerId", *REVIEW_TEXT_FIELDS}
+    carry = [c for c in df.columns
+             if keep_all or c in ("file", "ord") or (c[:2] in ("r_", "t_") and c[2:] in used)]
     df = js.fence(df.select(*carry), processing_job_id=job_id, **cols)
     if keep_all:
         return js.fence(df, storage_errors=errs)
@@ -145,10 +150,13 @@ def hotel_rows(valid: DataFrame, keep_all: bool = False) -> DataFrame:
     With ``keep_all`` every input row is kept, flagged ``_eligible`` / ``_hotel_row``,
     with the hotel columns prefixed ``h_`` and their errors in ``hotel_errors``.
     """
-    df = js.fence(valid, _eligible=store_eligible())
-    df = js.fence(df, _hotel_row=F.col("_eligible") & REC.truthy("hotelId") & REC.truthy("hotelName"))
+    eligible = store_eligible()
+    df = js.fence(valid, _eligible=eligible,
+                  _hotel_row=eligible & REC.truthy("hotelId") & REC.truthy("hotelName"))
     if not keep_all:
-        df = df.filter(F.col("_hotel_row"))
+        used = {"hotelId", "platform", "hotelName", "overallByProviders"}
+        df = df.filter(F.col("_hotel_row")).select(
+            "file", "ord", *[c for c in df.columns if c[:2] in ("r_", "t_") and c[2:] in used])
     p0 = F.variant_get(REC["overallByProviders"], "$[0]", "variant")
     df = js.fence(df, _score=F.variant_get(p0, "$.overallScore", "variant"),
                   _count=F.variant_get(p0, "$.reviewCount", "variant"),
