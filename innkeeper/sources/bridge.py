@@ -36,8 +36,16 @@ JOB_STATUS = {"F": "completed", "P": "processing", "O": "failed"}
 PENDING_MOD = 10
 
 
+_TABLES: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The provided (read-only) table; the scan DataFrame is reused within a session,
+    so its file listing and footer schema are read once, not once per query."""
+    key = (id(spark.sparkContext), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -47,10 +55,15 @@ def spread(df: DataFrame) -> DataFrame:
     single row group is read by one task. Large inputs already have at least as
     many splits as cores and are left alone (no extra shuffle).
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    sc = df.sparkSession.sparkContext
+    par = sc.defaultParallelism
+    key = (id(sc), df.inputFiles() and tuple(df.inputFiles()), par)
+    if key not in _SPREAD:
+        _SPREAD[key] = df.rdd.getNumPartitions() < par
+    return df.repartition(par) if _SPREAD[key] else df
+
+
+_SPREAD: dict = {}
 
 
 def _json_string(c: Column) -> Column:
