@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 1).
+     BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 2).
 Each query runs to completion through the ``noop`` sink (full plan executed, no
 driver collect); the best of BENCH_REPEAT warm runs is reported.
 """
@@ -24,7 +24,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
 
     from innkeeper.plans.catalog import QUERIES
     from innkeeper.session import build_session
