@@ -218,3 +218,25 @@ def valid_records(checked: DataFrame, collect_guard: bool = True) -> DataFrame:
     if collect_guard:
         df = df.filter(F.col("rec_truthy"))
     return df
+
+
+# Reviewer sub-record fields (name -> SQL type) of the review feed.
+REVIEWER_FIELDS = {
+    "countryName": "string", "displayMemberName": "string", "flagName": "string",
+    "reviewGroupName": "string", "roomTypeName": "string", "countryId": "bigint",
+    "lengthOfStay": "bigint", "reviewGroupId": "bigint", "roomTypeId": "bigint",
+    "reviewerReviewedCount": "bigint", "isExpertReviewer": "boolean",
+    "isShowGlobalIcon": "boolean", "isShowReviewedCount": "boolean",
+}
+
+
+def reviewers(checked: DataFrame) -> DataFrame:
+    """The nested ``reviewerInfo`` of valid records as typed reviewer columns (P12).
+
+    One row per valid record that carries reviewer info; values that do not fit the
+    declared type are NULL.
+    """
+    rv = F.col("r_reviewerInfo")
+    return (checked.filter(F.col("is_valid") & rv.isNotNull() & ~F.is_variant_null(rv))
+            .select("file", "ord", *[F.try_variant_get(rv, f"$.{k}", t).alias(k)
+                                     for k, t in REVIEWER_FIELDS.items()]))

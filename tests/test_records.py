@@ -90,3 +90,15 @@ def test_policies(spark, lines_of, policy, expected):
     flat = rec(rating=5)
     r = records.file_counts(records.check_lines(lines_of([nested, flat]), policy=policy)).collect()[0]
     assert r.valid_records == expected
+
+
+def test_reviewer_projection(spark, lines_of):
+    info = {"countryName": "Norway", "displayMemberName": "Kari", "countryId": 7, "isExpertReviewer": True,
+            "lengthOfStay": "3"}
+    nested = json.dumps({"hotelId": 1, "platform": "a",
+                         "comment": {"hotelReviewId": 9, "rating": 7, "reviewerInfo": info}})
+    out = records.reviewers(records.check_lines(lines_of([nested, rec(rating=5)]))).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.countryName, r.displayMemberName, r.countryId, r.isExpertReviewer, r.lengthOfStay) == \
+        ("Norway", "Kari", 7, True, 3)
