@@ -42,14 +42,13 @@ def _nan() -> Column:
 # ---------------------------------------------------------------------------
 # Parsing
 # ---------------------------------------------------------------------------
-def strict_parse(line: Column) -> Column:
-    """Parse one line as strict RFC-8259 JSON; SQL NULL when JSON.parse would throw.
+def strict_wrap(line: Column) -> Column:
+    """Parse ``[line,"§"]``: the one JSON parse per line (see strict_parse)."""
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"§"]')))
 
-    ``try_parse_json`` tolerates trailing garbage after the first value, so the line is
-    wrapped in an array with a sentinel second element: the wrapper only parses into
-    exactly two elements with the sentinel second when the line is one whole value.
-    """
-    w = F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"§"]')))
+
+def strict_unwrap(w: Column) -> Column:
+    """The line's value from a wrapped parse; SQL NULL when JSON.parse would throw."""
     ok = F.coalesce(
         (F.try_variant_get(w, "$[1]", "string") == F.lit("§"))
         & F.variant_get(w, "$[2]", "variant").isNull(),
@@ -58,6 +57,18 @@ def strict_parse(line: Column) -> Column:
     return F.when(ok, F.variant_get(w, "$[0]", "variant"))
 
 
+def strict_parse(line: Column) -> Column:
+    """Parse one line as strict RFC-8259 JSON; SQL NULL when JSON.parse would throw.
+
+    ``try_parse_json`` tolerates trailing garbage after the first value, so the line is
+    wrapped in an array with a sentinel second element: the wrapper only parses into
+    exactly two elements with the sentinel second when the line is one whole value.
+    The wrapped value is referenced three times: evaluate ``strict_wrap`` once (a
+    fence) and ``strict_unwrap`` its result when parsing many rows.
+    """
+    return strict_unwrap(strict_wrap(line))
+
+
 def is_blank(s: Column) -> Column:
     """``s.trim() === ""`` with JavaScript's white-space set."""
     return s.rlike("^" + JS_SPACE + "*$")

@@ -23,7 +23,8 @@ def schema_report(df: DataFrame, value: str, expected: dict[str, str]) -> DataFr
     ``expected`` maps a top-level field to one of number/string/boolean/object/array.
     A line that is not strict JSON reports the parse error alone.
     """
-    out = js.fence(df, _v=js.strict_parse(F.col(value)))
+    out = js.fence(df, _w=js.strict_wrap(F.col(value)))
+    out = js.fence(out, _v=js.strict_unwrap(F.col("_w"))).drop("_w")
     fields = {f"_f{i}": js.field(F.col("_v"), f"$.{name}") for i, name in enumerate(expected)}
     out = js.fence(out, **fields)
     out = js.fence(out, **{f"_t{i}": js.vtype(F.col(f"_f{i}")) for i in range(len(expected))})

@@ -136,8 +136,9 @@ def _check_stages(policy: str, validate: bool, rules: tuple) -> list[dict[str, C
     """The fenced stages of check_lines as name -> expression dicts (built once)."""
     stages: list[dict[str, Column]] = []
     blank = js.is_blank(F.col("value"))
-    stages.append(dict(blank=blank, v=F.when(~blank, js.strict_parse(F.col("value"))),
+    stages.append(dict(blank=blank, _w=F.when(~blank, js.strict_wrap(F.col("value"))),
                        _kind=_top_kind(F.col("value"))))
+    stages.append(dict(v=js.strict_unwrap(F.col("_w"))))
     v = F.col("v")
     parsed = v.isNotNull()
     kind = F.col("_kind")
@@ -198,6 +199,8 @@ def check_lines(lines: DataFrame, policy: str = LENIENT, validate: bool = True,
     df = lines
     for stage in _check_stages(policy, validate, tuple(rules)):
         df = js.fence(df, **stage)
+        if "v" in stage:
+            df = df.drop("_w")
         if any(k.startswith("r_") for k in stage):
             df = df.drop("v")   # fields extracted: the whole document is not carried further
     return df.drop("_kind", "_pre", "_rating_num")
