@@ -199,7 +199,7 @@ def per_context(fn):
     def wrapper(*args):
         from pyspark import SparkContext
         sc = SparkContext._active_spark_context
-        key = (id(sc), args)
+        key = (sc.applicationId if sc is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

@@ -42,7 +42,7 @@ _TABLES: dict = {}
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The provided (read-only) table; the scan DataFrame is reused within a session,
     so its file listing and footer schema are read once, not once per query."""
-    key = (id(spark.sparkContext), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]
@@ -57,7 +57,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     par = sc.defaultParallelism
-    key = (id(sc), df.inputFiles() and tuple(df.inputFiles()), par)
+    key = (sc.applicationId, tuple(df.inputFiles()), par)
     if key not in _SPREAD:
         _SPREAD[key] = df.rdd.getNumPartitions() < par
     return df.repartition(par) if _SPREAD[key] else df
