@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ledger, reads, records
+from ..operators import ledger, reads
 from ..session import ensure_conf
 from ..sources import bridge
 from . import ingest
