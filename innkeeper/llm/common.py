@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,25 +21,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def bytes_of(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """The columns of ``keep`` and the text as UTF-8 bytes (null: empty) in a column ``text``."""
-    return docs.select(*keep, F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
-
-
-def per_batch(fn: Callable[[dict], dict], schema: pa.Schema):
-    """mapInArrow function: ``fn`` gets a batch as {column: arrow array}, returns {column: values}."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = fn(dict(zip(b.schema.names, b.columns)))
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, t.type)
-                     for t in schema for v in (out[t.name],)], schema=schema)
-
-    return run
-
-
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``most`` words (then forgotten all at once)."""
 
@@ -69,3 +48,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U64(33))) * U64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> U64(33))) * U64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> U64(33))
+
+
+def text_bytes(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of every text; null counts as empty."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def appended(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The batch with further columns at its end."""
+    return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*batch.schema.names, *more])
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_size(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts: one aggregate over one column, to size blocks and buckets by."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]

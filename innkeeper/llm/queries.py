@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import url_rules
+from . import quality_rules, substring_dedup, suffix_decontam, url_rules
 from .common import table
 
 # The rule list that op8 is asked to apply (fixed by its contract).
@@ -35,10 +36,116 @@ b AS (SELECT rid, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN b USING (rid)
 """
 
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    base = F.col("failed").bitwiseAND(F.lit(quality_rules.mask_of("base-1")).cast("long")) != 0
+    return quality_rules.apply_policy(rows, "web-1").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), "kept", "failed", "sole_rule")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+x AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+t AS (SELECT rid, i, word, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c FROM x
+      WINDOW o AS (PARTITION BY rid ORDER BY i)),
+r AS (SELECT *, c IS NOT NULL AND count(*) OVER (PARTITION BY rid, word, b, c) > 1 AS twice FROM t),
+m AS (SELECT rid, word, twice OR coalesce(lag(twice, 1) OVER o, false) OR coalesce(lag(twice, 2) OVER o, false) AS hit
+      FROM r WINDOW o AS (PARTITION BY rid ORDER BY i)),
+a AS (SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars, count(*) FILTER (hit) AS n_repeat_words,
+             count(*) FILTER (regexp_matches(word, '[A-Z]') AND NOT regexp_matches(word, '[a-z]')) AS n_upper
+      FROM m GROUP BY rid),
+l AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+f AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             coalesce(n_lines, 0) AS n_lines, coalesce(n_upper, 0) AS n_upper
+      FROM d LEFT JOIN a USING (rid) LEFT JOIN k USING (rid)),
+b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
+                 + 4 * (10 * n_symbols > n_words)::INT + 8 * (100 * n_dup_lines > 40 * n_lines)::INT
+                 + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
+                 + 32 * (2 * n_upper > n_words)::INT)::BIGINT AS failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed,
+       failed = 0 AS kept, failed,
+       CASE failed WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols'
+                   WHEN 8 THEN 'repeated_lines' WHEN 16 THEN 'word_length' WHEN 32 THEN 'upper_case' END AS sole_rule
+FROM b
+"""
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed_starts").alias("n_intervals"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n, ws FROM d),
+v AS (SELECT rid, i, word, CASE WHEN i + 34 <= n THEN md5(array_to_string(ws[i:i + 34], ' ')) END AS win FROM x),
+r AS (SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS twice FROM v),
+c AS (SELECT rid, i, word, max(twice::INT) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW)
+             AS gone FROM r),
+e AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY i), 0) = 0 AS begins FROM c),
+g AS (SELECT rid, count(*) AS n_words, sum(gone) AS n_removed, count(*) FILTER (begins) AS n_intervals,
+             string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM e GROUP BY rid)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_intervals, 0)::INT AS n_intervals
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
+def op10_suffix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_decontam.find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                         table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("_items"), ","), 256).alias("items_sha256"),
+        suffix_decontam.contaminated().alias("contaminated"), F.col("_longest").alias("longest_match"))
+
+
+OP10_SQL = r"""
+WITH low AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t,
+                    row_number() OVER () AS rid, doc_id FROM documents),
+d AS (SELECT rid, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+      FROM benchmark),
+bw AS (SELECT item, ws, least(len(ws), 13) AS n, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS j FROM b WHERE len(ws) > 0),
+bh AS (SELECT DISTINCT item, j, n, md5(array_to_string(ws[j:j + n - 1], ' ')) AS h FROM bw),
+sizes AS (SELECT DISTINCT n FROM bh),
+dw AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+dh AS (SELECT rid, i, n, md5(array_to_string(ws[i:i + n - 1], ' ')) AS h FROM dw, sizes WHERE i + n - 1 <= len(ws)),
+m AS (SELECT rid, i, j, item, n FROM dh JOIN bh USING (n, h)),
+cov AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM m) GROUP BY rid),
+its AS (SELECT rid, count(DISTINCT item) AS n_items,
+               array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM m GROUP BY rid),
+isl AS (SELECT rid, item, i - j AS diag, n, i - row_number() OVER (PARTITION BY rid, item, i - j ORDER BY i) AS g FROM m),
+lon AS (SELECT rid, max(len) AS longest FROM (SELECT rid, any_value(n) + count(*) - 1 AS len FROM isl
+        GROUP BY rid, item, diag, g) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated,
+       coalesce(longest, 0)::BIGINT AS longest_match
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid) LEFT JOIN lon USING (rid)
+"""
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op8_url_rules": op8_url_rules,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_suffix_decontam": op10_suffix_decontam,
 }
 
 ORACLE_SQL = {
+    "op1_quality_rules": OP1_SQL,
     "op8_url_rules": OP8_SQL,
+    "op9_substring_dedup": OP9_SQL,
+    "op10_suffix_decontam": OP10_SQL,
 }
