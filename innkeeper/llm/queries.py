@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, substring_dedup, suffix_decontam, url_rules
+import public_tokenizers
+
+from innkeeper.session import scratch_path
+
+from . import curriculum, minhash_dedup, quality_rules, substring_dedup, suffix_decontam, token_files, url_rules
 from .common import table
+from .components import stored
 
 # The rule list that op8 is asked to apply (fixed by its contract).
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -77,6 +82,64 @@ FROM b
 """
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+r AS (SELECT doc_id AS v, doc_id AS w FROM d UNION SELECT r.v, l.b FROM r JOIN l ON r.w = l.a),
+c AS (SELECT v AS doc_id, min(w) AS component_id FROM r GROUP BY v)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.checksums(token_files.read_tokens(spark, path)).withColumnRenamed("key", "doc_id")
+
+
+def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(curriculum.sized(table(spark, sf_dir, "documents"), "doc_id", "source"), "sizes")
+    return curriculum.mix(rows).select(
+        "doc_id", "size", "source_size", "target", "taken", F.size("times").alias("n_copies"),
+        F.round(F.get("times", F.lit(0)), 6).alias("first_time"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+o AS (SELECT *, source_size * 2.0::DOUBLE AS most,
+             (1.5::DOUBLE * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER b, 0))
+             / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
+      FROM w WINDOW b AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(most, coalesce(weight * max(level) FILTER (most > weight * level) OVER (), most))
+             AS target FROM o),
+p AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')),
+             doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM d),
+c AS (SELECT doc_id, size, source_size, target, pos,
+             greatest(least(floor(target) - pos, size), 0)::BIGINT AS one,
+             greatest(least(floor(target) - pos - source_size, size), 0)::BIGINT AS two
+      FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, one + two AS taken,
+       (one > 0)::INT + (two > 0)::INT AS n_copies,
+       CASE WHEN one > 0 THEN round(sqrt(0.25 + 2.0::DOUBLE * least(pos::DOUBLE / target, 1.0)) - 0.5, 6) END AS first_time
+FROM c
+"""
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed_starts").alias("n_intervals"))
@@ -138,6 +201,9 @@ FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid) LEFT JOIN lon USING (
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_token_files": op3_token_files,
+    "op4_curriculum": op4_curriculum,
     "op8_url_rules": op8_url_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_decontam": op10_suffix_decontam,
@@ -145,6 +211,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
+    "op2_minhash_dedup": OP2_SQL,
+    "op4_curriculum": OP4_SQL,
     "op8_url_rules": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_suffix_decontam": OP10_SQL,
