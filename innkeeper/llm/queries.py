@@ -9,10 +9,55 @@ import public_tokenizers
 
 from innkeeper.session import scratch_path
 
-from . import curriculum, minhash_dedup, quality_rules, substring_dedup, suffix_decontam, token_files, url_rules
+from . import curriculum, minhash_dedup, quality_rules, secret_entropy, substring_dedup, suffix_decontam, token_files, url_rules
 from .common import table
 from .components import stored
 
+def op7_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_entropy.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind_no"] < 3)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_entropy.text_of(base), 256).alias("base_sha256"),
+        secret_entropy.text_of(F.col("spans")).alias("spans"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+pat(kind, kind_no, rx, grp) AS (VALUES
+  ('assign', 0, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
+  ('access', 1, 'AKIA[A-Z0-9]+', 0), ('hex', 2, '[0-9a-f]{24,}', 0),
+  ('entropy_hex', 3, '[0-9A-Fa-f]{24,}', 0), ('entropy_base64', 4, '[A-Za-z0-9+/_=-]{24,}', 0)),
+raw AS (SELECT rid, kind, kind_no, string_split_regex(t, rx) AS pieces, regexp_extract_all(t, rx) AS ms,
+        CASE WHEN kind_no = 0 THEN regexp_extract_all(t, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)
+             ELSE regexp_extract_all(t, rx) END AS vs FROM d, pat WHERE regexp_matches(t, rx)),
+one AS (SELECT rid, kind, kind_no, unnest(range(1, len(ms) + 1)) AS i, pieces, ms, vs FROM raw),
+loc AS (SELECT rid, kind, kind_no, ms[i] AS m, vs[i] AS v, length(ms[i]) AS len,
+               sum(length(pieces[i]) + length(ms[i])) OVER (PARTITION BY rid, kind ORDER BY i) - length(ms[i]) AS start FROM one),
+base AS (SELECT rid, kind, kind_no, start, start + len AS fin FROM loc
+         WHERE (kind_no = 0 AND length(v) >= 6) OR (kind_no = 1 AND len >= 20) OR kind_no = 2),
+cand AS (SELECT *, row_number() OVER () AS cid FROM loc WHERE kind_no > 2 AND NOT regexp_matches(m,
+  '(^[A-Za-z]+$)|(^[0-9]+$)|(^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$)|(^[a-z0-9]+([/_-][a-z]+){2,}[/_-]?$)')),
+win AS (SELECT cid, unnest(range(0, len - 23)) AS w, m FROM cand),
+chr AS (SELECT cid, w, unnest(string_split(substr(m, w + 1, 24), '')) AS c FROM win),
+cnt AS (SELECT cid, w, c, count(*) AS n FROM chr GROUP BY cid, w, c),
+ent AS (SELECT cid, w, sum(round(1000000 * n * log2(n))) AS terms FROM cnt GROUP BY cid, w),
+flag AS (SELECT cid, min(w) AS a, max(w) AS z FROM ent JOIN cand USING (cid)
+         WHERE terms <= CASE WHEN kind_no = 3 THEN floor(1000000 * 24 * (log2(24) - 3.0))
+                             ELSE floor(1000000 * 24 * (log2(24) - 3.9)) END GROUP BY cid),
+sp AS (SELECT rid, kind, kind_no, start, fin FROM base
+       UNION ALL SELECT rid, kind, kind_no, start + a, start + z + 24 FROM flag JOIN cand USING (cid)),
+txt AS (SELECT rid, count(*) FILTER (kind_no = 0) AS a, count(*) FILTER (kind_no = 1) AS b, count(*) FILTER (kind_no = 2) AS c,
+               string_agg(kind || ':' || start::BIGINT || ':' || fin::BIGINT, ',' ORDER BY start, kind_no) AS everything,
+               string_agg(kind || ':' || start::BIGINT || ':' || fin::BIGINT, ',' ORDER BY start, kind_no) FILTER (kind_no < 3) AS basic
+        FROM sp GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(basic, '')) AS base_sha256, coalesce(everything, '') AS spans
+FROM d LEFT JOIN txt USING (rid)
+"""
+
+
 # The rule list that op8 is asked to apply (fixed by its contract).
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -204,6 +249,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_token_files": op3_token_files,
     "op4_curriculum": op4_curriculum,
+    "op7_secret_entropy": op7_secret_entropy,
     "op8_url_rules": op8_url_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_decontam": op10_suffix_decontam,
@@ -213,6 +259,7 @@ ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op2_minhash_dedup": OP2_SQL,
     "op4_curriculum": OP4_SQL,
+    "op7_secret_entropy": OP7_SQL,
     "op8_url_rules": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_suffix_decontam": OP10_SQL,
