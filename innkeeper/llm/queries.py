@@ -9,10 +9,21 @@ import public_tokenizers
 
 from innkeeper.session import scratch_path
 
-from . import curriculum, minhash_dedup, quality_rules, secret_entropy, substring_dedup, suffix_decontam, token_files, url_rules
+from . import curriculum, minhash_dedup, pii_feistel, quality_rules, secret_entropy, substring_dedup, suffix_decontam, token_files, url_rules
 from .common import table
 from .components import stored
 
+# The key of the registered query's pseudonyms; a deployment passes its own.
+PII_SECRET = "op6-registered-query"
+
+
+def op6_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_feistel.pseudonymize(table(spark, sf_dir, "documents"), PII_SECRET)
+    count = lambda kind: F.size(F.filter("found", lambda f: f["kind"] == kind)).cast("long")
+    return out.select("doc_id", "text", *[count(k).alias(f"n_{k}") for k in pii_feistel.KINDS],
+                      F.array_join(F.transform("found", lambda f: F.concat_ws(":", f["kind"], f["value"])), ",").alias("pseudonyms"))
+
+
 def op7_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_entropy.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind_no"] < 3)
@@ -249,6 +260,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_token_files": op3_token_files,
     "op4_curriculum": op4_curriculum,
+    "op6_pii_feistel": op6_pii_feistel,
     "op7_secret_entropy": op7_secret_entropy,
     "op8_url_rules": op8_url_rules,
     "op9_substring_dedup": op9_substring_dedup,
