@@ -9,10 +9,19 @@ import public_tokenizers
 
 from innkeeper.session import scratch_path
 
-from . import curriculum, minhash_dedup, pii_feistel, quality_rules, secret_entropy, substring_dedup, suffix_decontam, token_files, url_rules
+from . import (curriculum, minhash_dedup, pii_feistel, quality_rules, secret_entropy, substring_dedup,
+               suffix_decontam, token_files, toxicity, url_rules)
 from .common import table
 from .components import stored
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= toxicity.REJECT_AT).cast("int").alias("predicted"))
+
+
 # The key of the registered query's pseudonyms; a deployment passes its own.
 PII_SECRET = "op6-registered-query"
 
@@ -260,6 +269,7 @@ QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_token_files": op3_token_files,
     "op4_curriculum": op4_curriculum,
+    "op5_toxicity": op5_toxicity,
     "op6_pii_feistel": op6_pii_feistel,
     "op7_secret_entropy": op7_secret_entropy,
     "op8_url_rules": op8_url_rules,
