@@ -42,8 +42,8 @@ WORDS, LEAST_Z, LEAST_DOCS = 512, 3.0, 3  # words with an embedding of their own
 TRIGRAMS = 1024  # buckets of character trigrams, a power of 2
 WIDTH, HIDDEN = 8, 8  # of each embedding, of each direction
 POSITIVES, NEGATIVES, MOST_CHARS = 700, 1000, 20_000
-EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.01, 1e-3
-ROBUST_FROM, Q = 3, 0.7
+EPOCHS, LEAST_STEPS, BATCH, RATE, DECAY = 12, 300, 64, 0.01, 0.1
+ROBUST_FROM, Q = 0.25, 0.7  # part of the training after which the loss is the robust one
 REJECT_AT = 0.7
 SEED = 7
 CACHE = 60_000
@@ -244,6 +244,8 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     first = np.searchsorted(owner, np.arange(len(texts)))
     count = np.bincount(owner, minlength=len(texts))
     weight = np.sqrt(np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))).astype(np.float32)
+    batches = -(-int(len(y) + (y == 0).sum()) // BATCH)
+    epochs = max(epochs, -(-LEAST_STEPS // batches))  # a small sample is gone over more often
     p, moments, step = model.p, {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.p.items()}, 0
     for epoch in range(epochs):
         if epoch == 0:
@@ -258,7 +260,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
         for at in range(0, len(chosen), BATCH):
             pick = shuffled[at:at + BATCH]
             step += 1
-            g = gradients(model, windows[chosen[pick]], goal[pick], w[pick], known, own, robust=epoch >= ROBUST_FROM)
+            g = gradients(model, windows[chosen[pick]], goal[pick], w[pick], known, own, robust=epoch >= ROBUST_FROM * epochs)
             for k, d in g.items():
                 m, v = moments[k]
                 m += 0.1 * (d - m)
