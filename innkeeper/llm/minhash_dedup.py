@@ -13,13 +13,18 @@ be part of a shared table key, so the product is formed from shared half keys on
 
 Finding links without comparing all pairs of a bucket:
   1. Documents with equal sets form a class; one document (the smallest) stands for it.
-  2. Every class is compared to the class it shares most half keys with, among the smallest
-     class of each half key; that alone ties nearly all copies of a text together.
-  3. Half keys, then table keys, that lie within one component need no more comparisons. In
-     the buckets that are left, all pairs of different components are still to be judged:
-     classes outside a bucket's largest component are compared to the rest of it, in rounds
-     of at most 32 of them a bucket. Pairs are first held against the two sketches (one byte
-     of each minhash; a pair at 0.75 is lost here with a probability of 1e-7) and sizes.
+  2. Every half key names its most central class (the one whose half keys are the most
+     shared), and every class is compared to the class that most of its half keys name. That
+     alone ties nearly all copies of a text together.
+  3. Half keys, then table keys, that lie within one component need no more comparisons. For
+     the classes that are left, shingles that no other of them has are counted: a link needs
+     7/3 of the common shingles to reach both sizes together, so classes with too many own
+     shingles (heavily edited copies) cannot have one and are done, exactly.
+  4. In the buckets that still hold several components, all pairs of different components are
+     to be judged: classes outside a bucket's largest component are compared to the rest of
+     it, in rounds of at most 32 of them a bucket. Pairs are first held against the bound of
+     step 3 and the sketches (one byte of each minhash; a pair at 0.75 is lost here with a
+     probability of 1e-7).
 Every comparison that makes a link is between full sets, recomputed from the texts.
 
 Edge cases: null or empty texts have the empty set, are linked with nothing and are kept;
@@ -164,23 +169,40 @@ def _mixed_keys(rows: DataFrame, key: str) -> DataFrame:
     return ends.where("_lo <> _hi").select(key)
 
 
-def _judge_buckets(buckets: DataFrame, classes: DataFrame, texts: DataFrame, labels: DataFrame | None,
-                   threshold: int) -> DataFrame | None:
-    """Compares all pairs of a bucket (table, id, root) that lie in different components."""
-    parts = buckets.groupBy("table", "root").agg(F.count("*").alias("n"))
-    sides = stored(parts.groupBy("table").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
-                                              (F.sum("n") - F.max("n")).alias("others")), "sides")
-    members = stored(buckets.join(classes.select("id", "n", "sketch"), "id"), "members")
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 200):
+            b = whole.slice(at, 200)
+            sets = [shingle_set(t) for t in text_bytes(b.column("text"))]
+            which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").take(pa.array(which)), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"])
+
+
+def common_sizes(texts: DataFrame) -> DataFrame:
+    """(id, own): how many shingles of a text no other of the texts (id, text) has."""
+    kind = texts.schema["id"].dataType.simpleString()
+    each = texts.mapInArrow(_shingles, f"id {kind}, shingle long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return alone.groupBy("id").agg(F.count("*").alias("own"))
+
+
+def _judge_buckets(buckets: DataFrame, texts: DataFrame, labels: DataFrame | None, threshold: int) -> DataFrame | None:
+    """Compares pairs of a bucket (table, id, root, n, common, sketch) that lie in different components."""
+    parts = buckets.groupBy("table", "root").agg(F.count("*").alias("k"))
+    sides = stored(parts.groupBy("table").agg(F.max_by("root", F.struct("k", "root")).alias("largest"),
+                                              (F.sum("k") - F.max("k")).alias("others")), "sides")
     turns = F.ceil(F.col("others") / LEADERS)
-    leads = stored(members.join(sides, "table").where("root <> largest").select(
-        "table", F.col("id").alias("l_id"), F.col("root").alias("l_root"), F.col("n").alias("l_n"),
-        F.col("sketch").alias("l_sketch"), F.pmod(F.xxhash64("id"), turns).alias("turn")), "leads")
+    leads = stored(buckets.join(sides, "table").where("root <> largest").select(
+        "table", *[F.col(c).alias(f"l_{c}") for c in ("id", "root", "n", "common", "sketch")],
+        F.pmod(F.xxhash64("id"), turns).alias("turn")), "leads")
     tested = None
     for turn in range(sides.agg(F.max(turns)).first()[0]):
-        pairs = leads.where(F.col("turn") == turn).join(members, "table").where("l_root <> root")
-        pairs = pairs.where(100 * F.least("n", "l_n") >= threshold * F.greatest("n", "l_n"))
-        pairs = pairs.where(agreeing("sketch", "l_sketch") >= SKETCH_LEAST).select(
-            F.least("id", "l_id").alias("leader"), F.greatest("id", "l_id").alias("id")).distinct()
+        pairs = leads.where(F.col("turn") == turn).join(buckets, "table").where("l_root <> root")
+        pairs = pairs.where((100 + threshold) * F.least("common", "l_common") >= threshold * (F.col("n") + F.col("l_n")))
+        pairs = pairs.groupBy(F.least("id", "l_id").alias("leader"), F.greatest("id", "l_id").alias("id")).agg(
+            F.first("sketch").alias("x"), F.first("l_sketch").alias("y"))
+        pairs = pairs.where(agreeing("x", "y") >= SKETCH_LEAST).select("leader", "id")
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "id"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -198,33 +220,39 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", t
         F.first("sketch").alias("sketch")), "classes")
 
     halves = classes.select("id", F.posexplode("halves").alias("slot", "half"))
-    shared = stored(halves.groupBy("half").agg(F.count("*").alias("n"), F.min("id").alias("leader"))
-                    .where("n > 1").select("half", "leader"), "shared")
-    members = stored(halves.join(shared, "half").select("half", "slot", "id", "leader"), "members")
-
-    # Step 2: each class and the one leader it shares most half keys with.
-    counts = members.where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("n"))
-    best = counts.groupBy("id").agg(F.max("n").alias("n"),
-                                    F.min_by("leader", F.struct(-F.col("n"), "leader")).alias("leader"))
-    first = stored(best.where(F.col("n") >= SHARED_LEAST).select("leader", "id"), "pairs")
-    wanted = members.select("id").union(members.select(F.col("leader"))).distinct()
-    texts = stored(docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
+    shared = stored(halves.groupBy("half").agg(F.count("*").alias("k")).where("k > 1"), "shared")
+    members = stored(halves.join(shared, "half").select("half", "slot", "id", "k"), "members")
+
+    # Step 2: each class and the one class that most of its half keys name.
+    central = stored(members.groupBy("id").agg(F.sum("k").alias("weight")), "central")
+    weighed = members.join(central, "id")
+    names = stored(weighed.groupBy("half").agg(
+        F.max(F.struct("weight", "id"))["id"].alias("leader")), "names")
+    counts = members.join(names, "half").where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("k"))
+    best = counts.groupBy("id").agg(F.max(F.struct("k", "leader")).alias("b")).where(F.col("b.k") >= SHARED_LEAST)
+    first = stored(best.select(F.col("b.leader").alias("leader"), "id"), "pairs")
+    texts = stored(docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(central, "id", "left_semi")
                    .dropDuplicates(["id", "text"]), "texts")
     labels = absorb(None, links_of(first, texts, threshold))
 
-    # Step 3: what half keys, then table keys, have in two components or more.
-    open_ = rooted(members.select("half", "slot", "id"), labels)
+    # Step 3: half keys, then table keys, in two components or more; classes that can have a link.
+    open_ = stored(rooted(members.select("half", "slot", "id"), labels), "rooted")
     keys = stored(_mixed_keys(open_, "half"), "open-halves")
-    left = open_.join(keys, "half", "left_semi").groupBy("id").agg(F.collect_set(F.struct("slot", "half")).alias("h"))
+    left = open_.join(keys, "half", "left_semi").groupBy("id", "root").agg(F.collect_set(F.struct("slot", "half")).alias("h"))
     side = lambda cond: F.filter("h", cond)
-    tables = left.select("id", F.explode(F.flatten(F.transform(
+    tables = stored(left.select("id", "root", F.explode(F.flatten(F.transform(
         side(lambda x: x["slot"] < BANDS), lambda a: F.transform(
-            side(lambda x: x["slot"] >= BANDS), lambda b: F.xxhash64(a["half"], b["half"]))))).alias("table"))
-    tables = stored(tables, "tables")
-    now = rooted(tables, labels)
-    buckets = stored(now.join(stored(_mixed_keys(now, "table"), "open-tables"), "table", "left_semi"), "buckets")
-    if not buckets.isEmpty():
-        labels = _judge_buckets(buckets, classes, texts, labels, threshold)
+            side(lambda x: x["slot"] >= BANDS), lambda b: F.xxhash64(a["half"], b["half"]))))).alias("table")), "tables")
+    near = stored(tables.join(stored(_mixed_keys(tables, "table"), "open-tables"), "table", "left_semi"), "near")
+    if not near.isEmpty():
+        wanted = near.select("id").distinct()
+        own = stored(common_sizes(texts.join(wanted, "id", "left_semi")), "own")
+        able = wanted.join(classes.select("id", "n", "sketch"), "id").join(own, "id", "left").withColumn(
+            "common", F.col("n") - F.coalesce("own", F.lit(0))).where(100 * F.col("common") >= threshold * F.col("n"))
+        near = stored(near.join(stored(able.drop("own"), "able"), "id"), "near")
+        buckets = stored(near.join(stored(_mixed_keys(near, "table"), "open-tables"), "table", "left_semi"), "buckets")
+        if not buckets.isEmpty():
+            labels = _judge_buckets(buckets, texts, labels, threshold)
 
     grouped = stored(rooted(classes.select("set_id", "id"), labels).select("set_id", "root"), "grouped")
     out = signed.select("id", "n_shingles", "set_id").join(grouped, "set_id", "left")
