@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +27,7 @@ def ascii_lower(c: Column) -> Column:
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``most`` words (then forgotten all at once)."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
@@ -60,6 +63,15 @@ def appended(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*batch.schema.names, *more])
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the driver's folder, where they share it; a cluster
+    whose machines do not gets the package as usual (an installed wheel, --py-files)."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,14 +17,14 @@ Finding links without comparing all pairs of a bucket:
      shared), and every class is compared to the class that most of its half keys name. That
      alone ties nearly all copies of a text together.
   3. Half keys, then table keys, that lie within one component need no more comparisons. For
-     the classes that are left, shingles that no other of them has are counted: a link needs
-     7/3 of the common shingles to reach both sizes together, so classes with too many own
-     shingles (heavily edited copies) cannot have one and are done, exactly.
+     the classes that are left, shingles that no other of them has are counted. A class whose
+     common shingles (with any other) are too few for a link is done, exactly.
   4. In the buckets that still hold several components, all pairs of different components are
      to be judged: classes outside a bucket's largest component are compared to the rest of
-     it, in rounds of at most 32 of them a bucket. Pairs are first held against the bound of
-     step 3 and the sketches (one byte of each minhash; a pair at 0.75 is lost here with a
-     probability of 1e-7).
+     it, in rounds of at most 128 of them a bucket. Pairs are first held against an exact upper
+     bound of their intersection (``most_common``), for which step 2 has kept what each class
+     lacks of the class it was compared to. Then against the sketches (one byte of each
+     minhash; a pair at 0.75 is lost here with a probability of 3e-6).
 Every comparison that makes a link is between full sets, recomputed from the texts.
 
 Edge cases: null or empty texts have the empty set, are linked with nothing and are kept;
@@ -38,20 +38,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from .common import U64, WORD_HASHES, appended, mixed, text_bytes
+from .common import U64, WORD_HASHES, appended, importable, mixed, text_bytes
 from .components import absorb, stored
 
 SHINGLE = 5
 BANDS = 12  # half keys in each of the two collections
 ROWS = 2  # minhashes of a half key
 HASHES = 2 * BANDS * ROWS
-SKETCH_LEAST = 19  # of 48; a pair at similarity 0.75 has 36, with a standard deviation of 3
+SKETCH_LEAST = 22  # of 48; a pair at similarity 0.75 has 36, with a standard deviation of 3
 SHARED_LEAST = 4  # half keys shared with the class that step 2 compares to
-LEADERS = 32
+LEADERS = 128
+MISSING = [f"missing{k}" for k in range(4)]  # columns of 64 fields of 4 bits
 CHUNK = 64  # classes compared to one class in one group
 BLOCK = 1 << 17  # shingles hashed at once
 
@@ -119,32 +120,66 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    importable(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
     return narrow.mapInArrow(_sign, f"id {kind}, n_shingles long, set_id string, halves array<long>, sketch binary")
 
 
+def missing_counts(hub: np.ndarray, own: np.ndarray) -> list[int | None]:
+    """How many shingles of hub a set lacks, by 64 ranges of the hash, as unary numbers of 4 bits; all null
+    if a range has more than 4. The AND of two of them has as many bits as the smaller count."""
+    counts = np.bincount((np.setdiff1d(hub, own, assume_unique=True) >> U64(58)).astype(np.int64), minlength=64)
+    if counts.max() > 4:
+        return [None] * 4
+    unary = ((1 << counts) - 1).astype(U64).reshape(4, 16) << (4 * np.arange(16)).astype(U64)
+    return np.bitwise_or.reduce(unary, 1).view(np.int64).tolist()
+
+
 def _compare(threshold: int):
-    """Group of one leader (rows of its own text) and classes to compare it to -> the links among them."""
+    """Group of one leader (rows of its own text) and classes to compare it to -> their intersections."""
 
     def run(group: pa.Table) -> pa.Table:
         leader, ids = group.column("leader")[0].as_py(), group.column("id").to_pylist()
         sets = [shingle_set(t) for t in text_bytes(group.column("text").combine_chunks())]
         own = [s for i, s in zip(ids, sets) if i == leader]
-        linked = set()
+        shared, linked, lacks = {}, {}, {}
         for i, s in zip(ids, sets):
             for o in own if i != leader and len(s) else ():
                 both = len(np.intersect1d(s, o, assume_unique=True))
-                if 100 * both >= threshold * (len(s) + len(o) - both):
-                    linked.add(i)
-        out = pa.array(sorted(linked), group.schema.field("id").type)
-        return pa.table({"a": out, "b": pa.array([leader] * len(out), group.schema.field("leader").type)})
+                # Two texts of one key: only the weaker of the bounds holds for them.
+                lacks[i] = [None] * 4 if i in shared or len(own) > 1 else missing_counts(o, s)
+                shared[i] = max(shared.get(i, 0), both)
+                linked[i] = linked.get(i, False) or 100 * both >= threshold * (len(s) + len(o) - both)
+        of = sorted(shared)
+        columns = {"a": pa.array(of, group.schema.field("id").type),
+                   "b": pa.array([leader] * len(of), group.schema.field("leader").type),
+                   "both": pa.array([shared[i] for i in of], pa.int64()),
+                   "linked": pa.array([linked[i] for i in of], pa.bool_()),
+                   "hub_n": pa.array([max(map(len, own), default=0)] * len(of), pa.int64())}
+        return pa.table(columns | {m: pa.array([lacks[i][k] for i in of], pa.int64()) for k, m in enumerate(MISSING)})
 
     return run
 
 
-def links_of(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Of stored pairs (leader, id), the links (a, b) by full sets. texts: stored (id, text)."""
+def most_common() -> Column:
+    """An upper bound of the intersection of two classes x and y (columns with and without l_).
+
+    At most the smaller number of common shingles. With the same hub H it is what both have of H, plus
+    at most the smaller number of common shingles outside H. Both have of H at most the smaller of
+    what each has; and exactly |x & H| + |y & H| - |H| + what both lack, for which ``missing`` gives a bound.
+    """
+    least = lambda c: F.least(F.col(c), F.col(f"l_{c}"))
+    lack = sum((F.bit_count(F.col(m).bitwiseAND(F.col(f"l_{m}"))) for m in MISSING), F.lit(0))
+    # F.least passes over a null, as the third is where a range had too many.
+    in_hub = F.least("in_hub", "l_in_hub", F.col("in_hub") + F.col("l_in_hub") - F.col("hub_n") + lack)
+    outside = F.least(F.col("common") - F.col("in_hub"), F.col("l_common") - F.col("l_in_hub"))
+    return F.when(F.col("hub") == F.col("l_hub"), F.least(in_hub + outside, least("common"))).otherwise(least("common"))
+
+
+def compared(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Of stored pairs (leader, id): a (the id), b (the leader), both (size of the intersection of the
+    full sets), linked, hub_n (size of the leader's set) and what a lacks of it. texts: stored (id, text)."""
     kind = pairs.schema["id"].dataType.simpleString()
     many = stored(pairs.groupBy("leader").count().where(F.col("count") > CHUNK)
                   .select("leader", F.ceil(F.col("count") / CHUNK).alias("chunks")), "chunks")
@@ -152,7 +187,8 @@ def links_of(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
         "leader", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).alias("chunk"), "id")
     rows = cut.union(cut.select("leader", "chunk", F.col("leader")).distinct())
     group = rows.join(texts, "id").select("leader", "chunk", "id", "text")
-    return stored(group.groupBy("leader", "chunk").applyInArrow(_compare(threshold), f"a {kind}, b {kind}"), "verified")
+    return stored(group.groupBy("leader", "chunk").applyInArrow(_compare(threshold), f"a {kind}, b {kind}, both long, linked boolean, "
+        "hub_n long, " + ", ".join(f"{m} long" for m in MISSING)), "compared")
 
 
 def rooted(df: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -188,18 +224,19 @@ def common_sizes(texts: DataFrame) -> DataFrame:
 
 
 def _judge_buckets(buckets: DataFrame, texts: DataFrame, labels: DataFrame | None, threshold: int) -> DataFrame | None:
-    """Compares pairs of a bucket (table, id, root, n, common, sketch) that lie in different components."""
+    """Compares pairs of a bucket that lie in different components. Columns: table, id, root, n, common,
+    sketch, hub (the class that step 2 compared to, or null), its hub_n, in_hub (the intersection) and missing."""
     parts = buckets.groupBy("table", "root").agg(F.count("*").alias("k"))
     sides = stored(parts.groupBy("table").agg(F.max_by("root", F.struct("k", "root")).alias("largest"),
                                               (F.sum("k") - F.max("k")).alias("others")), "sides")
     turns = F.ceil(F.col("others") / LEADERS)
     leads = stored(buckets.join(sides, "table").where("root <> largest").select(
-        "table", *[F.col(c).alias(f"l_{c}") for c in ("id", "root", "n", "common", "sketch")],
+        "table", *[F.col(c).alias(f"l_{c}") for c in ("id", "root", "n", "common", "sketch", "hub", "in_hub", *MISSING)],
         F.pmod(F.xxhash64("id"), turns).alias("turn")), "leads")
     tested = None
     for turn in range(sides.agg(F.max(turns)).first()[0]):
         pairs = leads.where(F.col("turn") == turn).join(buckets, "table").where("l_root <> root")
-        pairs = pairs.where((100 + threshold) * F.least("common", "l_common") >= threshold * (F.col("n") + F.col("l_n")))
+        pairs = pairs.where((100 + threshold) * most_common() >= threshold * (F.col("n") + F.col("l_n")))
         pairs = pairs.groupBy(F.least("id", "l_id").alias("leader"), F.greatest("id", "l_id").alias("id")).agg(
             F.first("sketch").alias("x"), F.first("l_sketch").alias("y"))
         pairs = pairs.where(agreeing("x", "y") >= SKETCH_LEAST).select("leader", "id")
@@ -208,7 +245,7 @@ def _judge_buckets(buckets: DataFrame, texts: DataFrame, labels: DataFrame | Non
         pairs = stored(pairs, "pairs")
         if not pairs.isEmpty():
             tested = pairs if tested is None else stored(tested.union(pairs), "tested")
-            labels = absorb(labels, links_of(pairs, texts, threshold))
+            labels = absorb(labels, compared(pairs, texts, threshold).where("linked").select("a", "b"))
     return labels
 
 
@@ -233,7 +270,8 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", t
     first = stored(best.select(F.col("b.leader").alias("leader"), "id"), "pairs")
     texts = stored(docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(central, "id", "left_semi")
                    .dropDuplicates(["id", "text"]), "texts")
-    labels = absorb(None, links_of(first, texts, threshold))
+    judged = compared(first, texts, threshold)
+    labels = absorb(None, judged.where("linked").select("a", "b"))
 
     # Step 3: half keys, then table keys, in two components or more; classes that can have a link.
     open_ = stored(rooted(members.select("half", "slot", "id"), labels), "rooted")
@@ -246,7 +284,11 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", t
     near = stored(tables.join(stored(_mixed_keys(tables, "table"), "open-tables"), "table", "left_semi"), "near")
     if not near.isEmpty():
         wanted = near.select("id").distinct()
-        own = stored(common_sizes(texts.join(wanted, "id", "left_semi")), "own")
+        hubs = judged.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("both").alias("in_hub"), "hub_n", *MISSING)
+        wanted = stored(wanted.join(hubs, "id", "left"), "wanted")
+        # With the hubs among the texts, all that a text has of its hub is common.
+        among = wanted.select("id").union(wanted.where("hub IS NOT NULL").select("hub")).distinct()
+        own = stored(common_sizes(texts.join(among, "id", "left_semi")), "own")
         able = wanted.join(classes.select("id", "n", "sketch"), "id").join(own, "id", "left").withColumn(
             "common", F.col("n") - F.coalesce("own", F.lit(0))).where(100 * F.col("common") >= threshold * F.col("n"))
         near = stored(near.join(stored(able.drop("own"), "able"), "id"), "near")

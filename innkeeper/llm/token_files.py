@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, text_bytes
+from .common import importable, shuffle_partitions, text_bytes
 
 END_ID = 2
 FILE_FORMAT = {
@@ -114,6 +114,7 @@ def _encode(file: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, key: str = "doc_id",
                  text: str = "text") -> None:
     """Encodes docs into Parquet files under ``path``."""
+    importable(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     ordered = narrow.repartitionByRange(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
@@ -140,6 +141,7 @@ def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True
 
 def checksums(tokens: DataFrame) -> DataFrame:
     """ids replaced by ids_crc32: unsigned CRC-32 of the ids as little-endian 32-bit integers."""
+    importable(tokens.sparkSession)
     kept = [c for c in tokens.columns if c != "ids"]
     at = tokens.columns.index("ids")
 
