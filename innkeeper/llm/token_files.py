@@ -9,9 +9,11 @@ metadata without the ids.
 
 Texts are range-partitioned by key before they are encoded: a text is smaller than its ids.
 The tokenizer removes white space before it looks at anything else and no piece of its
-pre-tokenizer spans white space, so each run of other characters is encoded on its own and
-remembered (``independent_words`` checks the tokenizer file for that; other files are
-encoded text by text).
+pre-tokenizer spans white space, so words can be encoded on their own (``independent_words``
+checks the tokenizer file for that; other files are encoded text by text). Words of plain
+Latin characters are cut where the pre-tokenizer cuts them (letter runs, single digits, runs
+of the rest); the ids of pieces are remembered, and new pieces are encoded many in one call:
+each ends with its first id whose token carries the end-of-word suffix.
 
 Edge cases: a null text is an empty text (one id, the end id); a null key sorts first; equal
 keys are ordered by text; an empty table writes one empty file; further columns are not
@@ -21,6 +23,7 @@ written.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,27 +60,64 @@ def independent_words(file: str) -> bool:
                             for t in spec.get("added_tokens", []))
 
 
-class Encoder(dict):
-    """word (UTF-8) -> its ids, packed; forgotten all at once when there are too many."""
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"  # one lower-case letter each, and no other form under NFC
+PLAIN = re.compile(rf"[\t-\r -&(-@\[-`{{-~{LATIN}]*")  # no apostrophe: the pre-tokenizer has contractions
+PIECES = re.compile(rf"[{LATIN}]+|[0-9]|[^\t-\r 0-9{LATIN}]+")
+PIECES_A_CALL = 100
+
+
+class Encoder:
+    """Packed ids of texts. Pieces met so far are remembered, and forgotten all at once when there are too many."""
 
     def __init__(self, file: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.by_word = independent_words(file)
-
-    def packed(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<i4").tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MOST_REMEMBERED:
-            self.clear()
-        ids = self[word] = self.packed(word)
-        return ids
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split())) if self.by_word else self.packed(text)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.by_word = independent_words(file) and bool(suffix)
+        if self.by_word:
+            self.ends_piece = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends_piece[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.known: dict[str, bytes] = {}
+
+    def packed(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+
+    def cut(self, text: bytes) -> list[str]:
+        """Pieces of plain Latin characters, lower-cased, and other words after a NUL."""
+        t = text.decode()
+        if PLAIN.fullmatch(t) and "<|" not in t:  # special tokens begin with that
+            return PIECES.findall(t.lower())
+        if b" " in text or len(text.split()) > 1:
+            return [p for w in text.split() for p in self.cut(w)]
+        return ["\0" + t]
+
+    def learn(self, new: set[str]) -> None:
+        self.known.update((p, self.packed(p[1:])) for p in new if p[0] == "\0")
+        pieces = sorted(p for p in new if p[0] != "\0")
+        parts = [pieces[at:at + PIECES_A_CALL] for at in range(0, len(pieces), PIECES_A_CALL)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, encoded):
+            ids = np.array(e.ids, "<i4")
+            ends = (np.flatnonzero(self.ends_piece[ids]) + 1) * 4
+            if len(ends) != len(part):  # not cut where expected: one by one
+                self.known.update((p, self.packed(p)) for p in part)
+                continue
+            data, begin = ids.tobytes(), 0
+            for p, end in zip(part, ends.tolist()):
+                self.known[p] = data[begin:end]
+                begin = end
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return [self.packed(t.decode()) for t in texts]
+        if len(self.known) > MOST_REMEMBERED:
+            self.known.clear()
+        cut = [self.cut(t) for t in texts]
+        for pieces in cut:
+            if new := set(pieces).difference(self.known):
+                self.learn(new)
+        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -96,9 +136,9 @@ def _encode(file: str, end_id: int):
         part, before = TaskContext.get().partitionId(), 0
         enc = encoder(file)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):  # ids of at most so many documents at once
-                b = whole.slice(at, 1000)
-                packed = [enc.encode(t) + end for t in text_bytes(b.column(1))]
+            for at in range(0, whole.num_rows, 500):  # ids of at most so many documents at once
+                b = whole.slice(at, 500)
+                packed = [ids + end for ids in enc.encode(text_bytes(b.column(1)))]
                 ends = np.cumsum([len(p) // 4 for p in packed])
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 ids = pa.array(np.frombuffer(b"".join(packed), "<i4"))
