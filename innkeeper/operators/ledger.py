@@ -22,11 +22,17 @@ MSG_FIELDS = "Missing required fields: filepath, platform, storageProvider"
 MSG_PLATFORM = "Invalid platform"
 OBJECT_STORE_EXT = ".jl"
 
-LEDGER_COLUMNS = ["job_id", "filepath", "platform", "storage_provider", "status", "total_records",
-                  "valid_records", "invalid_records", "processing_time_ms", "errors",
+COUNTS = ["total_records", "valid_records", "invalid_records", "hotels_upserted", "reviews_inserted"]
+LEDGER_COLUMNS = ["job_id", "filepath", "platform", "storage_provider", "status", *COUNTS,
+                  "processing_time_ms", "errors", "metadata",
                   "started_at", "completed_at", "created_at", "updated_at"]
 
 
+def no_counts() -> list[Column]:
+    """NULL (not given) for every counter of an update."""
+    return [F.lit(None).cast("int").alias(c) for c in COUNTS]
+
+
 def job_id(filepath: Column, platform: Column) -> Column:
     """"job-" + md5(filepath + "-" + platform); provider and options are not part of it."""
     return F.concat(F.lit("job-"), F.md5(F.concat_ws("-", filepath, platform)))
@@ -43,9 +49,7 @@ def gate(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     processing -> failed "File is currently being processed"; failed/pending -> run again.
     """
     led = ledger.select(F.col("job_id").alias("_jid"), F.col("status").alias("stored_status"),
-                        F.col("total_records").alias("stored_total"),
-                        F.col("valid_records").alias("stored_valid"),
-                        F.col("invalid_records").alias("stored_invalid"))
+                        *[F.col(c).alias("stored_" + c) for c in COUNTS])
     j = with_job_ids(requests).join(led, F.col("job_id") == F.col("_jid"), "left")
     st = F.col("stored_status")
     action = (F.when(F.col("_jid").isNull(), F.lit("create"))
@@ -58,9 +62,7 @@ def gate(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     return j.select(
         "job_id", "filepath", "platform", action.alias("action"), result.alias("result_status"),
         F.when(st == "processing", F.lit(MSG_BUSY)).alias("error"),
-        F.when(st == "completed", F.coalesce("stored_total", F.lit(0))).otherwise(F.lit(0)).alias("total_records"),
-        F.when(st == "completed", F.coalesce("stored_valid", F.lit(0))).otherwise(F.lit(0)).alias("valid_records"),
-        F.when(st == "completed", F.coalesce("stored_invalid", F.lit(0))).otherwise(F.lit(0)).alias("invalid_records"),
+        *[F.when(st == "completed", F.coalesce("stored_" + c, F.lit(0))).otherwise(F.lit(0)).alias(c) for c in COUNTS],
     )
 
 
@@ -73,7 +75,7 @@ def transition(ledger: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
     """
     u = updates.select(F.col("job_id").alias("_uid"), F.col("status").alias("u_status"),
                        *[F.col(c).alias("u_" + c) for c in
-                         ["total_records", "valid_records", "invalid_records", "processing_time_ms", "errors"]])
+                         [*COUNTS, "processing_time_ms", "errors"]])
     j = ledger.join(u, F.col("job_id") == F.col("_uid"), "left")
     hit = F.col("_uid").isNotNull()
     closing = hit & F.col("u_status").isin("completed", "failed")
@@ -87,7 +89,7 @@ def transition(ledger: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
             e = F.when(hit & (F.col("u_status") == "processing"), now).otherwise(F.col(c))
         elif c == "completed_at":
             e = F.when(closing, now).otherwise(F.col(c))
-        elif c in ("total_records", "valid_records", "invalid_records", "processing_time_ms", "errors"):
+        elif c in (*COUNTS, "processing_time_ms", "errors"):
             e = F.when(closing, F.coalesce(F.col("u_" + c), F.col(c))).otherwise(F.col(c))
         else:
             e = F.col(c)
@@ -107,6 +109,8 @@ def statistics(ledger: DataFrame) -> DataFrame:
         F.sum("total_records").alias("total_records"),
         F.sum("valid_records").alias("valid_records"),
         F.sum("invalid_records").alias("invalid_records"),
+        F.sum("hotels_upserted").alias("hotels_upserted"),
+        F.sum("reviews_inserted").alias("reviews_inserted"),
         F.sum("processing_time_ms").alias("processing_time_ms"),
     )
 
@@ -140,13 +144,13 @@ def is_job_processed(ledger_df: DataFrame, job: str) -> bool:
 
 
 def list_jobs(ledger_df: DataFrame, status: str | None = None, platform: str | None = None,
-              limit=None, offset=None) -> tuple[DataFrame, dict]:
-    """Job listing: filter by status and platform, newest first, one page.
+              limit=None, offset=None) -> DataFrame:
+    """Job listing: filter by status and platform, newest first, one page with its envelope.
 
-    Returns the page and its envelope {total (true count of the filter), page_size,
-    limit, offset}; limit 0 / missing / not a number -> 10.
+    The true total of the filter comes with the rows (nothing runs while the query is
+    built); limit 0 / missing / not a number -> 10.
     """
-    from .reads import page, page_request
+    from .reads import envelope, page, page_request
     cond = F.lit(True)
     if status is not None:
         cond = cond & (F.col("status") == F.lit(status))
@@ -154,6 +158,4 @@ def list_jobs(ledger_df: DataFrame, status: str | None = None, platform: str | N
         cond = cond & (F.col("platform") == F.lit(platform))
     filtered = ledger_df.filter(cond)
     lim, off = page_request(limit, offset)
-    rows = page(filtered, "created_at", "desc", "job_id", lim, off)
-    total = filtered.count()
-    return rows, {"total": total, "page_size": max(0, min(lim, total - off)), "limit": lim, "offset": off}
+    return envelope(page(filtered, "created_at", "desc", "job_id", lim, off), filtered, lim, off)

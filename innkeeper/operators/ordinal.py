@@ -17,9 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 
 def _offsets(df: DataFrame, group: str, unit: str, pos: str) -> DataFrame:
-    stats = df.groupBy(group, unit).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first"))
+    # Positions are contiguous, and rows may repeat (a file that two jobs asked for): count by the ends.
+    stats = df.groupBy(group, unit).agg((F.max(pos) - F.min(pos) + 1).alias("_n"), F.min(pos).alias("_first"))
     w = Window.partitionBy(group).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
     return stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
 
@@ -43,13 +46,16 @@ def number_by_order(df: DataFrame, group: str, order: str, name: str = "line_no"
                     keep_filter=None) -> DataFrame:
     """Line numbers = rank of the unique ``order`` key within ``group``.
 
-    Range-partitions by (group, order) so one group may span many tasks.
-    ``keep_filter`` (a Column) restricts the returned rows after numbering.
+    Range-partitions by (group, order) so one group may span many tasks. The ranged
+    rows, with their partition and position, are written once under the shared
+    folder: the counts per partition and the rows they number then come from one
+    and the same shuffle, whatever else the frame carries. ``keep_filter`` (a
+    Column) restricts the returned rows after numbering.
     """
-    ranged = (df.repartitionByRange(F.col(group), F.col(order))
-                .sortWithinPartitions(group, order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = staged(df.repartitionByRange(F.col(group), F.col(order))
+                    .sortWithinPartitions(group, order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()), "ranged")
     offs = _offsets(ranged, group, "_pid", "_mid")
     target = ranged if keep_filter is None else ranged.filter(keep_filter)
     out = target.join(offs, [group, "_pid"], "inner")

@@ -1,24 +1,32 @@
-"""A replay-safe parquet store for the hotels / reviews tables and run counters.
+"""A replay-safe parquet store for the hotels / reviews / reviewers tables, rejects and counters.
 
 Layout under ``root`` (a shared folder, e.g. below spark.checkpoint.dir):
-  hotels/batch=<id>/    full snapshot after batch <id> (hotels are few next to reviews)
-  reviews/batch=<id>/bucket=<b>/  the reviews batch <id> inserted (insert-ignore appends
-                        only), hash-bucketed by hotel_review_id so a batch reads back
-                        only the buckets its keys fall into
-  counters/batch=<id>/  per-file counters of batch <id>
-Every batch writes only its own ``batch=<id>`` folders with overwrite, so a replayed
-batch (streaming retry, executor loss) rewrites the same output instead of appending
-twice; readers of batch <id> only see batches before it. A path being read is never
-the path being written.
+  data/<seq>-<attempt>/hotels     full snapshot (hotels are few next to reviews)
+  data/<seq>-<attempt>/reviews    the reviews this load inserted (insert-ignore appends
+                                  only) with their reviewers, sorted by key within files,
+                                  so a lookup's pushed filter skips pages; a compaction
+                                  holds those of all loads
+  data/<seq>-<attempt>/rejects    file, line_no, stage, errors, raw, job_id
+  data/<seq>-<attempt>/counters   per job and file: records, hotels upserted, reviews inserted
+  commits/<seq>                   one line: writer, batch id, folder, kind
+
+The store owns the sequence: a load is named by (writer, batch id), for instance a
+stream's checkpoint and its micro-batch, and gets the next free sequence number. Its
+tables become visible together, when its commit file is created (exclusively, so of two
+loads that ran at once the second fails and has to be applied again). A load whose
+(writer, batch id) is committed already is not applied twice. Folders without a commit
+are leftovers of a crash; nothing reads them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import records, store
+from . import ordinal, records, store
 
 HOTEL_SCHEMA = ("hotel_id int, platform string, hotel_name string, overall_score decimal(3,1), "
                 "review_count int, grades string, created_at timestamp_ntz, updated_at timestamp_ntz")
@@ -29,132 +37,227 @@ REVIEW_SCHEMA = ("hotel_review_id int, hotel_id int, reviewer_id int, platform s
                  "translate_source string, translate_target string, encrypted_review_data string, "
                  "provider_id int, review_provider_text string, processing_job_id string, "
                  "created_at timestamp_ntz, updated_at timestamp_ntz")
+REVIEWER_STRUCT = "reviewer struct<" + ", ".join(f"{k}: {t}" for k, t in records.REVIEWER_FIELDS.items()) + ">"
+REJECT_SCHEMA = "file string, line_no bigint, stage string, errors array<string>, raw string, job_id string"
+COUNTER_SCHEMA = ("file string, job_id string, total_records bigint, valid_records bigint, invalid_records bigint, "
+                  "hotels_upserted bigint, reviews_inserted bigint")
+COMPACTED = "compacted"
 
 
-REVIEW_BUCKETS = 256
+@dataclass(frozen=True)
+class Commit:
+    seq: int
+    writer: str
+    batch: str
+    folder: str
+    kind: str
 
 
-def review_bucket(key: Column, buckets: int = REVIEW_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+class ConcurrentLoad(RuntimeError):
+    """Another load took the same sequence number; apply this one again."""
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, review_buckets: int = REVIEW_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.review_buckets = review_buckets
+        self._known: dict[int, Commit] = {}
 
-    # -- filesystem helpers (Hadoop FS: works for local, HDFS and object stores) --
-    def _fs_path(self, sub: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
+    # -- commits (Hadoop FS: works for local, HDFS and object stores) --
+    def _path(self, sub: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _batches(self, table: str) -> list[int]:
-        """Batch ids of ``table`` whose write committed (``_SUCCESS`` present)."""
-        p, fs = self._fs_path(table)
+    def commits(self) -> list[Commit]:
+        """All commits in order; a commit file never changes, so each is read once."""
+        p, fs = self._path("commits")
         if not fs.exists(p):
             return []
-        out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("batch=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
-
-    # -- reads --
-    def hotels(self, before: int | None = None) -> DataFrame:
-        """Latest hotels snapshot written by a batch earlier than ``before``."""
-        ids = [b for b in self._batches("hotels") if before is None or b < before]
-        if not ids:
-            return self.spark.createDataFrame([], HOTEL_SCHEMA)
-        return self.spark.read.parquet(f"{self.root}/hotels/batch={ids[-1]}")
-
-    def reviews(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """Stored reviews (of batches earlier than ``before``; of the given buckets only).
-
-        Bucket selection is a partition filter: folders of other buckets are not listed
-        for reading at all.
-        """
-        ids = [b for b in self._batches("reviews") if before is None or b < before]
-        if not ids:
-            return self.spark.createDataFrame([], REVIEW_SCHEMA)
-        df = (self.spark.read.option("basePath", f"{self.root}/reviews")
-              .parquet(*[f"{self.root}/reviews/batch={b}" for b in ids]))
-        if buckets is not None:
-            df = df.filter(F.col("bucket").isin(buckets))
-        return df.drop("batch", "bucket")
-
-    def counters(self) -> DataFrame:
-        ids = self._batches("counters")
-        if not ids:
-            return self.spark.createDataFrame([], "batch_id bigint, file string, total_records bigint, "
-                                                  "valid_records bigint, invalid_records bigint")
-        return self.spark.read.parquet(*[f"{self.root}/counters/batch={b}" for b in ids])
-
-    # -- the merge of one batch --
-    def apply(self, checked: DataFrame, batch_id: int, job_id: Column, run_ts: Column) -> None:
-        """Merge one batch of checked lines into the store (idempotent per batch id).
-
-        The batch is projected once into typed hotel / review columns and only that
-        slim frame is persisted (the parsed VARIANT columns are never cached); the
-        hotels, reviews and counters writes all read it.
-        """
-        rows = store.review_rows(store.hotel_rows(checked, keep_all=True), job_id, keep_all=True)
-        hcols = ["h_" + c for c in store.HOTEL_COLUMNS]
-        slim = rows.select("file", "ord", "is_valid", "_hotel_row", "hotel_errors", *hcols,
-                           "_review_row", "storage_errors", *store.REVIEW_COLUMNS)
-        slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
+            if name.isdigit() and int(name) not in self._known and st.getLen() > 0:
+                stream = fs.open(st.getPath())
+                line = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                stream.close()
+                self._known[int(name)] = Commit(int(name), *line.rstrip("\n").split("\t"))
+        return [self._known[k] for k in sorted(self._known)]
+
+    def committed(self, writer: str, batch) -> Commit | None:
+        return next((c for c in self.commits() if (c.writer, c.batch) == (writer, str(batch))), None)
+
+    def _begin(self) -> tuple[int, str]:
+        done = self.commits()
+        seq = done[-1].seq + 1 if done else 1
+        return seq, f"data/{seq:010d}-{uuid.uuid4().hex[:8]}"
+
+    def _commit(self, seq: int, folder: str, writer: str, batch, kind: str = "load") -> None:
+        if any("\t" in x or "\n" in x for x in (writer, str(batch))):
+            raise ValueError("writer and batch id must not hold tabs or line ends")
+        p, fs = self._path(f"commits/{seq:010d}")
         try:
-            valid = slim.filter(F.col("is_valid"))
-            hotel_rows = valid.filter(F.col("_hotel_row")).select(
-                "file", "ord", *[F.col("h_" + c).alias(c) for c in store.HOTEL_COLUMNS],
-                F.col("hotel_errors").alias("storage_errors"))
-            merged = store.merge_hotels(self.hotels(before=batch_id), store.fold_hotels(hotel_rows), run_ts)
-            merged.write.mode("overwrite").parquet(f"{self.root}/hotels/batch={batch_id}")
-
-            review_rows = valid.filter(F.col("_review_row")).select(
-                "file", "ord", *store.REVIEW_COLUMNS, "storage_errors")
-            first = store.first_reviews(review_rows).withColumn(
-                "bucket", review_bucket(F.col("hotel_review_id"), self.review_buckets))
-            # The buckets this batch touches: at most review_buckets small ints.
-            touched = [r[0] for r in first.select("bucket").distinct().collect()]
-            existing = self.reviews(before=batch_id, buckets=touched).withColumn(
-                "bucket", review_bucket(F.col("hotel_review_id"), self.review_buckets))
-            new = (first.join(existing.select("bucket", "hotel_review_id"), ["bucket", "hotel_review_id"], "left_anti")
-                   .select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"),
-                           "bucket"))
-            (new.write.mode("overwrite").partitionBy("bucket")
-             .parquet(f"{self.root}/reviews/batch={batch_id}"))
-
-            (records.file_counts(slim).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
-             .write.mode("overwrite").parquet(f"{self.root}/counters/batch={batch_id}"))
-        finally:
-            slim.unpersist()
+            out = fs.create(p, False)
+        except Exception as e:
+            raise ConcurrentLoad(f"load {seq} was committed by another writer") from e
+        out.write(bytearray(f"{writer}\t{batch}\t{folder}\t{kind}\n".encode()))
+        out.close()
+
+    # -- reads: committed loads only --
+    def _folders(self, table: str, schema: str, since_compaction: bool = True) -> DataFrame:
+        paths, empty = [], self.spark.createDataFrame([], schema)
+        for c in self.commits():
+            if since_compaction and c.kind == COMPACTED:
+                paths = []
+            p, fs = self._path(f"{c.folder}/{table}")
+            if fs.exists(p):
+                paths.append(f"{self.root}/{c.folder}/{table}")
+        return self.spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+
+    def hotels(self) -> DataFrame:
+        """The latest hotels snapshot."""
+        for c in reversed(self.commits()):
+            p, fs = self._path(f"{c.folder}/hotels")
+            if fs.exists(p):
+                return self.spark.read.parquet(f"{self.root}/{c.folder}/hotels")
+        return self.spark.createDataFrame([], HOTEL_SCHEMA)
+
+    def reviews(self) -> DataFrame:
+        return self._folders("reviews", REVIEW_SCHEMA)
+
+    def reviewers(self) -> DataFrame:
+        """One row for each stored review whose record named its reviewer."""
+        rows = self._folders("reviews", f"hotel_review_id int, {REVIEWER_STRUCT}")
+        return rows.filter("reviewer IS NOT NULL").select("hotel_review_id", "reviewer.*")
+
+    def rejects(self) -> DataFrame:
+        return self._folders("rejects", REJECT_SCHEMA, since_compaction=False)
+
+    def counters(self, writer: str | None = None, batch=None) -> DataFrame:
+        """Counters of all loads, or of the load (writer, batch) alone: then one folder is read."""
+        if writer is not None:
+            c = self.committed(writer, batch)
+            return (self.spark.read.parquet(f"{self.root}/{c.folder}/counters") if c
+                    else self.spark.createDataFrame([], COUNTER_SCHEMA))
+        return self._folders("counters", COUNTER_SCHEMA, since_compaction=False)
+
+    # -- one load --
+    def stage(self, checked: DataFrame, job_id: Column) -> DataFrame:
+        """Checked lines as the slim frame a load is made from (typed columns, no VARIANT but the reviewer's)."""
+        rows = store.review_rows(store.hotel_rows(checked, keep_all=True), job_id, keep_all=True)
+        has = lambda c, otherwise: F.col(c) if c in checked.columns else otherwise
+        rv = F.col("r_reviewerInfo")
+        reviewer = F.when(rv.isNotNull() & ~F.is_variant_null(rv), F.struct(
+            *[F.try_variant_get(rv, f"$.{k}", t).alias(k) for k, t in records.REVIEWER_FIELDS.items()]))
+        return rows.select(
+            "file", "ord", has("_source", F.col("file")).alias("_source"), has("_physical", F.col("file")).alias("_physical"),
+            has("_split", F.lit(0)).cast("bigint").alias("_split"), has("_mid", F.lit(None)).cast("bigint").alias("_mid"),
+            F.when(~F.col("is_valid") | (F.size("storage_errors") > 0) | (F.size("hotel_errors") > 0), F.col("value")).alias("raw"),
+            "errors", "is_valid", "_hotel_row", "hotel_errors",
+            *["h_" + c for c in store.HOTEL_COLUMNS], "_review_row", "storage_errors", *store.REVIEW_COLUMNS,
+            reviewer.alias("reviewer"))
+
+    def apply(self, checked: DataFrame, writer: str, batch, job_id: Column, run_ts: Column) -> Commit:
+        """Merges one load of checked lines; what is committed as (writer, batch) already stays as it is."""
+        if done := self.committed(writer, batch):
+            return done
+        seq, folder = self._begin()
+        staged = f"{self.root}/{folder}/staged"
+        self.stage(checked, job_id).write.parquet(staged)
+        return self.apply_staged(self.spark.read.parquet(staged), writer, batch, run_ts, (seq, folder))
+
+    def apply_staged(self, slim: DataFrame, writer: str, batch, run_ts: Column,
+                     begun: tuple[int, str] | None = None) -> Commit:
+        """Merges one load of staged rows (``stage``'s columns, stored: they are read several times)."""
+        if done := self.committed(writer, batch):
+            return done
+        seq, folder = begun or self._begin()
+        out = f"{self.root}/{folder}"
+        valid = slim.filter("is_valid")
+
+        hotel_ok = F.col("_hotel_row") & (F.size("hotel_errors") == 0)
+        hotel_rows = valid.filter(hotel_ok).select(
+            "file", "ord", *[F.col("h_" + c).alias(c) for c in store.HOTEL_COLUMNS],
+            F.col("hotel_errors").alias("storage_errors"))
+        store.merge_hotels(self.hotels(), store.fold_hotels(hotel_rows), run_ts).write.parquet(f"{out}/hotels")
+
+        # The first storable row of a key wins: found on (key, ord) alone, its other columns fetched by them.
+        review_rows = valid.filter(F.col("_review_row") & (F.size("storage_errors") == 0))
+        first = review_rows.groupBy("hotel_review_id").agg(F.min("ord").alias("ord"))
+        new_keys = first.join(self.reviews().select("hotel_review_id"), "hotel_review_id", "left_anti")
+        new = review_rows.join(new_keys.select(F.col("hotel_review_id").alias("_key"), F.col("ord").alias("_ord")),
+                               (F.col("hotel_review_id") == F.col("_key")) & (F.col("ord") == F.col("_ord")), "left_semi")
+        new.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"),
+                   "reviewer", "file").sortWithinPartitions("hotel_review_id").write.parquet(f"{out}/reviews")
+        inserted = self.spark.read.parquet(f"{out}/reviews")
+
+        self._rejects(slim).write.parquet(f"{out}/rejects")
+        totals = slim.groupBy("file", F.col("processing_job_id").alias("job_id")).agg(
+            F.count(F.lit(1)).alias("total_records"), F.count_if("is_valid").alias("valid_records"),
+            F.count_if(~F.col("is_valid")).alias("invalid_records"),
+            F.count_if(F.col("is_valid") & hotel_ok).alias("hotels_upserted"))
+        per_file = inserted.groupBy(F.col("file").alias("_f"), F.col("processing_job_id").alias("_j")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        totals.join(per_file, F.col("file").eqNullSafe(F.col("_f")) & F.col("job_id").eqNullSafe(F.col("_j")), "left").select(
+            "file", "job_id", "total_records", "valid_records", "invalid_records", "hotels_upserted",
+            F.coalesce("_n", F.lit(0)).alias("reviews_inserted")).write.parquet(f"{out}/counters")
+        self._commit(seq, folder, writer, batch)
+        return self.committed(writer, batch)
+
+    def _rejects(self, slim: DataFrame) -> DataFrame:
+        """Lines that failed a rule (stage record) or a storage constraint (stage hotel / review)."""
+        bad = slim.select(
+            F.col("_physical").alias("file"), "_source", "_split", "_mid", "raw", F.col("processing_job_id").alias("job_id"),
+            F.explode(F.filter(F.array(
+                F.when(~F.col("is_valid"), F.struct(F.lit("record").alias("stage"), "errors")),
+                F.when(F.col("is_valid") & F.col("_hotel_row") & (F.size("hotel_errors") > 0),
+                       F.struct(F.lit("hotel").alias("stage"), F.col("hotel_errors").alias("errors"))),
+                F.when(F.col("is_valid") & F.col("_review_row") & (F.size("storage_errors") > 0),
+                       F.struct(F.lit("review").alias("stage"), F.col("storage_errors").alias("errors")))),
+                lambda x: x.isNotNull())).alias("_r"))
+        numbered = ordinal.number_by_splits(slim.select("_source", "_split", "_mid"), "_source", keep=bad)
+        return numbered.select("file", F.col("line_no").cast("bigint").alias("line_no"), "_r.stage", "_r.errors", "raw", "job_id")
+
+    # -- maintenance --
+    def compact(self) -> Commit | None:
+        """Rewrites all reviews into one folder of key ranges. Readers go on meanwhile."""
+        done = self.commits()
+        if not done:
+            return None
+        seq, folder = self._begin()
+        rows = self._folders("reviews", f"{REVIEW_SCHEMA}, {REVIEWER_STRUCT}")
+        rows.repartitionByRange("hotel_review_id").sortWithinPartitions("hotel_review_id").write.parquet(
+            f"{self.root}/{folder}/reviews")
+        self._commit(seq, folder, "store", f"compaction-{seq}", COMPACTED)
+        return self.commits()[-1]
 
     # -- single-row operations (the service's per-record repository calls) --
-    def upsert_hotel(self, hotel: dict, batch_id: int, run_ts: Column) -> None:
-        """Insert or update one hotel (review_count defaults to 0 on insert)."""
+    def upsert_hotel(self, hotel: dict, run_ts: Column) -> None:
+        """Inserts one hotel (review_count 0 unless given) or updates the given fields of a stored one.
+
+        platform and created_at stay as first stored.
+        """
+        given = [c for c in store.HOTEL_COLUMNS if c in hotel and c not in ("hotel_id", "platform")]
+        schema = ", ".join(x for x in HOTEL_SCHEMA.split(", ") if not x.startswith(("created_at", "updated_at")))
         row = {c: hotel.get(c) for c in store.HOTEL_COLUMNS}
-        if row["review_count"] is None:
-            row["review_count"] = 0
-        df = self.spark.createDataFrame(
-            [tuple(row[c] for c in store.HOTEL_COLUMNS)],
-            "hotel_id int, platform string, hotel_name string, overall_score decimal(3,1), "
-            "review_count int, grades string")
-        merged = store.merge_hotels(self.hotels(before=batch_id), df, run_ts)
-        merged.write.mode("overwrite").parquet(f"{self.root}/hotels/batch={batch_id}")
-
-    def create_review(self, review: dict, batch_id: int, run_ts: Column) -> DataFrame:
-        """Return the stored review with this key, inserting ``review`` first if absent."""
+        one = self.spark.createDataFrame([tuple(row.values())], schema)
+        old = self.hotels().filter(F.col("hotel_id") == F.lit(hotel["hotel_id"]))
+        kept = one.alias("n").join(old.alias("o"), "hotel_id", "left")
+        merged = kept.select("hotel_id", "n.platform", *[
+            (F.col(f"n.{c}") if c in given else F.when(F.col("o.created_at").isNotNull(), F.col(f"o.{c}")).otherwise(
+                F.lit(0) if c == "review_count" else F.lit(None))).alias(c)
+            for c in store.HOTEL_COLUMNS if c not in ("hotel_id", "platform")])
+        seq, folder = self._begin()
+        store.merge_hotels(self.hotels(), merged, run_ts).write.parquet(f"{self.root}/{folder}/hotels")
+        self._commit(seq, folder, "single", uuid.uuid4().hex)
+
+    def create_review(self, review: dict, run_ts: Column) -> DataFrame:
+        """The stored review with this key; ``review`` is inserted first if there is none."""
         key = review["hotel_review_id"]
-        bucket = self.spark.range(1).select(review_bucket(F.lit(key).cast("int"), self.review_buckets)).first()[0]
-        existing = self.reviews(before=batch_id, buckets=[bucket])
-        if existing.filter(F.col("hotel_review_id") == F.lit(key)).limit(1).count() == 0:
-            schema = ", ".join(x for x in REVIEW_SCHEMA.split(", ")
-                               if not x.startswith(("created_at", "updated_at")))
+        stored = lambda: self.reviews().filter(F.col("hotel_review_id") == F.lit(key)).limit(1)
+        if stored().isEmpty():
+            schema = ", ".join(x for x in REVIEW_SCHEMA.split(", ") if not x.startswith(("created_at", "updated_at")))
             df = self.spark.createDataFrame([tuple(review.get(c) for c in store.REVIEW_COLUMNS)], schema)
-            df.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at"),
-                      review_bucket(F.col("hotel_review_id"), self.review_buckets).alias("bucket")) \
-              .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/reviews/batch={batch_id}")
-        return self.reviews(buckets=[bucket]).filter(F.col("hotel_review_id") == F.lit(key)).limit(1)
+            seq, folder = self._begin()
+            df.select(*store.REVIEW_COLUMNS, run_ts.alias("created_at"), run_ts.alias("updated_at")).write.parquet(
+                f"{self.root}/{folder}/reviews")
+            self._commit(seq, folder, "single", uuid.uuid4().hex)
+        return stored()

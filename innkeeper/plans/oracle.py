@@ -247,6 +247,8 @@ _JOBS_CTE = f"""WITH jobs0 AS (
          CASE WHEN done THEN tot ELSE 0 END AS total_records,
          CASE WHEN done THEN tot - inv ELSE 0 END AS valid_records,
          CASE WHEN done THEN inv ELSE 0 END AS invalid_records,
+         CASE WHEN done THEN CAST(o_orderkey % 50 AS INTEGER) ELSE 0 END AS hotels_upserted,
+         CASE WHEN done THEN CAST(o_orderkey % 700 AS INTEGER) ELSE 0 END AS reviews_inserted,
          CASE WHEN done THEN CAST(floor(o_totalprice) % 5000 AS INTEGER) ELSE 0 END AS processing_time_ms,
          CASE WHEN status = 'failed' THEN 'File processing failed: order ' || CAST(o_orderkey AS VARCHAR)
               ELSE '' END AS errors,
@@ -284,7 +286,11 @@ SELECT r.job_id,
        CASE WHEN s.status = 'completed' THEN 'already_processed' WHEN s.status = 'processing' THEN 'failed'
             ELSE 'completed' END AS result_status,
        CASE WHEN s.status = 'processing' THEN 'File is currently being processed' END AS error,
-       CASE WHEN s.status = 'completed' THEN COALESCE(s.total_records, 0) ELSE 0 END AS total_records
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.total_records, 0) ELSE 0 END AS total_records,
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.valid_records, 0) ELSE 0 END AS valid_records,
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.invalid_records, 0) ELSE 0 END AS invalid_records,
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.hotels_upserted, 0) ELSE 0 END AS hotels_upserted,
+       CASE WHEN s.status = 'completed' THEN COALESCE(s.reviews_inserted, 0) ELSE 0 END AS reviews_inserted
 FROM ledger r LEFT JOIN (SELECT * FROM ledger WHERE o_orderkey % 4 <> 0) s ON r.job_id = s.job_id"""
 
 _NOW = "TIMESTAMP '2025-06-01 00:00:00'"
@@ -295,6 +301,8 @@ ORACLE["ledger_transition"] = _JOBS_CTE + f"""
          CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 500 AS INTEGER) END AS u_total,
          CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 500 - o_orderkey % 5 AS INTEGER) END AS u_valid,
          CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 5 AS INTEGER) END AS u_invalid,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 40 AS INTEGER) END AS u_hotels,
+         CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 600 AS INTEGER) END AS u_reviews,
          CASE WHEN o_orderkey % 9 <> 3 THEN CAST(o_orderkey % 777 AS INTEGER) END AS u_ms,
          CASE WHEN o_orderkey % 9 = 3 THEN 'retry failed' END AS u_errors
   FROM ledger WHERE o_orderkey % 3 = 0
@@ -305,6 +313,8 @@ SELECT job_id, COALESCE(u_status, status) AS status,
        CASE WHEN closing THEN COALESCE(u_total, total_records) ELSE total_records END AS total_records,
        CASE WHEN closing THEN COALESCE(u_valid, valid_records) ELSE valid_records END AS valid_records,
        CASE WHEN closing THEN COALESCE(u_invalid, invalid_records) ELSE invalid_records END AS invalid_records,
+       CASE WHEN closing THEN COALESCE(u_hotels, hotels_upserted) ELSE hotels_upserted END AS hotels_upserted,
+       CASE WHEN closing THEN COALESCE(u_reviews, reviews_inserted) ELSE reviews_inserted END AS reviews_inserted,
        CASE WHEN closing THEN COALESCE(u_ms, processing_time_ms) ELSE processing_time_ms END AS processing_time_ms,
        CASE WHEN closing THEN COALESCE(u_errors, errors) ELSE errors END AS errors,
        CASE WHEN u_status = 'processing' THEN {_NOW} ELSE started_at END AS started_at,
@@ -321,6 +331,7 @@ ORACLE["run_summary"] = _JOBS_CTE + """
 SELECT platform, status, COUNT(*) AS jobs,
        CAST(SUM(total_records) AS BIGINT) AS total_records, CAST(SUM(valid_records) AS BIGINT) AS valid_records,
        CAST(SUM(invalid_records) AS BIGINT) AS invalid_records,
+       CAST(SUM(hotels_upserted) AS BIGINT) AS hotels_upserted, CAST(SUM(reviews_inserted) AS BIGINT) AS reviews_inserted,
        CAST(SUM(processing_time_ms) AS BIGINT) AS processing_time_ms
 FROM ledger GROUP BY platform, status"""
 

@@ -79,7 +79,7 @@ def ingest_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = _jobs(spark, sf_dir)
     stored = jobs.filter(F.col("o_orderkey") % 4 != 0)
     return ledger.gate(jobs.select("filepath", "platform"), stored).select(
-        "job_id", "action", "result_status", "error", "total_records")
+        "job_id", "action", "result_status", "error", *ledger.COUNTS)
 
 
 def _updates(jobs: DataFrame) -> DataFrame:
@@ -93,6 +93,8 @@ def _updates(jobs: DataFrame) -> DataFrame:
         F.when(given, (k % 500).cast("int")).alias("total_records"),
         F.when(given, (k % 500 - k % 5).cast("int")).alias("valid_records"),
         F.when(given, (k % 5).cast("int")).alias("invalid_records"),
+        F.when(given, (k % 40).cast("int")).alias("hotels_upserted"),
+        F.when(given, (k % 600).cast("int")).alias("reviews_inserted"),
         F.when(given, (k % 777).cast("int")).alias("processing_time_ms"),
         F.when(m == 3, F.array(F.lit("retry failed"))).alias("errors"),
     )
@@ -103,8 +105,7 @@ def ledger_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = _jobs(spark, sf_dir)
     now = F.lit(NOW).cast("timestamp_ntz")
     out = ledger.transition(jobs.select(*ledger.LEDGER_COLUMNS), _updates(jobs), now)
-    return out.select("job_id", "status", "total_records", "valid_records", "invalid_records",
-                      "processing_time_ms", F.array_join("errors", "; ").alias("errors"),
+    return out.select("job_id", "status", *ledger.COUNTS, "processing_time_ms", F.array_join("errors", "; ").alias("errors"),
                       "started_at", "completed_at", "updated_at")
 
 
@@ -133,7 +134,7 @@ def jobs_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     lim, off = reads.page_request(PAGE_LIMIT, PAGE_OFFSET)
     rows = reads.page(jobs, "created_at", "desc", "job_id", lim, off).select(
         "job_id", "status", "created_at")
-    return reads.envelope(rows, jobs.count(), lim, off)
+    return reads.envelope(rows, jobs, lim, off)
 
 
 # -- reads over reviews / hotels -------------------------------------------------
@@ -181,7 +182,7 @@ def generic_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     hotels = _hotel_cols(_hotels(spark, sf_dir))
     lim, off = reads.page_request(10, None, 2)
     rows = reads.page(hotels, "overall_score", "desc", "hotel_id", lim, off)
-    return reads.envelope(rows, hotels.count(), lim, off)
+    return reads.envelope(rows, hotels, lim, off)
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Confs whose values change results (not just speed).
 SEMANTIC_CONF = {
@@ -48,13 +47,14 @@ def build_session(master: str | None = None, app: str = "innkeeper",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    On a cluster it must be set (a shared filesystem / object store). Only when it
-    is unset (local runs, tests) do we pick a fresh local folder and register it.
+    On a cluster it must be set (a shared filesystem / object store): a folder of the
+    driver's machine would not be seen by executors, so a missing setting is an error
+    there. Only a local master gets a fresh local folder (tests, local runs).
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="innkeeper-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,5 +64,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back: later uses share one evaluation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ledger import job_id
+
 # ---------------------------------------------------------------------------
 # Fixed values of the review bridge (the oracle SQL repeats them)
 # ---------------------------------------------------------------------------
@@ -49,21 +51,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan gives too few partitions.
+    """Round-robin the rows over the cluster.
 
-    Per-row work downstream (JSON build, parse, rules) is CPU heavy; a file with a
-    single row group is read by one task. Large inputs already have at least as
-    many splits as cores and are left alone (no extra shuffle).
+    Per-row work downstream (JSON build, parse, rules) is CPU heavy, and a file with a
+    single row group is read by one task. Spark coalesces the partitions again where
+    they are small.
     """
-    sc = df.sparkSession.sparkContext
-    par = sc.defaultParallelism
-    key = (sc.applicationId, tuple(df.inputFiles()), par)
-    if key not in _SPREAD:
-        _SPREAD[key] = df.rdd.getNumPartitions() < par
-    return df.repartition(par) if _SPREAD[key] else df
-
-
-_SPREAD: dict = {}
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _json_string(c: Column) -> Column:
@@ -159,9 +153,8 @@ def review_lines(spark: SparkSession, sf_dir: str, with_load: bool = False) -> D
 
 
 def request_job_id(file: Column, platform: Column | None = None) -> Column:
-    """Deterministic job id: "job-" + md5(filepath + "-" + platform)."""
-    platform = F.lit(REQUEST_PLATFORM) if platform is None else platform
-    return F.concat(F.lit("job-"), F.md5(F.concat_ws("-", file, platform)))
+    """Job id of a bridge file, requested for ``REQUEST_PLATFORM`` unless said otherwise."""
+    return job_id(file, F.lit(REQUEST_PLATFORM) if platform is None else platform)
 
 
 def jobs_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,9 +183,12 @@ def jobs_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(done, total).otherwise(F.lit(0)).alias("total_records"),
         F.when(done, total - invalid).otherwise(F.lit(0)).alias("valid_records"),
         F.when(done, invalid).otherwise(F.lit(0)).alias("invalid_records"),
+        F.when(done, (k % 50).cast("int")).otherwise(F.lit(0)).alias("hotels_upserted"),
+        F.when(done, (k % 700).cast("int")).otherwise(F.lit(0)).alias("reviews_inserted"),
         F.when(done, (F.floor("o_totalprice") % 5000).cast("int")).otherwise(F.lit(0)).alias("processing_time_ms"),
         F.when(status == "failed", F.array(F.concat(F.lit("File processing failed: order "), k.cast("string"))))
          .otherwise(F.array().cast("array<string>")).alias("errors"),
+        F.lit(None).cast("string").alias("metadata"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderdate").alias("updated_at"),
         F.when(status != "pending", F.col("o_orderdate")).alias("started_at"),

@@ -9,34 +9,51 @@ sorting the data.
 
 from __future__ import annotations
 
+import fnmatch
+import itertools
 import os
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 LOGICAL_FILE_DIR = r"/file=([^/]+)/[^/]*$"   # written feeds: <root>/file=<name>/part-*.txt
 
 
+def uri_of(path: Column) -> Column:
+    """A path as Spark reports it (percent-encoded URI) as the qualified, unencoded URI.
+
+    "+" is not encoded in a URI's path, and url_decode reads it as a space.
+    """
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
 def norm_path(c: Column) -> Column:
-    """Path without the ``file:`` scheme prefix, for matching listings to requests."""
-    return F.regexp_replace(c, r"^file:(//)?", "")
+    """``uri_of`` without the ``file:`` scheme."""
+    return F.regexp_replace(uri_of(c), "^file:", "")
 
 
-def _abs(p: str) -> str:
-    """Absolute local path (``file:`` URIs unwrapped); other schemes unchanged."""
-    if p.startswith("file:"):
-        return "/" + p[len("file:"):].lstrip("/")
-    return p if "://" in p else os.path.abspath(p)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The qualified URI of a path given as a relative or absolute path or as a URI, unencoded."""
+    jvm = spark._jvm
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    p = jvm.org.apache.hadoop.fs.Path(path if "://" in path else os.path.abspath(path))
+    p = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p)
+    return re.sub("^file:/+", "file:/", p.toString()).rstrip("/")
 
 
 def read_lines(spark: SparkSession, paths: list[str], line_sep: str | None = None,
                glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Lines of many files in one job: (file, ord, value, request, _split, _mid).
+    """Lines of files and folders in one job: (file, ord, value, _split, _mid).
 
-    ``file`` is the physical file, ``request`` the requested path (a file or a folder)
-    it belongs to. ``ord`` = (file_rank, file, split start, row id): the request order
-    of files, then the physical position. ``line_sep="\\n"`` gives the object-store
-    policy (split on LF only; a trailing CR is JSON white space).
+    Each physical file is read once, however often it is named. ``file`` is its
+    qualified URI; ``ord`` = (file, split start, row id) is its physical order.
+    ``line_sep="\\n"`` gives the object-store policy (split on LF only; a trailing
+    CR is JSON white space). An empty list of paths gives no lines.
     """
     r = spark.read
     if line_sep:
@@ -45,71 +62,84 @@ def read_lines(spark: SparkSession, paths: list[str], line_sep: str | None = Non
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    raw = r.text([_abs(p) for p in paths])
-    df = raw.select(
-        norm_path(F.col("_metadata.file_path")).alias("file"),
+    raw = r.text(_roots(spark, paths))
+    return raw.select(
+        uri_of(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mid"),
         "value",
-    )
-    df = df.join(_ranks(raw, paths), "file", "left")
-    return df.select("file", F.struct(F.col("file_rank"), F.col("file"), F.col("_split"), F.col("_mid")).alias("ord"),
-                     "value", "request", "_split", "_mid")
+    ).select("file", F.struct("file", "_split", "_mid").alias("ord"), "value", "_split", "_mid")
 
 
-def _ranks(raw: DataFrame, paths: list[str]) -> DataFrame:
-    """(file, file_rank): index of the first requested path that is the file or a folder of it.
+def _roots(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Distinct qualified paths without those below another one, as globs that match themselves."""
+    uris = sorted({qualified(spark, p) for p in paths})
+    named = set(uris)
+    roots = [u for u in uris if named.isdisjoint(_parents(u))]
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", r) for r in roots]
 
-    Uses the file list Spark already built on the driver for planning
-    (``inputFiles``): one small row per file, joined to the lines (AQE broadcasts it
-    while it is small, shuffles otherwise).
-    """
-    req = [_abs(p).rstrip("/") for p in paths]
-    rows = []
-    for uri in raw.inputFiles():
-        f = uri[len("file:"):] if uri.startswith("file:") else uri
-        f = "/" + f.lstrip("/") if uri.startswith("file:") else f
-        rank = next((i for i, p in enumerate(req) if f == p or f.startswith(p + "/")), len(req))
-        rows.append((f, rank, req[rank] if rank < len(req) else f))
-    return raw.sparkSession.createDataFrame(rows, "file string, file_rank int, request string")
+
+def _parents(uri: str) -> list[str]:
+    parts = uri.split("/")
+    return ["/".join(parts[:k]) for k in range(1, len(parts))]
 
 
 def list_files(spark: SparkSession, paths: list[str], glob: str | None = None,
                recursive: bool = False) -> DataFrame:
-    """(path, length) of existing files; ``content`` is never selected, so never read."""
+    """(uri, length) of the non-empty files that ``read_lines`` reads; ``content`` is never selected, so never read."""
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    existing = [p for p in paths if _exists(spark, p)]
-    if not existing:
-        return spark.createDataFrame([], "path string, length bigint")
-    return r.load([_abs(p) for p in existing]).select(norm_path(F.col("path")).alias("path"), "length")
+    listed = r.load(_roots(spark, paths))
+    return listed.select(F.regexp_replace("path", "^file:/+", "file:/").alias("uri"), "length")
+
 
+STAT_THREADS = 16
+REQUESTS_AT_ONCE = 10_000
 
-def request_listing(spark: SparkSession, requests: DataFrame) -> DataFrame:
-    """(path, length) per requested path that exists: a file, or a folder of files.
 
-    One filesystem stat per requested path (files, not lines): a Spark scan makes no
-    split for a 0-byte file, so an empty file would be invisible to a binaryFile
-    listing, while the admission rules must see it (size 0).
+def request_listing(spark: SparkSession, requests: DataFrame, glob: str | None = None) -> DataFrame:
+    """(path, uri, length) per requested path that exists: a file, or a folder of files.
+
+    One filesystem stat per requested path, many at a time (a Spark scan makes no split
+    for a 0-byte file, so an empty file would be invisible to a binaryFile listing,
+    while admission must see it). Paths pass through the driver in bounded pieces,
+    each stored before the next.
     """
     conf = spark._jsc.hadoopConfiguration()
-    rows = []
-    for (p,) in requests.select("filepath").distinct().collect():
-        path = spark._jvm.org.apache.hadoop.fs.Path(_abs(p))
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            rows.append((p, int(fs.getContentSummary(path).getLength())))
-    return spark.createDataFrame(rows, "path string, length bigint")
-
 
-def _exists(spark: SparkSession, p: str) -> bool:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_abs(p))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(path))
+    def stat(path: str):
+        uri = qualified(spark, path)
+        p = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        fs = p.getFileSystem(conf)
+        return (path, uri, int(fs.getContentSummary(p).getLength())) if fs.exists(p) else None
+
+    schema, out = "path string, uri string, length bigint", None
+    paths = (r["filepath"] for r in requests.where("trim(filepath) <> ''").select("filepath").distinct().toLocalIterator())
+    while piece := list(itertools.islice(paths, REQUESTS_AT_ONCE)):
+        with ThreadPoolExecutor(STAT_THREADS) as pool:
+            rows = [r for r in pool.map(stat, piece) if r]
+        part = spark.createDataFrame(rows, schema)
+        if len(piece) == REQUESTS_AT_ONCE:
+            part = staged(part, "listing")
+        out = part if out is None else out.union(part)
+    return out if out is not None else spark.createDataFrame([], schema)
+
+
+def files_below(spark: SparkSession, folder: str, glob: str | None = None, recursive: bool = False) -> list[str]:
+    """Qualified URIs of the files of a folder whose names match ``glob`` (all by default), in order."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(qualified(spark, folder))
+    it = root.getFileSystem(conf).listFiles(root, recursive)
+    found = []
+    while it.hasNext():
+        p = it.next().getPath()
+        name = p.getName()
+        if not name.startswith(("_", ".")) and fnmatch.fnmatchcase(name, glob or "*"):
+            found.append(re.sub("^file:/+", "file:/", p.toString()))
+    return sorted(found)
 
 
 def logical_file(physical: Column) -> Column:
@@ -124,8 +154,9 @@ def write_feed(lines: DataFrame, root: str, parts: int | None = None) -> None:
     Range partitioning on (file, ord) keeps each logical file's lines in order across
     consecutive part files and spreads a large file over many tasks.
     """
-    n = parts or lines.sparkSession.sparkContext.defaultParallelism
-    (lines.repartitionByRange(n, F.col("file"), F.col("ord"))
-          .sortWithinPartitions("file", "ord")
+    order = [F.col("file"), F.col("ord")]
+    # Without a number, Spark's own partition count and coalescing follow the data.
+    ranged = lines.repartitionByRange(parts, *order) if parts else lines.repartitionByRange(*order)
+    (ranged.sortWithinPartitions("file", "ord")
           .select("file", "value")
           .write.mode("overwrite").partitionBy("file").text(root))

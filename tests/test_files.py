@@ -83,8 +83,20 @@ def test_admission_with_real_listing(spark):
         (p["empty"], "agoda", "s3"), (p["valid"], "agoda", "s3"),
         (p["valid"], "airbnb", "local"), (p["valid"], "agoda", "ftp"),
     ], "filepath string, platform string, storage_provider string")
-    listing = text.list_files(spark, [p["valid"], p["empty"], p["missing"]])
+    listing = text.request_listing(spark, req)
     got = [(r.admitted, r.error) for r in ledger.admission(req, listing).collect()]
     assert sorted(got, key=str) == sorted([
         (True, None), (False, ledger.MSG_NOT_VALID), (False, ledger.MSG_NOT_VALID), (True, None),
         (False, ledger.MSG_PLATFORM), (False, ledger.MSG_PROVIDER)], key=str)
+
+
+def test_numbers_by_order_keep_every_row(spark):
+    """A frame with a payload, in many partitions: no row is lost and no number is wrong."""
+    n = 200_000
+    df = spark.range(n).select((F.col("id") % 3).cast("string").alias("file"), F.col("id").alias("ord"),
+                               F.repeat(F.lit("x"), 50).alias("payload"))
+    for coalesce in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        out = ordinal.number_by_order(df, "file", "ord")
+        assert out.count() == n and out.where(F.col("line_no") != F.floor(F.col("ord") / 3) + 1).count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

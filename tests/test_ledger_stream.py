@@ -15,10 +15,10 @@ SF = "/root/testdata/sf0.001"
 
 def _ledger_row(spark, status, errors):
     return spark.createDataFrame(
-        [("job-1", "a.jl", "agoda", "local", status, 5, 5, 0, 10, errors, None, None, None, None)],
+        [("job-1", "a.jl", "agoda", "local", status, 5, 5, 0, 2, 5, 10, errors, None, None, None, None, None)],
         "job_id string, filepath string, platform string, storage_provider string, status string, "
-        "total_records int, valid_records int, invalid_records int, processing_time_ms int, errors array<string>, "
-        "started_at timestamp_ntz, completed_at timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz")
+        "total_records int, valid_records int, invalid_records int, hotels_upserted int, reviews_inserted int, "
+        "processing_time_ms int, errors array<string>, metadata string, started_at timestamp_ntz, completed_at timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz")
 
 
 def test_gate(spark):
@@ -36,9 +36,9 @@ def test_gate(spark):
 def test_retry_success_keeps_old_errors(spark):
     now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
     led = _ledger_row(spark, "failed", ["boom"])
-    upd = spark.createDataFrame([("job-1", "completed", 9, 8, 1, 20, None)],
+    upd = spark.createDataFrame([("job-1", "completed", 9, 8, 1, 3, 7, 20, None)],
                                 "job_id string, status string, total_records int, valid_records int, "
-                                "invalid_records int, processing_time_ms int, errors array<string>")
+                                "invalid_records int, hotels_upserted int, reviews_inserted int, processing_time_ms int, errors array<string>")
     r = ledger.transition(led, upd, now).first()
     assert r.status == "completed" and r.errors == ["boom"] and r.total_records == 9
     upd2 = upd.withColumn("status", F.lit("processing"))
