@@ -27,8 +27,17 @@ JS_FLOAT_PREFIX = r"^[\s\p{Z}\x{FEFF}]*([+-]?(Infinity|\d+\.?\d*([eE][+-]?\d+)?|
 PG_NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 PG_INTEGER = r"^\s*[+-]?\d+\s*$"
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
-# Date formats tried after ISO-8601 (JavaScript's Date accepts these too).
-EXTRA_DATE_FORMATS = ["MMMM d, yyyy", "MMM d, yyyy", "MMMM d, yyyy HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy"]
+# new Date(text): month names by their first three letters; zones by name, in hours.
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+ZONE_HOURS = {"gmt": 0, "utc": 0, "ut": 0, "z": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5,
+              "mst": -7, "mdt": -6, "pst": -8, "pdt": -7}
+DAYS = "sun mon tue wed thu fri sat"
+# An ISO date, alone (then UTC) or with a time.
+ISO_DATE = r"^\d{4}(-\d{2}(-\d{2})?)?([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?)?$"
+CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?\s*([aApP][mM])?"
+OFFSET = r"([+-])(\d{2}):?(\d{2})\s*(?:\(.*\))?$"
+# Nesting that the JSON parser here takes; deeper lines are rejected with a message of their own.
+MOST_NESTED = 1000
 NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 def _try_cast(c: Column, t: str) -> Column:
@@ -149,25 +158,40 @@ def js_string_to_number(s: Column) -> Column:
         .when(t.rlike(JS_DECIMAL), _try_cast(t, "double"))
         .when(t.rlike(JS_INFINITY),
               F.when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-        .when(t.rlike(JS_HEX), _try_cast(F.conv(F.substring(t, 3, 64), 16, 10), "double"))
+        .when(t.rlike(JS_HEX), _hex_value(t))
         .otherwise(_nan())
     )
 
 
+def _hex_value(t: Column) -> Column:
+    """Value of 0x... text of any length, as a double."""
+    digits = F.split(F.lower(F.substring(t, 3, 2 ** 31 - 1)), "")
+    return F.aggregate(digits, F.lit(0.0), lambda v, d: F.when(d == "", v).otherwise(
+        v * 16 + F.instr(F.lit("0123456789abcdef"), d) - 1))
+
+
 def js_number(x: Column, t: Column | None = None) -> Column:
     """``Number(x)`` / the implicit coercion of ``x < 0``.
 
-    undefined -> NaN, null -> 0, booleans -> 0/1, strings as above, objects -> NaN.
-    Arrays are treated as NaN (JavaScript coerces one-element arrays through their
-    string form; such values do not occur in review records).
+    undefined -> NaN, null -> 0, booleans -> 0/1, strings as above, objects -> NaN;
+    an array through its string form: [] -> 0, one number, string or null -> that element's
+    text, anything else -> NaN.
     """
     t = vtype(x) if t is None else t
+    one = F.try_variant_get(x, "$[0]", "variant")
+    alone = one.isNotNull() & F.try_variant_get(x, "$[1]", "variant").isNull()
+    kind = vtype(one)
+    from_array = (F.when(one.isNull(), F.lit(0.0)).when(alone & (kind == "VOID"), F.lit(0.0))
+                  .when(alone & (kind.rlike(NUMERIC_TYPE)), F.try_variant_get(one, "$", "double"))
+                  .when(alone & (kind == "STRING"), js_string_to_number(F.variant_get(one, "$", "string")))
+                  .otherwise(_nan()))
     return (
         F.when(x.isNull(), _nan())
         .when(t == "VOID", F.lit(0.0))
         .when(t == "BOOLEAN", F.when(F.variant_get(x, "$", "boolean"), F.lit(1.0)).otherwise(F.lit(0.0)))
         .when(t == "STRING", js_string_to_number(F.variant_get(x, "$", "string")))
         .when(t.rlike(NUMERIC_TYPE), F.try_variant_get(x, "$", "double"))
+        .when(t.startswith("ARRAY"), from_array)
         .otherwise(_nan())
     )
 
@@ -264,19 +288,69 @@ def pg_numeric_text(s: Column) -> Column:
     return F.when(s.rlike(PG_NUMERIC), _try_cast(F.trim(s), "decimal(3,1)"))
 
 
+def _int(c: Column) -> Column:
+    return F.when(c != "", c.try_cast("int"))
+
+
+def js_parse_date(s: Column) -> Column:
+    """``new Date(text)`` as TIMESTAMP (zone-less text is UTC); NULL for Invalid Date.
+
+    ISO-8601 first. Otherwise a month by name with a day and a year in either order (or the
+    year alone: its first day), or numbers as month/day/year or year/month/day; then an
+    optional time with AM/PM, a zone name or an offset. Two-digit years are 1950 to 2049, a
+    missing one is 2001; days beyond a month's end run on into the next month. Text
+    without a date part is no date, nor is text with other words in it.
+    """
+    t = F.trim(F.lower(s))
+    iso = F.try_to_timestamp(F.replace(F.trim(s), F.lit(","), F.lit(".")))
+    group = lambda rx, k, of=t: F.regexp_extract(of, rx, k)
+    hour, minute, second = (F.coalesce(_int(group(CLOCK, k)), F.lit(0)) for k in (1, 2, 3))
+    half = F.lower(group(CLOCK, 4))
+    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
+    has_clock = F.rlike(t, F.lit(CLOCK))
+    no_clock = F.regexp_replace(t, CLOCK, " ")
+    sign, oh, om = (F.when(has_clock, group(OFFSET, k, no_clock)).otherwise("") for k in (1, 2, 3))
+    offset = F.when(sign != "", F.when(sign == "-", -1).otherwise(1) * (_int(oh) * 60 + _int(om)))
+    plain = F.regexp_replace(F.when(sign != "", F.regexp_replace(no_clock, OFFSET, " ")).otherwise(no_clock), r"\(.*\)", " ")
+    words = F.regexp_extract_all(plain, F.lit("[a-z]+"), F.lit(0))
+    zones = F.array(*[F.lit(z) for z in ZONE_HOURS])
+    short = F.transform(words, lambda w: F.substring(w, 1, 3))
+    month_names, day_names = (F.array(*[F.lit(m) for m in names.split()]) for names in (MONTHS, DAYS))
+    named = F.get(F.filter(short, lambda w: F.array_contains(month_names, w)), F.lit(0))
+    zone = F.get(F.filter(words, lambda w: F.array_contains(zones, w)), F.lit(0))
+    other = F.exists(words, lambda w: ~(F.array_contains(month_names, F.substring(w, 1, 3)) | F.array_contains(zones, w)
+                                        | F.array_contains(day_names, F.substring(w, 1, 3)) | w.isin("t", "st", "nd", "rd", "th")))
+    zone_minutes = F.lit(0)
+    for name, h in ZONE_HOURS.items():
+        zone_minutes = F.when(zone == name, F.lit(60 * h)).otherwise(zone_minutes)
+    numbers = F.transform(F.regexp_extract_all(plain, F.lit(r"\d{1,6}"), F.lit(0)), lambda n: n.cast("int"))
+    n, first, second_n, third = F.size(numbers), *[F.get(numbers, F.lit(k)) for k in range(3)]
+    by_name = F.array_position(month_names, named).cast("int")
+    year_first = first > 31
+    month = F.when(by_name > 0, by_name).when(n == 3, F.when(year_first, second_n).otherwise(first))
+    day = (F.when((by_name > 0) & (n == 1), F.when(year_first, F.lit(1)).otherwise(first))
+           .when((by_name > 0) & (n == 2), F.when(year_first, second_n).otherwise(first))
+           .when(by_name.isNull() & (n == 3), F.when(year_first, third).otherwise(second_n)))
+    year = (F.when((by_name > 0) & (n == 1), F.when(year_first, first).otherwise(F.lit(2001)))
+            .when((by_name > 0) & (n == 2), F.when(year_first, first).otherwise(second_n))
+            .when(by_name.isNull() & (n == 3), F.when(year_first, first).otherwise(third)))
+    year = F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year)
+    ok = ~other & month.between(1, 12) & day.between(1, 31) & year.between(1, 9999) & (hour < 24) & (minute < 60) & (second < 60)
+    start = F.make_date(F.when(ok, year), month, F.lit(1))
+    at = F.unix_date(start).cast("long") * 86400 + (day - 1) * 86400 + hour * 3600 + minute * 60 + second
+    legacy = F.when(ok, F.timestamp_seconds(at - F.coalesce(offset, zone_minutes) * 60))
+    return F.when(F.rlike(F.trim(s), F.lit(ISO_DATE)), iso).otherwise(legacy)
+
+
 def js_date(x: Column, t: Column | None = None) -> Column:
     """``x ? new Date(x) : new Date(0)`` as TIMESTAMP_NTZ (UTC); NULL for Invalid Date."""
     t = vtype(x) if t is None else t
-    s = F.variant_get(x, "$", "string")
-    parsed = F.try_to_timestamp(s)
-    for fmt in EXTRA_DATE_FORMATS:
-        parsed = F.coalesce(parsed, F.try_to_timestamp(s, F.lit(fmt)))
     ms = js_number(x, t)
     from_num = F.when(~is_nan_or_inf(ms) & (F.abs(ms) <= F.lit(8.64e15)),
                       F.timestamp_millis(ms.cast("bigint")))
     ts = (
         F.when(~truthy(x, t), F.timestamp_millis(F.lit(0)))
-        .when(t == "STRING", parsed)
+        .when(t == "STRING", js_parse_date(F.variant_get(x, "$", "string")))
         .when(t.rlike(NUMERIC_TYPE) | (t == "BOOLEAN"), from_num)
     )
     # The session time zone is pinned to UTC (session.ensure_conf), so this cast

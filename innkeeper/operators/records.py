@@ -36,6 +36,7 @@ MSG_HOTEL_ID = "Hotel ID is required"
 MSG_PLATFORM = "Platform is required"
 MSG_PLATFORM_TYPE = "review.platform.trim is not a function"
 MSG_PARSE = "Invalid JSON format"
+MSG_NESTED = "JSON nested too deep"   # of this engine: more than js.MOST_NESTED opening brackets, and not parsed
 MSG_NULL_RECORD = "Cannot read properties of null (reading 'rating')"
 MSG_COMMENT_NULL = "Cannot use 'in' operator to search for 'rating' in null"
 MSG_STRICT_NULL = "Data transformation failed: Cannot read properties of null (reading 'hotelId')"
@@ -175,7 +176,9 @@ def _check_stages(policy: str, validate: bool, rules: tuple) -> list[dict[str, C
         thrown, errs = F.lit(None).cast("string"), F.array().cast("array<string>")
     errors = (
         F.when(F.col("blank"), F.lit(None).cast("array<string>"))
-        .when(~F.col("parsed"), F.array(F.lit(MSG_PARSE)))
+        .when(~F.col("parsed"), F.array(F.when(
+            F.length("value") - F.length(F.translate("value", "[{", "")) > js.MOST_NESTED, F.lit(MSG_NESTED))
+            .otherwise(F.lit(MSG_PARSE))))
         .when(F.col("_pre").isNotNull(), F.array(F.col("_pre")))
         .when(thrown.isNotNull(), F.array(thrown))
         .otherwise(errs)
