@@ -30,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import importable, shuffle_partitions, text_bytes
+from .common import arrow_rows, importable, shuffle_partitions, text_bytes
 
 END_ID = 2
 FILE_FORMAT = {
@@ -45,6 +45,7 @@ FILE_FORMAT = {
     "compression": "zstd",
 }
 MOST_REMEMBERED = 400_000
+BATCH_ROWS = 500
 
 
 def independent_words(file: str) -> bool:
@@ -60,9 +61,12 @@ def independent_words(file: str) -> bool:
                             for t in spec.get("added_tokens", []))
 
 
-LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"  # one lower-case letter each, and no other form under NFC
-PLAIN = re.compile(rf"[\t-\r -&(-@\[-`{{-~{LATIN}]*")  # no apostrophe: the pre-tokenizer has contractions
-PIECES = re.compile(rf"[{LATIN}]+|[0-9]|[^\t-\r 0-9{LATIN}]+")
+# Characters of plain words: printable ASCII but the apostrophe (the pre-tokenizer has contractions) and
+# the letters of Latin-1, which have one lower-case letter each and no other form under NFC.
+PLAIN_ASCII = bytes([*range(9, 14), *range(0x20, 0x27), *range(0x28, 0x7F)])
+PLAIN_OTHER = re.compile(rb"(?:\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])*")
+# In a plain lower-case text, bytes beyond ASCII are letters.
+PIECES = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^\t-\r 0-9a-z\x80-\xff]+")
 PIECES_A_CALL = 100
 
 
@@ -78,25 +82,23 @@ class Encoder:
         if self.by_word:
             self.ends_piece = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends_piece[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self.known: dict[str, bytes] = {}
-
-    def packed(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
-
-    def cut(self, text: bytes) -> list[str]:
-        """Pieces of plain Latin characters, lower-cased, and other words after a NUL."""
-        t = text.decode()
-        if PLAIN.fullmatch(t) and "<|" not in t:  # special tokens begin with that
-            return PIECES.findall(t.lower())
-        if b" " in text or len(text.split()) > 1:
-            return [p for w in text.split() for p in self.cut(w)]
-        return ["\0" + t]
-
-    def learn(self, new: set[str]) -> None:
-        self.known.update((p, self.packed(p[1:])) for p in new if p[0] == "\0")
-        pieces = sorted(p for p in new if p[0] != "\0")
+        self.known: dict[bytes, bytes] = {}
+
+    def packed(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<i4").tobytes()
+
+    def cut(self, text: bytes) -> list[bytes]:
+        """Pieces of plain words, lower-cased, and other words after a NUL."""
+        if PLAIN_OTHER.fullmatch(text.translate(None, PLAIN_ASCII)) and b"<|" not in text:  # as special tokens begin
+            return PIECES.findall(text.lower() if text.isascii() else text.decode().lower().encode())
+        words = text.split()
+        return [p for w in words for p in self.cut(w)] if len(words) > 1 else [b"\0" + text]
+
+    def learn(self, new: list[bytes]) -> None:
+        self.known.update((p, self.packed(p[1:])) for p in new if p[0] == 0)
+        pieces = [p for p in new if p[0] != 0]
         parts = [pieces[at:at + PIECES_A_CALL] for at in range(0, len(pieces), PIECES_A_CALL)]
-        encoded = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
         for part, e in zip(parts, encoded):
             ids = np.array(e.ids, "<i4")
             ends = (np.flatnonzero(self.ends_piece[ids]) + 1) * 4
@@ -110,14 +112,20 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return [self.packed(t.decode()) for t in texts]
+            return [self.packed(t) for t in texts]
         if len(self.known) > MOST_REMEMBERED:
             self.known.clear()
         cut = [self.cut(t) for t in texts]
+        flat = [p for pieces in cut for p in pieces]
+        ids = list(map(self.known.get, flat))
+        if None in ids:
+            self.learn(list(dict.fromkeys(p for p, i in zip(flat, ids) if i is None)))
+            ids = list(map(self.known.__getitem__, flat))
+        out, at = [], 0
         for pieces in cut:
-            if new := set(pieces).difference(self.known):
-                self.learn(new)
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+            out.append(b"".join(ids[at:at + len(pieces)]))
+            at += len(pieces)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -136,8 +144,8 @@ def _encode(file: str, end_id: int):
         part, before = TaskContext.get().partitionId(), 0
         enc = encoder(file)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):  # ids of at most so many documents at once
-                b = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, BATCH_ROWS):  # ids of at most so many documents at once
+                b = whole.slice(at, BATCH_ROWS)
                 packed = [ids + end for ids in enc.encode(text_bytes(b.column(1)))]
                 ends = np.cumsum([len(p) // 4 for p in packed])
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
@@ -160,7 +168,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     ordered = narrow.repartitionByRange(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
     tokens = ordered.mapInArrow(_encode(tokenizer, end_id),
                                 f"key {kind}, n_tokens long, ids array<int>, part int, before long")
-    tokens.write.options(**FILE_FORMAT).mode("errorifexists").parquet(path)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        tokens.write.options(**FILE_FORMAT).mode("errorifexists").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True) -> DataFrame:
@@ -169,14 +178,17 @@ def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True
     ``condition`` on ``key`` reaches the files' page indexes; without ids only metadata pages are read.
     """
     rows = spark.read.parquet(path)
-    # One row a file; running totals over them give where each file begins.
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = parts.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("begin"))
+    # One number a file; running totals over them give where each file begins. The begins are handed back
+    # as a local table, whose size Spark knows: it is broadcast while it is small, and no ids are shuffled.
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
+    begins, total = [], 0
+    for r in parts:
+        begins.append((r["part"], total))
+        total += r["n"]
     if condition is not None:
         rows = rows.where(condition)
-    out = rows.join(begins, "part").withColumn("start", F.col("begin") + F.col("before"))
-    return out.select("key", "start", "n_tokens", *(["ids"] if ids else []))
+    out = rows.join(spark.createDataFrame(begins, "part int, begin long"), "part")
+    return out.select("key", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", *(["ids"] if ids else []))
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
