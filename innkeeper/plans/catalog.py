@@ -18,7 +18,11 @@ QUERIES = {
     "reviews_merge": ingest.reviews_merge,
     "store_counters": ingest.store_counters,
     "file_admission": service.file_admission,
-    "multi_file_results": service.multi_file_results,
+    "multi_file_results": streams.multi_file_results,
+    "request_identity": streams.request_identity,
+    "run_rejects": streams.run_rejects,
+    "shared_store": streams.shared_store,
+    "job_by_id": service.job_by_id,
     "job_ids": service.job_ids,
     "ingest_gate": service.ingest_gate,
     "ledger_transition": service.ledger_transition,

@@ -213,12 +213,17 @@ _TABLES_CTE = f"""
          CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
          CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records
   FROM val GROUP BY file
+), inserted AS (
+  SELECT file, COUNT(*) AS n FROM rfirst WHERE rn = 1 GROUP BY file
+), upserted AS (
+  SELECT file, COUNT(*) AS n FROM hrows GROUP BY file
 ), run_ledger AS (
   SELECT 'job-' || md5(m.file || '-agoda') AS job_id, m.file AS filepath, 'agoda' AS platform,
-         'completed' AS status, true AS success,
          COALESCE(c.total_records, 0) AS total_records, COALESCE(c.valid_records, 0) AS valid_records,
-         COALESCE(c.invalid_records, 0) AS invalid_records
+         COALESCE(c.invalid_records, 0) AS invalid_records, COALESCE(u.n, 0) AS hotels_upserted,
+         COALESCE(i.n, 0) AS reviews_inserted
   FROM (SELECT 'f' || CAST(range AS VARCHAR) AS file FROM range(5)) m LEFT JOIN counts c ON m.file = c.file
+       LEFT JOIN inserted i ON m.file = i.file LEFT JOIN upserted u ON m.file = u.file
 )"""
 
 
@@ -275,7 +280,34 @@ WITH req AS (
 )
 SELECT filepath, platform, storage_provider, err IS NULL AS admitted, err AS error FROM d"""
 
-ORACLE["multi_file_results"] = _tables("SELECT * FROM run_ledger")
+_COUNTS = "total_records, valid_records, invalid_records, hotels_upserted, reviews_inserted"
+ORACLE["multi_file_results"] = _tables("""
+SELECT filepath AS file, 'agoda' AS platform, 'local' AS storage_provider, 'completed' AS status, true AS success,
+       CAST(total_records AS INTEGER) AS total_records, CAST(valid_records AS INTEGER) AS valid_records,
+       CAST(invalid_records AS INTEGER) AS invalid_records, CAST(hotels_upserted AS INTEGER) AS hotels_upserted,
+       CAST(reviews_inserted AS INTEGER) AS reviews_inserted, '' AS errors, true AS started, true AS ended
+FROM run_ledger WHERE filepath <> 'f4'
+UNION ALL SELECT 'empty.jl', 'agoda', 'local', 'completed', true, 0, 0, 0, 0, 0, '', true, true
+UNION ALL SELECT 'missing.jl', 'agoda', 'local', 'failed', false, 0, 0, 0, 0, 0,
+                 'File processing failed: File is not valid', true, true""")
+
+ORACLE["request_identity"] = _tables("""
+, one AS (SELECT filepath AS file, total_records, valid_records, invalid_records FROM run_ledger),
+total AS (SELECT SUM(total_records) AS t, SUM(valid_records) AS v, SUM(invalid_records) AS i FROM one)
+SELECT file, 'agoda' AS platform, 'completed' AS status, total_records, valid_records, invalid_records FROM one WHERE file = 'f0'
+UNION ALL SELECT file, 'booking', 'completed', total_records, valid_records, invalid_records FROM one WHERE file = 'f0'
+UNION ALL SELECT file, 'agoda', 'already_processed', total_records, valid_records, invalid_records FROM one WHERE file = 'f0'
+UNION ALL SELECT file, 'expedia', 'completed', total_records, valid_records, invalid_records FROM one WHERE file = 'f1'
+UNION ALL SELECT 'feed', 'agoda', 'completed', CAST(t AS BIGINT), CAST(v AS BIGINT), CAST(i AS BIGINT) FROM total
+UNION ALL SELECT file, 'agoda', 'completed', total_records, valid_records, invalid_records FROM one WHERE file = 'f2'""")
+
+ORACLE["shared_store"] = _tables("""
+SELECT (SELECT COUNT(*) FROM reviews_t) AS reviews, (SELECT COUNT(DISTINCT hotel_id) FROM reviews_t) AS hotels_reviewed,
+       CAST(4 AS BIGINT) AS completed_jobs, CAST((SELECT COUNT(*) FROM reviews_t) AS BIGINT) AS reviews_inserted,
+       CAST(SUM(total_records) AS BIGINT) AS total_records FROM run_ledger""")
+
+ORACLE["job_by_id"] = _JOBS_CTE + """
+SELECT job_id, filepath, platform, status, status = 'completed' AS is_completed FROM ledger WHERE filepath = 'orders/7.jl'"""
 
 ORACLE["job_ids"] = _JOBS_CTE + "\nSELECT filepath, platform, job_id FROM ledger"
 
@@ -370,7 +402,7 @@ WHERE platform = 'agoda' AND overall_score BETWEEN 1 AND 9 AND review_count BETW
 ORACLE["reviews_with_hotel"] = _tables("""SELECT r.hotel_review_id, r.hotel_id, r.rating, h.hotel_name, h.overall_score
 FROM reviews_t r LEFT JOIN hotels_t h ON r.hotel_id = h.hotel_id""")
 ORACLE["reviews_with_job"] = _tables("""SELECT r.hotel_review_id, r.processing_job_id, l.filepath,
-       l.status AS job_status, l.total_records
+       l.total_records, l.reviews_inserted
 FROM reviews_t r LEFT JOIN run_ledger l ON r.processing_job_id = l.job_id""")
 ORACLE["reviewers_dim"] = """
 WITH cnt AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey)
@@ -387,15 +419,21 @@ FROM events"""
 ORACLE["stream_ingest"] = ORACLE["reviews_insert"]
 ORACLE["stream_resume"] = ORACLE["hotels_upsert"]
 
-ORACLE["file_runs"] = _tables("""
-, feed AS (
-  SELECT r.run, c.file,
-         CASE WHEN r.run = 1 THEN 'completed' ELSE 'already_processed' END AS status,
-         c.total_records, c.valid_records, c.invalid_records, CAST(NULL AS VARCHAR) AS error
-  FROM counts c JOIN (SELECT 1 AS run UNION ALL SELECT 2) r ON true
-)
-SELECT * FROM feed
-UNION ALL SELECT 1, 'empty.jl', 'completed', 0, 0, 0, NULL
-UNION ALL SELECT 2, 'empty.jl', 'already_processed', 0, 0, 0, NULL
-UNION ALL SELECT 1, 'missing.jl', 'failed', 0, 0, 0, 'File is not valid'
-UNION ALL SELECT 2, 'missing.jl', 'failed', 0, 0, 0, 'File is not valid'""")
+ORACLE["file_runs"] = _tables(f"""
+SELECT r.run, filepath AS file, CASE WHEN r.run = 1 THEN 'completed' ELSE 'already_processed' END AS status,
+       {_COUNTS}, CAST(NULL AS VARCHAR) AS error
+FROM run_ledger JOIN (SELECT 1 AS run UNION ALL SELECT 2) r ON filepath <> 'f4'
+UNION ALL SELECT 1, 'empty.jl', 'completed', 0, 0, 0, 0, 0, NULL
+UNION ALL SELECT 2, 'empty.jl', 'already_processed', 0, 0, 0, 0, 0, NULL
+UNION ALL SELECT 1, 'missing.jl', 'failed', 0, 0, 0, 0, 0, 'File is not valid'
+UNION ALL SELECT 2, 'missing.jl', 'failed', 0, 0, 0, 0, 0, 'File is not valid'""")
+
+# Rejected lines of the feed files, and of the valid ones those that the tables cannot hold.
+ORACLE["run_rejects"] = ORACLE["rejects"].replace("SELECT file, line_no, errors FROM numbered", """, bad_rows AS (
+  SELECT n.file, n.line_no, concat_ws(', ', CASE WHEN r.l_orderkey % 73 <> 0 AND r.l_orderkey % 71 = 0 THEN 'review_date: invalid date' END,
+         CASE WHEN r.l_partkey % 101 = 0 THEN 'review_title: longer than 500' END) AS errors
+  FROM rrows r JOIN numbered n ON n.sub = 0 AND n.l_orderkey = r.l_orderkey AND n.l_linenumber = r.l_linenumber
+       AND n.l_partkey = r.l_partkey AND n.l_suppkey = r.l_suppkey AND n.l_shipdate = r.l_shipdate
+  WHERE NOT r.storable)
+SELECT file, line_no, 'review' AS stage, errors FROM bad_rows
+UNION ALL SELECT file, line_no, 'record', errors FROM numbered""")

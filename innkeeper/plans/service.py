@@ -9,14 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ledger, reads
-from ..session import ensure_conf
+from ..operators import ledger, reads, records
+from ..operators.tables import TableStore
+from ..session import ensure_conf, scratch_path
 from ..sources import bridge
 from . import ingest
 
 NOW = "2025-06-01 00:00:00"     # "now" of the ledger transition query (fixed)
 LOOKUP_HOTEL_ID = 1
 LOOKUP_REVIEW_ID = 15
+LOOKUP_JOB_FILE = "orders/7.jl"
 PAGE_LIMIT, PAGE_OFFSET = 10, 20
 
 
@@ -25,12 +27,27 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.jobs_source(spark, sf_dir)
 
 
+_LOADED: dict = {}
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> TableStore:
+    """The store after one load of the review feed, loaded once in a session: what the reads run on."""
+    ensure_conf(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        tables = TableStore(spark, scratch_path(spark, "loaded"))
+        lines = records.check_lines(bridge.review_lines(spark, sf_dir))
+        tables.apply(lines, "feed", sf_dir, bridge.request_job_id(F.col("file")), F.lit(ingest.RUN_TS).cast("timestamp_ntz"))
+        _LOADED[key] = tables
+    return _LOADED[key]
+
+
 def _reviews(spark, sf_dir):
-    return ingest.reviews_table(spark, sf_dir)
+    return loaded(spark, sf_dir).reviews()
 
 
 def _hotels(spark, sf_dir):
-    return ingest.hotels_table(spark, sf_dir)
+    return loaded(spark, sf_dir).hotels()
 
 
 # -- admission / multi-file ---------------------------------------------------
@@ -42,29 +59,17 @@ def file_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-file results of one ingest run of the review feed (one ledger row per file).
+    """Ledger rows of the load of the review feed: one job per file, with the load's counts.
 
-    Driven from the request manifest (left join), so a requested file without lines
-    still reports 0/0/0 with success.
+    Driven from the requests (left join), so a requested file without lines has a row too.
     """
-    counts = ingest.ingest_file_counts(spark, sf_dir)
-    manifest = spark.range(bridge.N_FILES + 1).select(
-        F.concat(F.lit("f"), F.col("id").cast("string")).alias("file"))
-    j = manifest.join(counts, "file", "left")
-    return j.select(
-        bridge.request_job_id(F.col("file")).alias("job_id"),
-        F.col("file").alias("filepath"),
-        F.lit(bridge.REQUEST_PLATFORM).alias("platform"),
-        F.lit("completed").alias("status"),
-        F.lit(True).alias("success"),
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-          for c in ["total_records", "valid_records", "invalid_records"]],
-    )
-
-
-def multi_file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q03: per-file status of a multi-file run (requested but empty files included)."""
-    return run_ledger(spark, sf_dir)
+    counts = loaded(spark, sf_dir).counters("feed", sf_dir)
+    requests = spark.range(bridge.N_FILES + 1).select(
+        F.concat(F.lit("f"), F.col("id").cast("string")).alias("filepath"),
+        F.lit(bridge.REQUEST_PLATFORM).alias("platform"), F.lit("local").alias("storage_provider"))
+    return ledger.with_job_ids(requests).join(counts.drop("file"), "job_id", "left").select(
+        "job_id", "filepath", "platform",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ledger.COUNTS])
 
 
 # -- ledger ---------------------------------------------------------------------
@@ -117,6 +122,14 @@ def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ledger.throughput(F.col("total_records"), F.col("processing_time_ms")).alias("records_per_sec"))
 
 
+def job_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14b: one job looked up by its id, and whether it is completed."""
+    jobs = _jobs(spark, sf_dir)
+    wanted = [ledger.job_id(F.lit(LOOKUP_JOB_FILE), F.lit(p)) for p in ledger.PLATFORMS]
+    return jobs.filter(F.col("job_id").isin(*wanted)).select(
+        "job_id", "filepath", "platform", "status", (F.col("status") == "completed").alias("is_completed"))
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q18: jobs and record totals per (platform, status)."""
     return ledger.statistics(_jobs(spark, sf_dir))
@@ -224,7 +237,8 @@ def reviews_with_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q16: reviews left-joined to the ledger row of the run that stored them."""
     r = _reviews(spark, sf_dir).select("hotel_review_id", "processing_job_id")
     j = run_ledger(spark, sf_dir).select(F.col("job_id").alias("processing_job_id"), "filepath",
-                                         F.col("status").alias("job_status"), "total_records")
+                                         "total_records", "reviews_inserted")
+    # One row a job against all reviews of it: Spark broadcasts the jobs while they are few, else splits large jobs.
     return r.join(j, "processing_job_id", "left")
 
 
