@@ -185,9 +185,10 @@ def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True
     for r in parts:
         begins.append((r["part"], total))
         total += r["n"]
+    table = pa.table({"part": pa.array([p for p, _ in begins], pa.int32()), "begin": pa.array([b for _, b in begins], pa.int64())})
     if condition is not None:
         rows = rows.where(condition)
-    out = rows.join(spark.createDataFrame(begins, "part int, begin long"), "part")
+    out = rows.join(spark.createDataFrame(table), "part")
     return out.select("key", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", *(["ids"] if ids else []))
 
 

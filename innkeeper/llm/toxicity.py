@@ -379,7 +379,8 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
         return 0.0
     ids = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in chosen],
                                 T.StructType([T.StructField("_id", labels.schema["doc_id"].dataType), T.StructField("_toxic", T.IntegerType())]))
-    texts = docs.where(F.length("text") <= MOST_CHARS).select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"))
+    texts = docs.where(F.length("text") <= MOST_CHARS).select("doc_id", "text").join(
+        F.broadcast(ids), F.col("doc_id") == F.col("_id"))  # at most positives + negatives rows
     rows = sorted({(r["doc_id"], r["text"], r["_toxic"]) for r in texts.collect()})
     return fit([t.encode() for _, t, _ in rows], [x for _, _, x in rows])
 
