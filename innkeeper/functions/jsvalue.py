@@ -292,6 +292,71 @@ def _int(c: Column) -> Column:
     return F.when(c != "", c.try_cast("int"))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_NAMES = lambda names: "|".join(names.split())
+_ZONES = "|".join(sorted(ZONE_HOURS, key=len, reverse=True))
+MONTH_WORD = rf"(?<![a-z])({_NAMES(MONTHS)})[a-z]*"
+ZONE_WORD = rf"(?<![a-z])({_ZONES})(?![a-z])"
+KNOWN_WORDS = rf"(?<![a-z])(?:(?:{_NAMES(MONTHS)}|{_NAMES(DAYS)})[a-z]*|(?:{_ZONES}|t|st|nd|rd|th)(?![a-z]))"
+
+
+def _legacy_date(t: Column) -> Column:
+    """Text that is not ISO-8601, lower-cased: seconds since 1970 in UTC, NULL for no date."""
+    pick = lambda c, rx, k: F.regexp_extract(c, rx, k)
+
+    def from_parts(p: Column) -> Column:
+        """p: clock, plain (without clock, offset and comment), offset in minutes, month name, zone, numbers."""
+        n, first, second, third = F.size(p["numbers"]), *[F.get(p["numbers"], F.lit(k)) for k in range(3)]
+        by_name = F.when(p["month"] != "", F.floor(F.instr(F.lit(MONTHS), p["month"]) / 4).cast("int") + 1)
+        year_first = first > 31
+        month = F.when(p["month"] != "", by_name).when(n == 3, F.when(year_first, second).otherwise(first))
+        day = (F.when((p["month"] != "") & (n == 1), F.when(year_first, F.lit(1)).otherwise(first))
+               .when((p["month"] != "") & (n == 2), F.when(year_first, second).otherwise(first))
+               .when((p["month"] == "") & (n == 3), F.when(year_first, third).otherwise(second)))
+        year = (F.when((p["month"] != "") & (n == 1), F.when(year_first, first).otherwise(F.lit(2001)))
+                .when((p["month"] != "") & (n == 2), F.when(year_first, first).otherwise(second))
+                .when((p["month"] == "") & (n == 3), F.when(year_first, first).otherwise(third)))
+        hour, minute, sec = (F.coalesce(_int(pick(p["clock"], CLOCK, k)), F.lit(0)) for k in (1, 2, 3))
+        half = pick(p["clock"], CLOCK, 4)
+        return F.struct(
+            F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year).alias("year"),
+            month.alias("month"), day.alias("day"), minute.alias("minute"), sec.alias("sec"),
+            F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour).alias("hour"),
+            p["offset"].alias("offset"), p["zone"].alias("zone"), p["other"].alias("other"))
+
+    def seconds(d: Column) -> Column:
+        zone = F.lit(0)
+        for name, h in ZONE_HOURS.items():
+            if h:
+                zone = F.when(d["zone"] == name, F.lit(60 * h)).otherwise(zone)
+        ok = (~d["other"] & d["month"].between(1, 12) & d["day"].between(1, 31) & d["year"].between(1, 9999)
+              & (d["hour"] < 24) & (d["minute"] < 60) & (d["sec"] < 60))
+        start = F.unix_date(F.make_date(d["year"], d["month"], F.lit(1))).cast("long")
+        at = (start + d["day"] - 1) * 86400 + d["hour"] * 3600 + d["minute"] * 60 + d["sec"]
+        return F.when(ok, at - F.coalesce(d["offset"], zone) * 60)
+
+    def parts(c: Column) -> Column:
+        """c: clock, rest (text without it), sign of the offset."""
+        offset = F.when(c["sign"] != "", F.when(c["sign"] == "-", -1).otherwise(1) * (
+            _int(pick(c["rest"], OFFSET, 2)) * 60 + _int(pick(c["rest"], OFFSET, 3))))
+        bare = F.when(c["sign"] != "", F.regexp_replace(c["rest"], OFFSET, " ")).otherwise(c["rest"])
+        return _let(F.when(F.contains(bare, F.lit("(")), F.regexp_replace(bare, r"\(.*\)", " ")).otherwise(bare), lambda plain: F.struct(
+            c["clock"].alias("clock"), offset.alias("offset"), pick(plain, MONTH_WORD, 1).alias("month"),
+            pick(plain, ZONE_WORD, 1).alias("zone"),
+            F.rlike(F.regexp_replace(plain, KNOWN_WORDS, ""), F.lit("[a-z]")).alias("other"),
+            F.transform(F.regexp_extract_all(plain, F.lit(r"\d{1,6}"), F.lit(0)), lambda x: x.cast("int")).alias("numbers")))
+
+    clock = _let(pick(t, CLOCK, 0), lambda clock: F.struct(clock.alias("clock"), F.when(
+        clock != "", F.regexp_replace(t, CLOCK, " ")).otherwise(t).alias("rest")))
+    signed = _let(clock, lambda c: F.struct(c["clock"].alias("clock"), c["rest"].alias("rest"), F.when(
+        c["clock"] != "", pick(c["rest"], OFFSET, 1)).otherwise("").alias("sign")))
+    return _let(_let(_let(signed, parts), from_parts), seconds)
+
+
 def js_parse_date(s: Column) -> Column:
     """``new Date(text)`` as TIMESTAMP (zone-less text is UTC); NULL for Invalid Date.
 
@@ -301,45 +366,9 @@ def js_parse_date(s: Column) -> Column:
     missing one is 2001; days beyond a month's end run on into the next month. Text
     without a date part is no date, nor is text with other words in it.
     """
-    t = F.trim(F.lower(s))
-    iso = F.try_to_timestamp(F.replace(F.trim(s), F.lit(","), F.lit(".")))
-    group = lambda rx, k, of=t: F.regexp_extract(of, rx, k)
-    hour, minute, second = (F.coalesce(_int(group(CLOCK, k)), F.lit(0)) for k in (1, 2, 3))
-    half = F.lower(group(CLOCK, 4))
-    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
-    has_clock = F.rlike(t, F.lit(CLOCK))
-    no_clock = F.regexp_replace(t, CLOCK, " ")
-    sign, oh, om = (F.when(has_clock, group(OFFSET, k, no_clock)).otherwise("") for k in (1, 2, 3))
-    offset = F.when(sign != "", F.when(sign == "-", -1).otherwise(1) * (_int(oh) * 60 + _int(om)))
-    plain = F.regexp_replace(F.when(sign != "", F.regexp_replace(no_clock, OFFSET, " ")).otherwise(no_clock), r"\(.*\)", " ")
-    words = F.regexp_extract_all(plain, F.lit("[a-z]+"), F.lit(0))
-    zones = F.array(*[F.lit(z) for z in ZONE_HOURS])
-    short = F.transform(words, lambda w: F.substring(w, 1, 3))
-    month_names, day_names = (F.array(*[F.lit(m) for m in names.split()]) for names in (MONTHS, DAYS))
-    named = F.get(F.filter(short, lambda w: F.array_contains(month_names, w)), F.lit(0))
-    zone = F.get(F.filter(words, lambda w: F.array_contains(zones, w)), F.lit(0))
-    other = F.exists(words, lambda w: ~(F.array_contains(month_names, F.substring(w, 1, 3)) | F.array_contains(zones, w)
-                                        | F.array_contains(day_names, F.substring(w, 1, 3)) | w.isin("t", "st", "nd", "rd", "th")))
-    zone_minutes = F.lit(0)
-    for name, h in ZONE_HOURS.items():
-        zone_minutes = F.when(zone == name, F.lit(60 * h)).otherwise(zone_minutes)
-    numbers = F.transform(F.regexp_extract_all(plain, F.lit(r"\d{1,6}"), F.lit(0)), lambda n: n.cast("int"))
-    n, first, second_n, third = F.size(numbers), *[F.get(numbers, F.lit(k)) for k in range(3)]
-    by_name = F.array_position(month_names, named).cast("int")
-    year_first = first > 31
-    month = F.when(by_name > 0, by_name).when(n == 3, F.when(year_first, second_n).otherwise(first))
-    day = (F.when((by_name > 0) & (n == 1), F.when(year_first, F.lit(1)).otherwise(first))
-           .when((by_name > 0) & (n == 2), F.when(year_first, second_n).otherwise(first))
-           .when(by_name.isNull() & (n == 3), F.when(year_first, third).otherwise(second_n)))
-    year = (F.when((by_name > 0) & (n == 1), F.when(year_first, first).otherwise(F.lit(2001)))
-            .when((by_name > 0) & (n == 2), F.when(year_first, first).otherwise(second_n))
-            .when(by_name.isNull() & (n == 3), F.when(year_first, first).otherwise(third)))
-    year = F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year)
-    ok = ~other & month.between(1, 12) & day.between(1, 31) & year.between(1, 9999) & (hour < 24) & (minute < 60) & (second < 60)
-    start = F.make_date(F.when(ok, year), month, F.lit(1))
-    at = F.unix_date(start).cast("long") * 86400 + (day - 1) * 86400 + hour * 3600 + minute * 60 + second
-    legacy = F.when(ok, F.timestamp_seconds(at - F.coalesce(offset, zone_minutes) * 60))
-    return F.when(F.rlike(F.trim(s), F.lit(ISO_DATE)), iso).otherwise(legacy)
+    return _let(F.trim(s), lambda t: F.when(
+        F.rlike(t, F.lit(ISO_DATE)), F.try_to_timestamp(F.replace(t, F.lit(","), F.lit("."))))
+        .otherwise(F.timestamp_seconds(_legacy_date(F.lower(t)))))
 
 
 def js_date(x: Column, t: Column | None = None) -> Column:

@@ -12,6 +12,9 @@ QUERIES = {
     "rejects": ingest.rejects,
     "flattened_reviews": ingest.flattened_reviews,
     "strict_policy_counts": ingest.strict_policy_counts,
+    "strict_no_rules": ingest.strict_no_rules,
+    "custom_rules": ingest.custom_rules,
+    "reviews_with_reviewer": service.reviews_with_reviewer,
     "reviews_insert": ingest.reviews_insert,
     "hotels_upsert": ingest.hotels_upsert,
     "hotels_merge": ingest.hotels_merge,

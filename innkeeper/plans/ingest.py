@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import jsvalue as js
 from ..operators import ordinal, records, store
 from ..operators.records import REC
 from ..session import ensure_conf
@@ -52,13 +53,7 @@ def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_no_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q04b: per-file counters with validation switched off (parse + flatten only)."""
-    c = _checked(spark, sf_dir, validate=False)
-    return c.groupBy("file").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("is_valid")).alias("valid_records"),
-        F.count_if(~F.col("is_valid")).alias("invalid_records"),
-        F.count_if(F.col("is_valid") & F.col("rec_truthy")).alias("collected_records"),
-    )
+    return _collected_counts(_checked(spark, sf_dir, validate=False))
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,12 +81,34 @@ def flattened_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw"),
         F.try_variant_get(REC["hotelReviewId"], "$", "bigint").alias("hotel_review_id"),
         F.try_variant_get(REC["rating"], "$", "double").alias("rating"),
-        F.try_variant_get(REC["reviewTitle"], "$", "string").alias("review_title"),
+        *[F.try_variant_get(REC[f], "$", "string").alias(c) for f, c in store.REVIEW_TEXT_FIELDS.items()],
         F.try_variant_get(REC["reviewDate"], "$", "string").alias("review_date"),
+        F.to_json(REC["providerId"]).alias("provider_json"), F.to_json(REC["isShowReviewResponse"]).alias("shown_json"),
+        F.try_variant_get(REC["reviewerInfo"], "$.displayMemberName", "string").alias("reviewer_name"),
         F.try_variant_get(REC["hotelName"], "$", "string").alias("hotel_name"),
     )
 
 
+def _collected_counts(c: DataFrame) -> DataFrame:
+    return c.groupBy("file").agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col("is_valid")).alias("valid_records"),
+        F.count_if(~F.col("is_valid")).alias("invalid_records"),
+        F.count_if(F.col("is_valid") & F.col("rec_truthy")).alias("collected_records"))
+
+
+def strict_no_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q06c: counters of the object-store policy with validation off: parsed records pass untouched."""
+    return _collected_counts(_checked(spark, sf_dir, policy=records.STRICT, validate=False))
+
+
+def custom_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q04c: counters with another validator plugged in (a title is required, nothing else)."""
+    ensure_conf(spark)
+    rule = records.Rule("Review title is required", lambda rec: ~js.truthy(rec["reviewTitle"]))
+    return _collected_counts(records.check_lines(bridge.review_lines(spark, sf_dir), rules=[rule]))
+
+
 def strict_policy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q06b: per-file counters under the strict (object-store) policy."""
     c = _checked(spark, sf_dir, policy=records.STRICT)
@@ -105,9 +122,8 @@ def strict_policy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _review_output(df: DataFrame) -> DataFrame:
-    return df.select(
-        "hotel_review_id", "hotel_id", "platform", F.col("rating").cast("double").alias("rating"),
-        "review_title", "review_date", "is_show_review_response", "provider_id", "processing_job_id")
+    """Every column of the reviews table (the rating as a double, for comparison)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c == "rating" else c for c in store.REVIEW_COLUMNS])
 
 
 def _hotel_output(df: DataFrame) -> DataFrame:

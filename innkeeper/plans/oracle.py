@@ -10,7 +10,7 @@ from __future__ import annotations
 # Review feed: one record per lineitem row (+ one blank line when l_orderkey % 53 = 0).
 _REVIEW_CTE = """
 src AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate,
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate, l_returnflag, l_linestatus,
          s_name, s_acctbal, p_name,
          'f' || CAST(l_orderkey % 4 AS VARCHAR) AS file,
          l_orderkey % 4 AS file_rank,
@@ -21,8 +21,11 @@ rec AS (
   SELECT *,
     l_orderkey % 97 <> 0 AS parsed,
     l_orderkey % 53 = 0 AS has_blank,
+    l_orderkey % 59 = 0 AS has_falsy,
+    (l_orderkey % 53 = 0)::INT + (l_orderkey % 59 = 0)::INT AS extra_lines,
     l_orderkey % 2 = 0 AS nested,
-    CASE WHEN l_orderkey % 79 = 0 THEN 'absent' WHEN l_orderkey % 83 = 0 THEN 'null' ELSE 'num' END AS rating_kind,
+    CASE WHEN l_orderkey % 79 = 0 THEN 'absent' WHEN l_orderkey % 83 = 0 THEN 'null'
+         WHEN l_orderkey % 67 = 0 THEN 'str' ELSE 'num' END AS rating_kind,
     (l_quantity - 3) / 4.0 AS rating_num,
     CASE l_linenumber % 5 WHEN 0 THEN 'agoda' WHEN 1 THEN 'booking' WHEN 2 THEN 'expedia'
          WHEN 3 THEN '  ' ELSE 'tripadvisor' END AS platform,
@@ -33,7 +36,7 @@ rec AS (
 chk AS (
   SELECT *,
     (rating_kind = 'num' AND (rating_num < 0 OR rating_num > 10)) AS e_rating,
-    (l_suppkey = 0) AS e_hotel,
+    (l_suppkey = 0 AND l_orderkey % 12 <> 5) AS e_hotel,
     (l_linenumber % 5 = 3) AS e_platform,
     nested AND rating_kind <> 'absent' AS raw
   FROM rec
@@ -41,6 +44,32 @@ chk AS (
 val AS (
   SELECT *, parsed AND NOT (e_rating OR e_hotel OR e_platform) AS is_valid FROM chk
 ),
+txt AS (
+  SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
+    CASE WHEN l_partkey % 101 = 0 THEN repeat('x', 501) ELSE p_name END AS review_title,
+    l_returnflag || '-' || l_linestatus AS rating_text,
+    CASE WHEN l_orderkey % 5 <> 0 THEN 'c' || l_partkey END AS review_comments,
+    CASE WHEN l_linenumber % 3 <> 0 THEN 'p' || l_suppkey END AS review_positives,
+    CASE WHEN l_orderkey % 4 = 1 THEN l_suppkey::VARCHAR ELSE 'n' || l_linenumber END AS review_negatives,
+    strftime(l_shipdate, '%Y-%m') AS check_in_date_month_and_year,
+    CASE WHEN l_orderkey % 11 = 0 THEN 'true' ELSE 'r' || l_suppkey END AS responder_name,
+    'd' || l_linenumber AS response_date_text, 'en' AS translate_source,
+    CASE WHEN l_orderkey % 103 = 0 THEN repeat('x', 11) ELSE 'de' END AS translate_target,
+    'e' || l_orderkey AS encrypted_review_data, 'P' || (l_partkey % 5) AS review_provider_text,
+    l_orderkey % 5 < 2 AS is_show_review_response,
+    CASE l_orderkey % 8 WHEN 0 THEN l_partkey % 1000 WHEN 1 THEN 12 WHEN 3 THEN 5 WHEN 5 THEN 0 WHEN 6 THEN 77
+         WHEN 7 THEN 1 END::INTEGER AS provider_id,
+    CASE l_orderkey % 8 WHEN 0 THEN (l_partkey % 1000)::VARCHAR WHEN 1 THEN '" 12 "' WHEN 2 THEN 'null' WHEN 3 THEN '[5]'
+         WHEN 5 THEN '""' WHEN 6 THEN CASE WHEN l_orderkey % 61 = 0 THEN '"abc"' ELSE '77' END WHEN 7 THEN 'true' END AS provider_json,
+    CASE l_orderkey % 5 WHEN 0 THEN 'true' WHEN 1 THEN '"false"' WHEN 2 THEN 'false' WHEN 3 THEN '0' END AS shown_json,
+    CASE WHEN l_orderkey % 10 < 3 THEN 'M' || l_partkey END AS reviewer_name,
+    CASE WHEN l_orderkey % 73 = 0 THEN NULL WHEN l_orderkey % 71 = 0 THEN 'not a date' WHEN l_orderkey % 113 = 0 THEN '12:30'
+         ELSE CASE l_orderkey % 6 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'
+              WHEN 1 THEN strftime(l_shipdate, '%-m/%-d/%Y') WHEN 2 THEN strftime(l_shipdate, '%b %-d, %Y')
+              WHEN 3 THEN strftime(l_shipdate, '%-d %B %Y') WHEN 4 THEN strftime(l_shipdate, '%a, %d %b %Y %H:%M:%S GMT')
+              ELSE strftime(l_shipdate, '%Y-%m-%d') END END AS date_text
+  FROM src
+),
 elig AS (
   SELECT *, is_valid AND review_id <> 0 AND rating_kind <> 'absent' AS eligible FROM val
 ),
@@ -48,9 +77,12 @@ rrows AS (
   SELECT *,
     CAST(CAST(rating_num AS VARCHAR) AS DECIMAL(3,1)) AS rating_dec,
     CASE WHEN l_orderkey % 73 = 0 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE l_shipdate END AS review_date,
-    CASE WHEN l_partkey % 101 = 0 THEN repeat('x', 501) ELSE p_name END AS review_title,
-    NOT ((l_orderkey % 73 <> 0 AND l_orderkey % 71 = 0) OR l_partkey % 101 = 0) AS storable
-  FROM elig WHERE eligible AND rating_kind = 'num' AND rating_num <> 0
+    l_orderkey % 73 <> 0 AND (l_orderkey % 71 = 0 OR l_orderkey % 113 = 0) AS bad_date,
+    l_orderkey % 8 = 6 AND l_orderkey % 61 = 0 AS bad_provider,
+    l_partkey % 101 = 0 AS bad_title, l_orderkey % 103 = 0 AS bad_target,
+    NOT (bad_date OR bad_provider OR bad_title OR bad_target) AS storable
+  FROM elig JOIN txt USING (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate)
+  WHERE eligible AND (rating_kind = 'str' OR (rating_kind = 'num' AND rating_num <> 0))
 ),
 hrows AS (
   SELECT *,
@@ -73,9 +105,9 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["ingest_file_counts"] = _with("""
 SELECT file,
-       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+       CAST(COUNT(*) + SUM(extra_lines) AS BIGINT) AS total_records,
        CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
-       CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records
+       CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) + COUNT(*) FILTER (has_falsy) AS BIGINT) AS invalid_records
 FROM val GROUP BY file""")
 
 ORACLE["valid_records"] = _with("""
@@ -86,14 +118,21 @@ SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey,
        raw
 FROM val WHERE is_valid""")
 
-ORACLE["valid_no_rules"] = _with("""
-SELECT file,
-       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
-       CAST(SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
-       CAST(SUM(CASE WHEN parsed THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records,
-       CAST(SUM(CASE WHEN parsed THEN 1 ELSE 0 END) AS BIGINT) AS collected_records
+def _collected(valid: str, falsy_valid: bool) -> str:
+    """Counters with records collected; falsy lines are parsed but never collected."""
+    ok, bad = ("+ COUNT(*) FILTER (has_falsy)", "") if falsy_valid else ("", "+ COUNT(*) FILTER (has_falsy)")
+    return _with(f"""
+SELECT file, CAST(COUNT(*) + SUM(extra_lines) AS BIGINT) AS total_records,
+       CAST(COUNT(*) FILTER ({valid}) {ok} AS BIGINT) AS valid_records,
+       CAST(COUNT(*) FILTER (NOT ({valid})) {bad} AS BIGINT) AS invalid_records,
+       CAST(COUNT(*) FILTER ({valid}) AS BIGINT) AS collected_records
 FROM val GROUP BY file""")
 
+
+ORACLE["valid_no_rules"] = _collected("parsed", True)
+ORACLE["strict_no_rules"] = _collected("parsed", True)
+ORACLE["custom_rules"] = _collected("parsed AND NOT (nested AND NOT raw)", False)
+
 ORACLE["rejects"] = _with(f"""
 , lines AS (
   SELECT file, {_ORD}, 0 AS sub, is_valid,
@@ -105,39 +144,46 @@ ORACLE["rejects"] = _with(f"""
   FROM val
   UNION ALL
   SELECT file, {_ORD}, 1 AS sub, NULL AS is_valid, NULL AS errors FROM val WHERE has_blank
+  UNION ALL
+  SELECT file, {_ORD}, 2 AS sub, false AS is_valid,
+         CASE WHEN l_orderkey % 4 = 0 THEN 'Cannot read properties of null (reading ''rating'')'
+              ELSE 'Hotel ID is required, Platform is required' END AS errors FROM val WHERE has_falsy
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY file ORDER BY {_ORD}, sub) AS line_no FROM lines
 )
 SELECT file, line_no, errors FROM numbered WHERE is_valid = false""")
 
-ORACLE["flattened_reviews"] = _with("""
-SELECT file, l_orderkey, l_linenumber, l_partkey, l_suppkey, raw,
+_TEXTS = ["rating_text", "review_title", "review_comments", "review_positives", "review_negatives",
+          "check_in_date_month_and_year", "responder_name", "response_date_text", "translate_source", "translate_target",
+          "encrypted_review_data", "review_provider_text"]
+_FLAT = [*_TEXTS, "provider_json", "shown_json", "reviewer_name"]
+_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+ORACLE["flattened_reviews"] = _with(f"""
+SELECT file, {_KEYS}, raw,
        CASE WHEN nested AND NOT raw THEN NULL ELSE review_id END AS hotel_review_id,
        CASE WHEN rating_kind = 'num' THEN rating_num END AS rating,
-       CASE WHEN nested AND NOT raw THEN NULL
-            WHEN l_partkey % 101 = 0 THEN repeat('x', 501) ELSE p_name END AS review_title,
-       CASE WHEN nested AND NOT raw THEN NULL
-            WHEN l_orderkey % 73 = 0 THEN NULL
-            WHEN l_orderkey % 71 = 0 THEN 'not a date'
-            ELSE strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' END AS review_date,
+       {", ".join(f"CASE WHEN NOT (nested AND NOT raw) THEN {c} END AS {c}" for c in _FLAT)},
+       CASE WHEN NOT (nested AND NOT raw) THEN date_text END AS review_date,
        CASE WHEN l_suppkey % 10 = 9 THEN NULL ELSE s_name END AS hotel_name
-FROM val WHERE parsed""")
+FROM val JOIN txt USING (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate) WHERE parsed
+UNION ALL
+SELECT file, {_KEYS}, false, NULL, NULL, {", ".join("NULL" for _ in _FLAT)}, NULL, NULL FROM val WHERE has_falsy""")
 
 ORACLE["strict_policy_counts"] = _with("""
 SELECT file,
-       CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+       CAST(COUNT(*) + SUM(extra_lines) AS BIGINT) AS total_records,
        CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
-       CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records,
-       CAST(SUM(CASE WHEN parsed AND NOT nested THEN 1 ELSE 0 END) AS BIGINT) AS transform_errors
+       CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) + COUNT(*) FILTER (has_falsy) AS BIGINT) AS invalid_records,
+       CAST(SUM(CASE WHEN parsed AND NOT nested THEN 1 ELSE 0 END) + COUNT(*) FILTER (has_falsy) AS BIGINT) AS transform_errors
 FROM (
   SELECT *, parsed AND nested
             AND NOT ((rating_kind = 'num' AND (rating_num < 0 OR rating_num > 10)) OR e_hotel OR e_platform) AS ok
   FROM chk) GROUP BY file""")
 
-_REVIEW_SELECT = """
-SELECT CAST(review_id AS INTEGER) AS hotel_review_id, CAST(l_suppkey AS INTEGER) AS hotel_id, platform,
-       CAST(rating_dec AS DOUBLE) AS rating, review_title, review_date,
-       false AS is_show_review_response, CAST(NULL AS INTEGER) AS provider_id, job_id AS processing_job_id"""
+_REVIEW_SELECT = f"""
+SELECT CAST(review_id AS INTEGER) AS hotel_review_id, CAST(l_suppkey AS INTEGER) AS hotel_id,
+       CAST(NULL AS INTEGER) AS reviewer_id, platform, CAST(rating_dec AS DOUBLE) AS rating, {", ".join(_TEXTS)},
+       review_date, is_show_review_response, provider_id, job_id AS processing_job_id"""
 
 ORACLE["reviews_insert"] = _with(f"""
 , firsts AS (
@@ -196,8 +242,8 @@ _TABLES_CTE = f"""
   SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY {_ORD}) AS rn FROM rrows WHERE storable
 ), reviews_t AS (
   SELECT CAST(review_id AS INTEGER) AS hotel_review_id, CAST(l_suppkey AS INTEGER) AS hotel_id, platform,
-         CAST(rating_dec AS DOUBLE) AS rating, review_date, false AS is_show_review_response,
-         job_id AS processing_job_id
+         CAST(rating_dec AS DOUBLE) AS rating, review_date, is_show_review_response,
+         job_id AS processing_job_id, reviewer_name, l_suppkey, l_linenumber
   FROM rfirst WHERE rn = 1
 ), hranked AS (
   SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY {_ORD_DESC}) AS rn_last,
@@ -209,9 +255,9 @@ _TABLES_CTE = f"""
   FROM hranked a JOIN hranked b ON a.l_suppkey = b.l_suppkey AND b.rn_first = 1
   WHERE a.rn_last = 1
 ), counts AS (
-  SELECT file, CAST(COUNT(*) + SUM(CASE WHEN has_blank THEN 1 ELSE 0 END) AS BIGINT) AS total_records,
+  SELECT file, CAST(COUNT(*) + SUM(extra_lines) AS BIGINT) AS total_records,
          CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
-         CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_records
+         CAST(SUM(CASE WHEN is_valid THEN 0 ELSE 1 END) + COUNT(*) FILTER (has_falsy) AS BIGINT) AS invalid_records
   FROM val GROUP BY file
 ), inserted AS (
   SELECT file, COUNT(*) AS n FROM rfirst WHERE rn = 1 GROUP BY file
@@ -396,7 +442,7 @@ UNION ALL SELECT 'processing_jobs', COUNT(*) FROM orders""")
 ORACLE["review_filters"] = _tables(f"""SELECT {_RCOLS} FROM reviews_t
 WHERE platform = 'booking' AND rating BETWEEN 2 AND 8
   AND review_date BETWEEN TIMESTAMP '1994-01-01 00:00:00' AND TIMESTAMP '1996-12-31 00:00:00'
-  AND is_show_review_response = false""")
+  AND is_show_review_response""")
 ORACLE["hotel_filters"] = _tables(f"""SELECT {_HCOLS} FROM hotels_t
 WHERE platform = 'agoda' AND overall_score BETWEEN 1 AND 9 AND review_count BETWEEN 5 AND 40""")
 ORACLE["reviews_with_hotel"] = _tables("""SELECT r.hotel_review_id, r.hotel_id, r.rating, h.hotel_name, h.overall_score
@@ -404,6 +450,10 @@ FROM reviews_t r LEFT JOIN hotels_t h ON r.hotel_id = h.hotel_id""")
 ORACLE["reviews_with_job"] = _tables("""SELECT r.hotel_review_id, r.processing_job_id, l.filepath,
        l.total_records, l.reviews_inserted
 FROM reviews_t r LEFT JOIN run_ledger l ON r.processing_job_id = l.job_id""")
+ORACLE["reviews_with_reviewer"] = _tables("""
+SELECT hotel_review_id, hotel_id, reviewer_name AS displayMemberName, 'C' || (l_suppkey % 5) AS countryName,
+       l_suppkey % 5 AS countryId, CAST(l_linenumber AS BIGINT) AS reviewerReviewedCount, l_linenumber > 3 AS isExpertReviewer
+FROM reviews_t WHERE reviewer_name IS NOT NULL""")
 ORACLE["reviewers_dim"] = """
 WITH cnt AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey)
 SELECT c_custkey AS reviewer_id, c_name AS display_member_name, n_name AS country_name,
@@ -430,8 +480,10 @@ UNION ALL SELECT 2, 'missing.jl', 'failed', 0, 0, 0, 0, 0, 'File is not valid'""
 
 # Rejected lines of the feed files, and of the valid ones those that the tables cannot hold.
 ORACLE["run_rejects"] = ORACLE["rejects"].replace("SELECT file, line_no, errors FROM numbered", """, bad_rows AS (
-  SELECT n.file, n.line_no, concat_ws(', ', CASE WHEN r.l_orderkey % 73 <> 0 AND r.l_orderkey % 71 = 0 THEN 'review_date: invalid date' END,
-         CASE WHEN r.l_partkey % 101 = 0 THEN 'review_title: longer than 500' END) AS errors
+  SELECT n.file, n.line_no, concat_ws(', ', CASE WHEN bad_date THEN 'review_date: invalid date' END,
+         CASE WHEN bad_provider THEN 'provider_id: not an integer' END,
+         CASE WHEN bad_title THEN 'review_title: longer than 500' END,
+         CASE WHEN bad_target THEN 'translate_target: longer than 10' END) AS errors
   FROM rrows r JOIN numbered n ON n.sub = 0 AND n.l_orderkey = r.l_orderkey AND n.l_linenumber = r.l_linenumber
        AND n.l_partkey = r.l_partkey AND n.l_suppkey = r.l_suppkey AND n.l_shipdate = r.l_shipdate
   WHERE NOT r.storable)

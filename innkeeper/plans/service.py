@@ -212,7 +212,7 @@ def review_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = reads.filter_reviews(_reviews(spark, sf_dir), platform="booking",
                              rating=reads.Range(2, 8),
                              review_date=reads.Range("1994-01-01 00:00:00", "1996-12-31 00:00:00"),
-                             has_response=False)
+                             has_response=True)
     return _review_cols(r)
 
 
@@ -233,6 +233,15 @@ def reviews_with_hotel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.join(h, "hotel_id", "left")
 
 
+def reviews_with_reviewer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q19b: stored reviews joined to their reviewers (the record's reviewerInfo)."""
+    tables = loaded(spark, sf_dir)
+    r = tables.reviews().select("hotel_review_id", "hotel_id")
+    return r.join(tables.reviewers().select(
+        "hotel_review_id", "displayMemberName", "countryName", "countryId", "reviewerReviewedCount", "isExpertReviewer"),
+        "hotel_review_id")
+
+
 def reviews_with_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q16: reviews left-joined to the ledger row of the run that stored them."""
     r = _reviews(spark, sf_dir).select("hotel_review_id", "processing_job_id")

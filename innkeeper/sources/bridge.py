@@ -24,11 +24,18 @@ ABSENT_RATING_MOD = 79            # no rating key
 NULL_NAME_MOD = 10                # hotelName null when s_suppkey % 10 = 9
 ABSENT_DATE_MOD = 73              # no reviewDate key
 BAD_DATE_MOD = 71                 # reviewDate "not a date"
+CLOCK_ONLY_MOD = 113              # reviewDate "12:30", which is no date either
+STRING_ID_MOD = 9                 # hotelReviewId as text
+STRING_RATING_MOD = 67            # rating as text with letters after the number
+STRING_HOTEL_MOD = 12             # hotelId as text when l_orderkey % 12 = 5
+LONG_TARGET_MOD = 103             # translateTarget of 11 letters
+BAD_PROVIDER_MOD = 61             # providerId "abc" (where l_orderkey % 8 = 6)
+FALSY_MOD = 59                    # a line null, 0, "" or false (by l_orderkey % 4) after the record
 LONG_TITLE_MOD = 101              # reviewTitle of 501 'x' when l_partkey % 101 = 0
 NO_PROVIDER_MOD = 7               # overallByProviders [] when s_suppkey % 7 = 0
 NESTED_MOD = 2                    # nested under "comment" when l_orderkey % 2 = 0
 MALFORMED_MOD = 97                # last character dropped
-BLANK_MOD = 53                    # one blank line after the record
+BLANK_MOD = 53                    # one blank line after the record (no-break space and BOM for odd keys)
 REQUEST_PLATFORM = "agoda"        # platform of the ingest request for every bridge file
 SPLIT_DATE = "1998-06-01"         # two-load split for the merge queries (by l_shipdate)
 
@@ -73,7 +80,7 @@ def review_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     part (title) are encoded once per dimension row, before the join.
     """
     li = spread(_t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
     su = _t(spark, sf_dir, "supplier").select(
         "s_suppkey",
         F.when(F.col("s_suppkey") % NULL_NAME_MOD == 9, F.lit("null"))
@@ -99,6 +106,43 @@ def _platform(linenumber: Column) -> Column:
     return expr
 
 
+def _by(key: Column, *choices: Column) -> Column:
+    """choices[key % len(choices)], as text."""
+    out = choices[-1]
+    for k in range(len(choices) - 2, -1, -1):
+        out = F.when(key % len(choices) == k, choices[k]).otherwise(out)
+    return out
+
+
+def _other_fields() -> Column:
+    """The review's remaining fields as JSON members, each led by a comma; what is left out is undefined."""
+    ok, s = F.col("l_orderkey"), lambda c: F.col(c).cast("string")
+    text = lambda name, *parts: F.concat(F.lit(f',"{name}":"'), *parts, F.lit('"'))
+    raw = lambda name, *parts: F.concat(F.lit(f',"{name}":'), *parts)
+    provider = _by(ok, raw("providerId", (F.col("l_partkey") % 1000).cast("string")), text("providerId", F.lit(" 12 ")),
+                   raw("providerId", F.lit("null")), raw("providerId", F.lit("[5]")), F.lit(""), text("providerId", F.lit("")),
+                   F.when(ok % BAD_PROVIDER_MOD == 0, text("providerId", F.lit("abc"))).otherwise(raw("providerId", F.lit("77"))),
+                   raw("providerId", F.lit("true")))
+    shown = _by(ok, raw("isShowReviewResponse", F.lit("true")), text("isShowReviewResponse", F.lit("false")),
+                raw("isShowReviewResponse", F.lit("false")), raw("isShowReviewResponse", F.lit("0")), F.lit(""))
+    country = (F.col("l_suppkey") % 5).cast("string")
+    reviewer = (F.when(ok % 10 < 3, raw("reviewerInfo", F.lit('{"countryName":"C'), country, F.lit('","displayMemberName":"M'),
+                                        s("l_partkey"), F.lit('","countryId":'), country, F.lit(',"reviewerReviewedCount":'),
+                                        s("l_linenumber"), F.lit(',"isExpertReviewer":'), (F.col("l_linenumber") > 3).cast("string"), F.lit("}")))
+                .when(ok % 10 == 3, raw("reviewerInfo", F.lit("null"))).otherwise(F.lit("")))
+    return F.concat(
+        text("ratingText", F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")),
+        F.when(ok % 5 == 0, raw("reviewComments", F.lit("null"))).otherwise(text("reviewComments", F.lit("c"), s("l_partkey"))),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit("")).otherwise(text("reviewPositives", F.lit("p"), s("l_suppkey"))),
+        F.when(ok % 4 == 1, raw("reviewNegatives", s("l_suppkey"))).otherwise(text("reviewNegatives", F.lit("n"), s("l_linenumber"))),
+        text("checkInDateMonthAndYear", F.date_format("l_shipdate", "yyyy-MM")),
+        F.when(ok % 11 == 0, raw("responderName", F.lit("true"))).otherwise(text("responderName", F.lit("r"), s("l_suppkey"))),
+        text("responseDateText", F.lit("d"), s("l_linenumber")), text("translateSource", F.lit("en")),
+        text("translateTarget", F.when(ok % LONG_TARGET_MOD == 0, F.lit("x" * 11)).otherwise(F.lit("de"))),
+        text("encryptedReviewData", F.lit("e"), s("l_orderkey")), text("reviewProviderText", F.lit("P"), (F.col("l_partkey") % 5).cast("string")),
+        provider, shown, reviewer)
+
+
 def review_lines(spark: SparkSession, sf_dir: str, with_load: bool = False) -> DataFrame:
     """(file, ord, value) review lines; ``load`` (1/2) added when ``with_load``.
 
@@ -108,23 +152,30 @@ def review_lines(spark: SparkSession, sf_dir: str, with_load: bool = False) -> D
     src = review_source(spark, sf_dir)
     ok = F.col("l_orderkey")
     s = lambda c: c.cast("string")
-    rid = F.when(ok % ZERO_REVIEW_ID_MOD == 0, F.lit(0)).otherwise(ok * 8 + F.col("l_linenumber"))
+    rid = (F.when(ok % ZERO_REVIEW_ID_MOD == 0, F.lit("0"))
+           .when(ok % STRING_ID_MOD == 0, F.concat(F.lit('"'), s(ok * 8 + F.col("l_linenumber")), F.lit('"')))
+           .otherwise(s(ok * 8 + F.col("l_linenumber"))))
+    number = s((F.col("l_quantity") - 3) / 4.0)
+    hotel = F.when(ok % STRING_HOTEL_MOD == 5, F.concat(F.lit('"'), s(F.col("l_suppkey")), F.lit('"'))).otherwise(s(F.col("l_suppkey")))
     rating = (F.when(ok % ABSENT_RATING_MOD == 0, F.lit(""))
               .when(ok % NULL_RATING_MOD == 0, F.lit(',"rating":null'))
-              .otherwise(F.concat(F.lit(',"rating":'), s((F.col("l_quantity") - 3) / 4.0))))
-    iso = F.date_format(F.col("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+              .when(ok % STRING_RATING_MOD == 0, F.concat(F.lit(',"rating":"'), number, F.lit('abc"')))
+              .otherwise(F.concat(F.lit(',"rating":'), number)))
+    date = _by(ok, *[F.date_format(F.col("l_shipdate"), form) for form in (
+        "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "M/d/yyyy", "MMM d, yyyy", "d MMMM yyyy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy-MM-dd")])
     rdate = (F.when(ok % ABSENT_DATE_MOD == 0, F.lit(""))
              .when(ok % BAD_DATE_MOD == 0, F.lit(',"reviewDate":"not a date"'))
-             .otherwise(F.concat(F.lit(',"reviewDate":"'), iso, F.lit('"'))))
+             .when(ok % CLOCK_ONLY_MOD == 0, F.lit(',"reviewDate":"12:30"'))
+             .otherwise(F.concat(F.lit(',"reviewDate":"'), date, F.lit('"'))))
     providers = F.when(F.col("score_json").isNull(), F.lit("[]")).otherwise(F.concat(
         F.lit('[{"overallScore":'), F.col("score_json"),
         F.lit(',"reviewCount":'), s(F.col("l_partkey") % 50),
         F.lit(',"grades":{"clean":'), s(F.col("l_partkey") % 10), F.lit("}}]")))
-    head = F.concat(F.lit('{"hotelId":'), s(F.col("l_suppkey")),
+    head = F.concat(F.lit('{"hotelId":'), hotel,
                     F.lit(',"platform":"'), _platform(F.col("l_linenumber")),
                     F.lit('","hotelName":'), F.col("name_json"))
-    review = F.concat(F.lit('"hotelReviewId":'), s(rid), rating,
-                      F.lit(',"reviewTitle":'), F.col("title_json"), rdate)
+    review = F.concat(F.lit('"hotelReviewId":'), rid, rating,
+                      F.lit(',"reviewTitle":'), F.col("title_json"), rdate, _other_fields())
     tail = F.concat(F.lit(',"overallByProviders":'), providers, F.lit("}"))
     nested = F.concat(head, F.lit(',"comment":{'), review, F.lit("}"), tail)
     flat = F.concat(head, F.lit(","), review, tail)
@@ -137,16 +188,18 @@ def review_lines(spark: SparkSession, sf_dir: str, with_load: bool = False) -> D
     )
     df = df.withColumn("_line", F.when(F.col("l_orderkey") % MALFORMED_MOD == 0,
                                        F.expr("substr(_line, 1, length(_line) - 1)")).otherwise(F.col("_line")))
-    # A blank line follows the record when l_orderkey % 53 = 0 (sub = 1).
-    df = df.withColumn("_sub", F.explode(F.when(F.col("l_orderkey") % BLANK_MOD == 0, F.array(F.lit(0), F.lit(1)))
-                                         .otherwise(F.array(F.lit(0)))))
+    # A blank line (sub = 1) and a falsy one (sub = 2) follow some records.
+    df = df.withColumn("_sub", F.explode(F.array_compact(F.array(
+        F.lit(0), F.when(F.col("l_orderkey") % BLANK_MOD == 0, F.lit(1)), F.when(F.col("l_orderkey") % FALSY_MOD == 0, F.lit(2))))))
+    blank = F.when(F.col("l_orderkey") % 2 == 1, F.lit("\u00a0\ufeff")).otherwise(F.lit(""))
+    falsy = _by(F.col("l_orderkey"), *[F.lit(x) for x in ("null", "0", '""', "false")])
     load = F.when(F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz"), F.lit(1)).otherwise(F.lit(2))
     ord_fields = [F.col("file_rank"), F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber"),
                   F.col("l_partkey"), F.col("l_suppkey"), F.col("_sub")]
     if with_load:
         ord_fields = [load.alias("load")] + ord_fields
     out = [F.col("file"), F.struct(*ord_fields).alias("ord"),
-           F.when(F.col("_sub") == 0, F.col("_line")).otherwise(F.lit("")).alias("value")]
+           F.when(F.col("_sub") == 0, F.col("_line")).when(F.col("_sub") == 1, blank).otherwise(falsy).alias("value")]
     if with_load:
         out.append(load.alias("load"))
     return df.select(*out)
