@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -65,25 +63,29 @@ def appended(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*batch.schema.names, *more])
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from the driver's folder, where they share it; a cluster
-    whose machines do not gets the package as usual (an installed wheel, --py-files)."""
+# Rows that a Python worker is handed at a time: whole texts may be long.
+BATCH_ROWS = 2000
+# Freed memory goes back to the system instead of staying with idle workers.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+                 "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20)}
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Sets the session up for operators with Python workers.
+
+    They import this package from the driver's folder, where they share it (a cluster whose
+    machines do not gets the package as usual: an installed wheel, --py-files), keep little
+    freed memory, and get batches of at most ``BATCH_ROWS`` rows.
+    """
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
-
-
-@contextmanager
-def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Actions in the block hand Python workers at most n rows at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, n)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    for name, value in WORKER_MEMORY.items():
+        known.setdefault(name, value)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from .common import U64, WORD_HASHES, appended, importable, mixed, text_bytes
+from .common import U64, WORD_HASHES, appended, python_ready, mixed, text_bytes
 from .components import absorb, stored
 
 SHINGLE = 5
@@ -120,7 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    importable(docs.sparkSession)
+    python_ready(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
     return narrow.mapInArrow(_sign, f"id {kind}, n_shingles long, set_id string, halves array<long>, sketch binary")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import appended, importable, text_bytes
+from .common import appended, python_ready, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -83,7 +83,7 @@ def mask_of(policy: str) -> int:
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, the measurements, and ``failed``: one bit for each rule."""
-    importable(docs.sparkSession)
+    python_ready(docs.sparkSession)
     narrow = docs.select(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WORD_HASHES, importable, shuffle_partitions, text_bytes, text_size
+from .common import U64, WORD_HASHES, python_ready, shuffle_partitions, text_bytes, text_size
 
 SIZE = 35
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -154,7 +154,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text:
     """key, n_words, n_removed, removed_starts and removed_ends (word indices of the maximal
     removal intervals, end exclusive), kept_sha256, and kept_text if asked for."""
     spark = docs.sparkSession
-    importable(spark)
+    python_ready(spark)
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     total, least = text_size(narrow), shuffle_partitions(spark)
     blocks = max(least, math.ceil(total / BLOCK_BYTES))

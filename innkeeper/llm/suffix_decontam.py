@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, importable, text_bytes
+from .common import appended, python_ready, text_bytes
 
 WINDOW = 13
 BLOCK_CHARS = 16 << 20
@@ -219,7 +219,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
     """The rows of docs with ``_n_words``, ``_n_hit``, ``_items`` (ids of items with occurring
     windows) and ``_longest`` (words of the longest verbatim match that holds a window)."""
     spark = docs.sparkSession
-    importable(spark)
+    python_ready(spark)
     out, schema = docs, T.StructType([
         *docs.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_hits", T.BinaryType()),
         T.StructField("_items", T.ArrayType(T.StringType())), T.StructField("_longest", T.LongType())])

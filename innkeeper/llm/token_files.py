@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, importable, shuffle_partitions, text_bytes
+from .common import python_ready, shuffle_partitions, text_bytes
 
 END_ID = 2
 FILE_FORMAT = {
@@ -162,14 +162,13 @@ def _encode(file: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, key: str = "doc_id",
                  text: str = "text") -> None:
     """Encodes docs into Parquet files under ``path``."""
-    importable(docs.sparkSession)
+    python_ready(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     ordered = narrow.repartitionByRange(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
     tokens = ordered.mapInArrow(_encode(tokenizer, end_id),
                                 f"key {kind}, n_tokens long, ids array<int>, part int, before long")
-    with arrow_rows(docs.sparkSession, BATCH_ROWS):
-        tokens.write.options(**FILE_FORMAT).mode("errorifexists").parquet(path)
+    tokens.write.options(**FILE_FORMAT).mode("errorifexists").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True) -> DataFrame:
@@ -194,7 +193,7 @@ def read_tokens(spark: SparkSession, path: str, condition=None, ids: bool = True
 
 def checksums(tokens: DataFrame) -> DataFrame:
     """ids replaced by ids_crc32: unsigned CRC-32 of the ids as little-endian 32-bit integers."""
-    importable(tokens.sparkSession)
+    python_ready(tokens.sparkSession)
     kept = [c for c in tokens.columns if c != "ids"]
     at = tokens.columns.index("ids")
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, importable, text_bytes
+from .common import appended, python_ready, text_bytes
 
 STEPS, STRIDE = 32, 24  # words of a window, and from one window to the next
 WORDS, LEAST_Z, LEAST_DOCS = 512, 3.0, 3  # words with an embedding of their own
@@ -387,7 +387,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
 
 def score_documents(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
     """docs with ``_score`` (0 to 1)."""
-    importable(docs.sparkSession)
+    python_ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
     return docs.mapInArrow(_score(sent, docs.columns.index(text)), schema)
