@@ -95,3 +95,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def text_size(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one aggregate over one column, to size blocks and buckets by."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
+
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n - 1) modulo 2^64; the longest asked for is kept."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        factors = np.full(max(n, 1), base, U64)
+        factors[0] = 1
+        have = _powers[base] = np.cumprod(factors, dtype=U64)
+    return have[:n]

@@ -9,8 +9,8 @@ document, different values different ones, and the holder of the key can invert
   iban   country code, check digits, account; valid modulo 97: the account's digits are
          permuted, the check digits are made anew
   ssn    ddd-dd-dddd in the issued ranges, permuted within them
-  phone  an international number (+ and country code) or (ddd) ddd-dddd: the digits after
-         the country code are permuted
+  phone  an international number (+ and country code), (ddd) ddd-dddd or ddd-ddd-dddd: the digits
+         after the country code are permuted
   ip     four octets of 0-255, permuted as 32 bits
   date   yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy, a real day of 1800-2199: the day is permuted
          within these 400 years (146,097 days = 189 x 773, so no value needs a second try)
@@ -40,7 +40,8 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-             r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+             r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+             r"|(?<![0-9A-Za-z.-])[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}(?![0-9]|[.-][0-9])",
     "date": r"(?<![0-9.])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])"
             r"|(?<!/)[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WORD_HASHES, python_ready, shuffle_partitions, text_bytes, text_size
+from .common import U64, WORD_HASHES, powers, python_ready, shuffle_partitions, text_bytes, text_size
 
 SIZE = 35
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -41,18 +41,6 @@ BLOCK_BYTES = 2 << 20  # text of a block
 BUCKET_BYTES = 16 << 20  # hashes of a bucket
 HASH_BYTES_A_TEXT_BYTE = 2  # 8 bytes a window; words are 4 bytes with their space, or longer
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        factors = np.full(n, base, U64)
-        factors[0] = 1
-        have = _powers[base] = np.cumprod(factors, dtype=U64)
-    return have[:n]
-
-
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """sum(words[i + k] * BASE^(size - 1 - k)) mod 2^64 for every window start i, rolled by prefix sums."""
     n = len(words) - size + 1

@@ -207,7 +207,7 @@ def test_pseudonyms(spark):
     texts = ["card 4111111111111111, 4111 1111 1111 1111 and 4111111111111112; 5 4111111111111111",
              "on 2024-02-29, 31.12.1999, 13/13/2000 and 2024-02-29", "ssn 123-45-6789 000-12-3456 666-11-1111",
              "DE89370400440532013000 DE89370400440532013001", "+1 (487) 555-7209 rest", "10.0.0.1 300.1.1.1 10.0.0.1.5",
-             "Bob.X@Ex.com bob.x@ex.com", None, "", "no values at all", "é 4111111111111111 é"]
+             "Bob.X@Ex.com bob.x@ex.com", None, "", "no values at all", "é 4111111111111111 é", "212-555-0147 1-212-555-0147"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     out = {r["doc_id"]: r for r in pii_feistel.pseudonymize(df, "k").collect()}
     cards = re.findall(r"[0-9 ]{16,19}", out[0]["text"].replace("card ", ""))
@@ -223,6 +223,7 @@ def test_pseudonyms(spark):
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} rest", out[4]["text"]) and "487" not in out[4]["text"]
     assert "300.1.1.1 10.0.0.1.5" in out[5]["text"] and not out[5]["text"].startswith("10.0.0.1 ")
     assert [f["value"].split("@")[0] for f in out[6]["found"]] == [out[6]["found"][0]["value"].split("@")[0]] * 2
+    assert len(out[11]["found"]) == 1 and out[11]["text"].endswith(" 1-212-555-0147") and not out[11]["text"].startswith("212")
     assert out[7]["text"] is None and out[8]["text"] == "" and out[9]["text"] == texts[9]
 
 
