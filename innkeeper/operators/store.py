@@ -201,13 +201,16 @@ def _storable(df: DataFrame) -> DataFrame:
 
 
 def first_reviews(rows: DataFrame) -> DataFrame:
-    """Insert-ignore of one load: per hotel_review_id the first storable row (by ord)."""
-    payload = [c for c in REVIEW_COLUMNS if c != "hotel_review_id"]
-    agg = (_storable(rows)
-           .groupBy("hotel_review_id")
-           .agg(F.min(F.struct(F.col("ord"), *[F.col(c) for c in payload])).alias("_first")))
-    return agg.select("hotel_review_id", *[F.col("_first")[c].alias(c) for c in payload],
-                      F.col("_first")["ord"].alias("ord"))
+    """Insert-ignore of one load: per hotel_review_id the first storable row (by ord).
+
+    The winners are found on (key, ord) alone, combined before the shuffle, and their
+    other columns fetched by these two: no text is sorted or carried through an
+    aggregation. ``rows`` is read twice, so pass stored rows (session.staged).
+    """
+    ok = _storable(rows)
+    first = ok.groupBy("hotel_review_id").agg(F.min("ord").alias("_ord")).withColumnRenamed("hotel_review_id", "_key")
+    return ok.join(first, (F.col("hotel_review_id") == F.col("_key")) & (F.col("ord") == F.col("_ord")), "left_semi").select(
+        *REVIEW_COLUMNS, "ord")
 
 
 def fold_hotels(rows: DataFrame) -> DataFrame:

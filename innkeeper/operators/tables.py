@@ -179,7 +179,7 @@ class TableStore:
             F.col("hotel_errors").alias("storage_errors"))
         store.merge_hotels(self.hotels(), store.fold_hotels(hotel_rows), run_ts).write.parquet(f"{out}/hotels")
 
-        # The first storable row of a key wins: found on (key, ord) alone, its other columns fetched by them.
+        # The first storable row of a key wins (as in store.first_reviews), if the key is not stored yet.
         review_rows = valid.filter(F.col("_review_row") & (F.size("storage_errors") == 0))
         first = review_rows.groupBy("hotel_review_id").agg(F.min("ord").alias("ord"))
         new_keys = first.join(self.reviews().select("hotel_review_id"), "hotel_review_id", "left_anti")
