@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import os
 from pathlib import Path
 
@@ -27,7 +29,7 @@ def ascii_lower(c: Column) -> Column:
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``most`` words (then forgotten all at once)."""
 
-    def __init__(self, most: int = 150_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 
@@ -67,7 +69,7 @@ def appended(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch
 BATCH_ROWS = 2000
 # Freed memory goes back to the system instead of staying with idle workers.
 WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
-                 "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20)}
+                 "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
 
 
 def python_ready(spark: SparkSession) -> None:
@@ -88,6 +90,20 @@ def python_ready(spark: SparkSession) -> None:
         spark.conf.set(rows, BATCH_ROWS)
 
 
+def trimmed(fn):
+    """fn for the groups of applyInArrow; what it freed goes back to the system, so a worker that waits holds little."""
+
+    def run(*tables):
+        out = fn(*tables)
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+        return out
+
+    run.__signature__ = inspect.signature(fn)  # Spark looks at the number of parameters and their types
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

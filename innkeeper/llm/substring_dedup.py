@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WORD_HASHES, powers, python_ready, shuffle_partitions, text_bytes, text_size
+from .common import U64, WORD_HASHES, powers, python_ready, shuffle_partitions, text_bytes, text_size, trimmed
 
 SIZE = 35
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK_BYTES = 2 << 20  # text of a block
+BLOCK_BYTES = 1 << 20  # text of a block
 BUCKET_BYTES = 16 << 20  # hashes of a bucket
 HASH_BYTES_A_TEXT_BYTE = 2  # 8 bytes a window; words are 4 bytes with their space, or longer
 
@@ -77,11 +77,12 @@ def _hash_block(buckets: int, size: int):
         cuts = block.cuts(buckets)
         some = np.flatnonzero(np.diff(cuts))
         packed = memoryview(block.hash.astype("<u8").tobytes())
-        return pa.table({"block": pa.array(np.full(len(some), docs.column("block")[0].as_py()), pa.int64()),
-                         "bucket": pa.array(some, pa.int64()),
-                         "hashes": pa.array([packed[8 * cuts[k]:8 * cuts[k + 1]] for k in some], pa.binary())})
+        return pa.table({
+            "block": pa.array(np.full(len(some), docs.column("block")[0].as_py()), pa.int64()),
+            "bucket": pa.array(some, pa.int64()),
+            "hashes": pa.array([packed[8 * cuts[k]:8 * cuts[k + 1]] for k in some], pa.binary())})
 
-    return run
+    return trimmed(run)
 
 
 def _answer(bucket: pa.Table) -> pa.Table:
@@ -96,9 +97,10 @@ def _answer(bucket: pa.Table) -> pa.Table:
     shared[order[:-1][same]] = True
     parts = np.split(shared, ends[:-1])
     some = [k for k, p in enumerate(parts) if p.any()]
-    return pa.table({"block": bucket.column("block").take(pa.array(some, pa.int64())),
-                     "bucket": bucket.column("bucket").take(pa.array(some, pa.int64())),
-                     "bits": pa.array([np.packbits(parts[k]).tobytes() for k in some], pa.binary())})
+    return pa.table({
+        "block": bucket.column("block").take(pa.array(some, pa.int64())),
+        "bucket": bucket.column("bucket").take(pa.array(some, pa.int64())),
+        "bits": pa.array([np.packbits(parts[k]).tobytes() for k in some], pa.binary())})
 
 
 def _cut(buckets: int, size: int, with_text: bool):
@@ -134,7 +136,7 @@ def _cut(buckets: int, size: int, with_text: bool):
             columns["kept_text"] = pa.array(out["kept"], pa.binary()).cast(pa.string())
         return pa.table(columns)
 
-    return run
+    return trimmed(run)
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text",
@@ -151,7 +153,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text:
     dealt = narrow.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "text")
     hashed = dealt.groupBy("block").applyInArrow(
         _hash_block(buckets, size), "block long, bucket long, hashes binary")
-    answers = hashed.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, bits binary")
+    answers = hashed.groupBy("bucket").applyInArrow(trimmed(_answer), "block long, bucket long, bits binary")
     schema = (f"key {kind}, n_words long, n_removed long, removed_starts array<long>, removed_ends array<long>, "
               "kept_sha256 string") + (", kept_text string" if with_text else "")
     # The same deal of the texts feeds both sides, so Spark shuffles them once.
