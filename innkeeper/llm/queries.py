@@ -10,7 +10,7 @@ import public_tokenizers
 from innkeeper.session import scratch_path
 
 from . import (curriculum, minhash_dedup, pii_feistel, quality_rules, secret_entropy, substring_dedup,
-               suffix_decontam, token_files, toxicity, url_rules)
+               suffix_decontam, suffix_dedup, token_files, toxicity, url_rules)
 from .common import table
 from .components import stored
 
@@ -264,6 +264,28 @@ FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid) LEFT JOIN lon USING (
 """
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed_starts").cast("long").alias("n_spans"), "kept_sha256")
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+v AS (SELECT rid, i, substr(h, 2 * i + 1, 2) AS byte,
+             CASE WHEN 2 * (i + 200) <= length(h) THEN md5(substr(h, 2 * i + 1, 400)) END AS win FROM w),
+r AS (SELECT rid, i, byte, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS twice FROM v),
+c AS (SELECT rid, i, byte, max(twice::INT) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+      FROM r),
+e AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY i), 0) = 0 AS begins FROM c),
+g AS (SELECT rid, count(*) AS n_bytes, sum(gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+             string_agg(byte, '' ORDER BY i) FILTER (gone = 0) AS kept FROM e GROUP BY rid)
+SELECT doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -275,6 +297,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_decontam": op10_suffix_decontam,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLE_SQL = {
@@ -285,4 +308,5 @@ ORACLE_SQL = {
     "op8_url_rules": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_suffix_decontam": OP10_SQL,
+    "op11_suffix_dedup": OP11_SQL,
 }
