@@ -9,7 +9,7 @@ import public_tokenizers
 
 from innkeeper.session import scratch_path
 
-from . import (curriculum, minhash_dedup, pii_feistel, quality_rules, secret_entropy, substring_dedup,
+from . import (curriculum, hard_negatives, minhash_dedup, pii_feistel, quality_rules, secret_entropy, source_audit, substring_dedup,
                suffix_decontam, suffix_dedup, token_files, toxicity, url_rules)
 from .common import table
 from .components import stored
@@ -286,6 +286,60 @@ FROM d LEFT JOIN g USING (rid)
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.quantized(table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, rows.where(F.col("id") % 100 == 0))
+
+
+OP12_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label AS label,
+             list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+      FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE own = label QUALIFY k <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.own <> s.label
+       AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+           FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.total, 0) + 2 * v.v) AS p,
+             1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (v.lang_total + 2 * v.v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+      LEFT JOIN s ON s.lang = g.lang AND s.source = g.source),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -298,6 +352,8 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_decontam": op10_suffix_decontam,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_audit": op13_source_audit,
 }
 
 ORACLE_SQL = {
@@ -309,4 +365,6 @@ ORACLE_SQL = {
     "op9_substring_dedup": OP9_SQL,
     "op10_suffix_decontam": OP10_SQL,
     "op11_suffix_dedup": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_source_audit": OP13_SQL,
 }
