@@ -12,7 +12,7 @@ not by document:
      108), whose hash is the cell's key. Its string is the text that its windows cover, at most 292 bytes.
   2. Blocks of documents send (key, hash of the string) of their cells, each once, to buckets of the
      keys. A key that occurs once in the corpus ends there: its windows cannot be repeated. Equal strings
-     of a key are one string with a count, and go on once.
+     of a key are one string with a count; it goes on once, if its key has other strings, too.
   3. The strings go to shards by key, all strings of a key to one, and each shard is sorted as one text. A
      string with a count, or a window in a neighbourhood of 200 shared bytes, is repeated.
   4. The bits of the windows go back to the documents that wait for them.
@@ -167,7 +167,9 @@ def _judge(bucket: pa.Table) -> pa.Table:
     times = np.bincount(group, 1 + many[order])
     total = np.bincount(of_key, 1 + many[order])[of_key]
     strings = np.bincount(of_key, new)[of_key]
-    says = np.where(total == 1, 0, np.where(strings > HOT, CUT, np.where(times[group] == 1, SINGLE, np.where(new, FIRST, REPEATED))))
+    # The only string of its key has no other to be compared to.
+    counted = np.where(new & (strings > 1), FIRST, REPEATED)
+    says = np.where(total == 1, 0, np.where(strings > HOT, CUT, np.where(times[group] == 1, SINGLE, counted)))
     out = np.empty(len(order), np.uint8)
     out[order] = says
     parts = np.split(out, np.cumsum([b.shape[1] for b in blobs])[:-1])
@@ -179,12 +181,16 @@ def _judge(bucket: pa.Table) -> pa.Table:
 
 def cut(text: bytes, windows: np.ndarray, size: int) -> dict:
     """The text without what the windows that start at ``windows`` cover."""
-    change = np.zeros(len(text) + 1, np.int32)
-    np.add.at(change, windows, 1)
-    np.subtract.at(change, windows + size, 1)
-    keep = np.cumsum(change[:-1]) == 0
+    if not len(windows):
+        return {"n_bytes": len(text), "n_removed": 0, "removed_starts": [], "removed_ends": [],
+                "kept_sha256": hashlib.sha256(text).hexdigest(), "kept": text}
+    begun = np.zeros(len(text), np.int32)
+    begun[windows] = 1
+    begun = np.cumsum(begun, dtype=np.int32)
+    keep = begun == 0
+    keep[size:] = begun[size:] == begun[:-size]  # no window starts in the last ``size`` places
     edges = np.flatnonzero(np.diff(keep.astype(np.int8), prepend=1, append=1))
-    kept = np.frombuffer(text, np.uint8)[keep].tobytes() if len(edges) else text
+    kept = np.frombuffer(text, np.uint8)[keep].tobytes()
     return {"n_bytes": len(text), "n_removed": len(text) - len(kept), "removed_starts": edges[0::2].tolist(),
             "removed_ends": edges[1::2].tolist(), "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
 
@@ -214,43 +220,49 @@ def _spread(buckets: int, size: int, with_text: bool):
         says = np.zeros(len(block.key), np.uint8)
         for k, blob in zip(answers.column("bucket").to_pylist(), answers.column("says").to_pylist()):
             says[cuts[k]:cuts[k + 1]] = np.frombuffer(blob, np.uint8)
-        rows = []
-        raw = lambda c, extra=0: block.texts[block.text[c]][block.first[c] + extra:block.first[c] + extra + block.count[c] + size - 1]
+        columns = lambda kind, size, **given: pa.table([
+            pa.array([kind] * size, f.type) if f.name == "kind" else pa.array(np.full(size, number), f.type) if f.name == "block" else
+            pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema], schema=schema)
+        ids = lambda cells: [block.ids[k] for k in block.text[cells].tolist()]
+        where = lambda cells: zip(block.text[cells].tolist(), block.first[cells].tolist(), block.count[cells].tolist())
         of_cell = says[block.which]
-        for g in np.flatnonzero((says == SINGLE) | (says == FIRST)):
-            c = block.example[g]
-            rows.append({"kind": "string", "block": number, "id": block.ids[block.text[c]], "first": block.first[c], "n": block.count[c],
-                         "part": int(block.key[g].view(np.int64)), "string": raw(c), "counted": bool(says[g] == FIRST)})
-        for c in np.flatnonzero(of_cell == CUT):
-            t, a = block.texts[block.text[c]], int(block.first[c])
-            rows.append({"kind": "single", "block": number, "id": block.ids[block.text[c]], "first": a, "n": block.count[c],
-                         "counted": bool(block.copies[block.text[c]] > 1),
-                         "string": b"".join(xxh3_128_digest(t[a + k:a + k + size]) for k in range(block.count[c]))})
+        sent = np.flatnonzero((says == SINGLE) | (says == FIRST))
+        c = block.example[sent]
+        out = [columns("string", len(c), id=ids(c), first=block.first[c], n=block.count[c], part=block.key[sent].view(np.int64),
+                       string=[block.texts[k][a:a + n + size - 1] for k, a, n in where(c)], counted=says[sent] == FIRST)]
+        c = np.flatnonzero(of_cell == CUT)
+        out.append(columns("single", len(c), id=ids(c), first=block.first[c], n=block.count[c], counted=block.copies[block.text[c]] > 1,
+                           string=[b"".join(xxh3_128_digest(block.texts[k][a + i:a + i + size]) for i in range(n)) for k, a, n in where(c)]))
         by_text = np.argsort(block.text, kind="stable")
-        bounds = np.searchsorted(block.text[by_text], np.arange(len(block.texts) + 1))
-        done, known = {}, {}
+        bounds = np.searchsorted(block.text[by_text], np.arange(len(block.texts) + 1)).tolist()
+        done, known = {}, []
         for k, t in enumerate(block.texts):
             mine = by_text[bounds[k]:bounds[k + 1]]
-            repeated = mine[(of_cell[mine] == REPEATED) | (of_cell[mine] == FIRST)]
-            starts = (np.concatenate([np.arange(block.first[c], block.first[c] + block.count[c]) for c in repeated])
-                      if len(repeated) else np.zeros(0, np.int64))
+            said = of_cell[mine]
+            repeated = mine[(said == REPEATED) | (said == FIRST)]
+            n_windows = max(0, len(t) - size + 1)
             if block.copies[k] > 1:
-                starts = np.arange(max(0, len(t) - size + 1))
-            if np.isin(of_cell[mine], (SINGLE, CUT)).any() and len(starts) < len(t) - size + 1:
-                bits = np.zeros(len(t) - size + 1, bool)
-                bits[starts] = True
-                known[t] = {"kind": "windows", "block": number, "id": block.ids[k], "first": 0, "n": len(bits),
-                            "bits": np.packbits(bits).tobytes()}
+                starts = np.arange(n_windows)
             else:
-                done[t] = {"kind": "done"} | cut(t, starts, size)
-        rows += known.values()
-        keys = [None] * len(rows)
-        for t, row_key in zip(texts, docs.column("key").to_pylist()):
-            rows.append(done[t] if t in done else {"kind": "waits", "block": number, "id": xxh3_128_digest(t), "text": t})
-            keys.append(row_key)
-        columns = {f.name: pa.array([r.get(f.name) for r in rows] if f.name != "kept" or with_text else [None] * len(rows), f.type)
-                   for f in schema if f.name != "key"}
-        return pa.table(columns | {"key": pa.array(keys, schema.field("key").type)}, schema=schema)
+                counts = block.count[repeated]
+                starts = np.repeat(block.first[repeated] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            if len(starts) < n_windows and ((said == SINGLE) | (said == CUT)).any():
+                if len(starts):
+                    bits = np.zeros(n_windows, bool)
+                    bits[starts] = True
+                    known.append((block.ids[k], n_windows, np.packbits(bits).tobytes()))
+            else:
+                done[t] = cut(t, starts, size)
+        out.append(columns("windows", len(known), id=[i for i, _, _ in known], first=[0] * len(known), n=[n for _, n, _ in known],
+                           bits=[x for _, _, x in known]))
+        ready = np.array([t in done for t in texts])
+        keys = docs.column("key").combine_chunks()
+        results = [done[t] for t in texts if t in done]
+        names = [*RESULT, "kept"] if with_text else RESULT
+        out.append(columns("done", len(results), key=keys.filter(pa.array(ready)), **{c: [r[c] for r in results] for c in names}))
+        waiting = [t for t in texts if t not in done]
+        out.append(columns("waits", len(waiting), key=keys.filter(pa.array(~ready)), text=waiting, id=[xxh3_128_digest(t) for t in waiting]))
+        return pa.concat_tables(out)
 
     return trimmed(run)
 
