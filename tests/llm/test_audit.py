@@ -47,16 +47,18 @@ def audit_rows(df):
     return sorted((r["lang"], r["source"], r["part"], r["item"], r["value"], r["rank"]) for r in df.collect())
 
 
-def test_multikey_sort_is_sorting():
+@pytest.mark.parametrize("small", [4, 1 << 16])
+def test_multikey_sort_is_sorting(monkeypatch, small):
+    monkeypatch.setattr(source_audit, "SMALL", small)
     rng = random.Random(2)
     for many, kinds, longest in [(0, 1, 1), (1, 1, 1), (300, 40, 30), (9000, 300, 9), (9000, 3000, 25), (6000, 1, 70)]:
         vocabulary = [bytes(rng.choice(b"ab\xc3\xa9z") for _ in range(rng.randrange(1, longest + 1))) for _ in range(kinds)]
         words = [rng.choice(vocabulary) for _ in range(many)]
-        text = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+        text = np.frombuffer(b"".join(words) + b"\0" * 8, np.uint8)
         length = np.array([len(w) for w in words], np.int64)
         start = np.cumsum(length) - length
         order, heads = source_audit.multikey_sort(text, start, length)
-        assert order.tolist() == sorted(range(many), key=lambda k: (words[k], k))
+        assert [words[k] for k in order] == sorted(words) and sorted(order.tolist()) == list(range(many))
         assert heads.tolist() == [k for k in range(many) if k == 0 or words[order[k]] != words[order[k - 1]]]
 
 
