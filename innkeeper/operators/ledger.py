@@ -42,13 +42,18 @@ def with_job_ids(requests: DataFrame) -> DataFrame:
     return requests.withColumn("job_id", job_id(F.col("filepath"), F.col("platform")))
 
 
-def gate(requests: DataFrame, ledger: DataFrame) -> DataFrame:
+def gate(requests: DataFrame, ledger: DataFrame, now: Column | None = None) -> DataFrame:
     """Decision per request against the stored job of the same id.
 
     no job -> create (then run); completed -> already_processed (stored counts);
     processing -> failed "File is currently being processed"; failed/pending -> run again.
+    With ``now``, a job in processing whose lease (``lease_until``) is over was left by a
+    run that died: it runs again.
     """
-    led = ledger.select(F.col("job_id").alias("_jid"), F.col("status").alias("stored_status"),
+    status = F.col("status")
+    if now is not None:
+        status = F.when((status == "processing") & (F.col("lease_until") < now), F.lit("pending")).otherwise(status)
+    led = ledger.select(F.col("job_id").alias("_jid"), status.alias("stored_status"),
                         *[F.col(c).alias("stored_" + c) for c in COUNTS])
     j = with_job_ids(requests).join(led, F.col("job_id") == F.col("_jid"), "left")
     st = F.col("stored_status")

@@ -263,3 +263,29 @@ def merge_reviews(existing: DataFrame, first: DataFrame, run_ts: Column) -> Data
 def new_reviews(existing_keys: DataFrame, first: DataFrame) -> DataFrame:
     """Rows of ``first`` whose key is not stored yet (the rows an append writes)."""
     return first.join(existing_keys.select("hotel_review_id"), "hotel_review_id", "left_anti")
+
+
+def key_ranges(rows: DataFrame, key: str, most: int) -> list[tuple[int, int]]:
+    """At most ``most`` ranges [low, high] that hold every key of ``rows`` and few others: the least and largest
+    key of each of ``most`` equally wide parts of the whole range. Two aggregates of one column."""
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return []
+    width = (high - low) // most + 1
+    parts = rows.groupBy(F.floor((F.col(key).cast("bigint") - low) / width).alias("part")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high")).orderBy("part").collect()
+    out = []
+    for p in parts:
+        if out and p["low"] <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], p["high"])
+        else:
+            out.append((p["low"], p["high"]))
+    return out
+
+
+def within(ranges: list[tuple[int, int]], key: str) -> Column:
+    """The key lies in one of the ranges: pushed to the scan, where row groups and pages beside them are skipped."""
+    cond = F.lit(False)
+    for low, high in ranges:
+        cond = cond | F.col(key).between(low, high)
+    return cond

@@ -9,7 +9,6 @@ sorting the data.
 
 from __future__ import annotations
 
-import fnmatch
 import itertools
 import os
 import re
@@ -128,18 +127,17 @@ def request_listing(spark: SparkSession, requests: DataFrame, glob: str | None =
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def files_below(spark: SparkSession, folder: str, glob: str | None = None, recursive: bool = False) -> list[str]:
-    """Qualified URIs of the files of a folder whose names match ``glob`` (all by default), in order."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(qualified(spark, folder))
-    it = root.getFileSystem(conf).listFiles(root, recursive)
-    found = []
-    while it.hasNext():
-        p = it.next().getPath()
-        name = p.getName()
-        if not name.startswith(("_", ".")) and fnmatch.fnmatchcase(name, glob or "*"):
-            found.append(re.sub("^file:/+", "file:/", p.toString()))
-    return sorted(found)
+def files_below(spark: SparkSession, folder: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """(uri) of the files of a folder whose names match ``glob`` (all by default), empty ones too.
+
+    Spark's own file index lists them (in parallel for many folders) and applies the
+    pattern; names that begin with "_" or "." are hidden, as for every Spark source.
+    """
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    listed = r.load(_roots(spark, [folder])).inputFiles()
+    return spark.createDataFrame([(f,) for f in listed], "path string").select(uri_of(F.col("path")).alias("uri"))
 
 
 def logical_file(physical: Column) -> Column:
