@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest, service, streams
+from . import ingest, recovery, service, streams
 from .oracle import ORACLE
 
 QUERIES = {
@@ -49,6 +49,14 @@ QUERIES = {
     "stream_ingest": streams.stream_ingest,
     "stream_resume": streams.stream_resume,
     "file_runs": streams.file_runs,
+    "crash_recovery": recovery.crash_recovery,
+    "stream_recovery": recovery.stream_recovery,
+    "stream_progress": recovery.stream_progress,
+    "mixed_providers": recovery.mixed_providers,
+    "folder_run": recovery.folder_run,
+    "hotel_grades": recovery.hotel_grades,
+    "hotel_writes": recovery.hotel_writes,
+    "review_writes": recovery.review_writes,
 }
 
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}

@@ -263,6 +263,9 @@ BAD_EXT_MOD = 17        # filepath ends with ".json" instead of ".jl"
 BAD_PLATFORM_MOD = 19   # request platform outside the enum
 MISSING_FILE_MOD = 11   # no such file in the listing
 SIZE_MOD = 13           # listed size = (o_orderkey % 13) * 100 bytes (0 = empty object)
+BLANK_PROVIDER_MOD = 23  # no provider given
+OTHER_PROVIDER_MOD = 29  # a provider that nobody knows
+BLANK_PLATFORM_MOD = 31  # a platform of spaces
 
 
 def admission_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,12 +276,14 @@ def admission_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     platform = F.lit(None).cast("string")
     for code, name in JOB_PLATFORMS.items():
         platform = F.when(prio == code, F.lit(name)).otherwise(platform)
-    platform = F.when(k % BAD_PLATFORM_MOD == 0, F.lit("unknown")).otherwise(platform)
+    platform = F.when(k % BAD_PLATFORM_MOD == 0, F.lit("unknown")).when(k % BLANK_PLATFORM_MOD == 0, F.lit("  ")).otherwise(platform)
+    provider = (F.when(k % BLANK_PROVIDER_MOD == 0, F.lit("")).when(k % OTHER_PROVIDER_MOD == 0, F.lit("gcs"))
+                .when(k % 3 == 0, F.lit("s3")).otherwise(F.lit("local")))
     ext = F.when(k % BAD_EXT_MOD == 0, F.lit(".json")).otherwise(F.lit(".jl"))
     return o.select(
         F.concat(F.lit("orders/"), k.cast("string"), ext).alias("filepath"),
         platform.alias("platform"),
-        F.when(k % 3 == 0, F.lit("s3")).otherwise(F.lit("local")).alias("storage_provider"),
+        provider.alias("storage_provider"),
     )
 
 
