@@ -20,12 +20,14 @@ Finding links without comparing all pairs of a bucket:
      the classes that are left, shingles that no other of them has are counted. A class whose
      common shingles (with any other) are too few for a link is done, exactly.
   4. In the buckets that still hold several components, all pairs of different components are
-     to be judged: classes outside a bucket's largest component are compared to the rest of
-     it, in rounds of at most 128 of them a bucket. Pairs are first held against an exact upper
-     bound of their intersection (``most_common``), for which step 2 has kept what each class
-     lacks of the class it was compared to. Then against the sketches (one byte of each
-     minhash; a pair at 0.75 is lost here with a probability of 3e-6).
-Every comparison that makes a link is between full sets, recomputed from the texts.
+     to be judged: classes outside a bucket's largest component against the rest of it. A pair
+     is taken up in the first table alone that both have, so it costs one row however many
+     tables it shares, and only if an exact upper bound of its intersection (``most_common``)
+     allows a link, for which step 2 has kept what each class lacks of the class it was compared
+     to. Then the sketches are compared (one byte of each minhash; a pair at 0.75 is lost here
+     with a probability of 3e-6).
+Every comparison that makes a link is between full sets, recomputed from the texts. There is one
+join of buckets, without rounds; Spark splits a large bucket's rows over tasks (skew join).
 
 Edge cases: null or empty texts have the empty set, are linked with nothing and are kept;
 rows with equal keys are one document; rows with a null key are linked with nothing, have a
@@ -51,7 +53,6 @@ ROWS = 2  # minhashes of a half key
 HASHES = 2 * BANDS * ROWS
 SKETCH_LEAST = 22  # of 48; a pair at similarity 0.75 has 36, with a standard deviation of 3
 SHARED_LEAST = 4  # half keys shared with the class that step 2 compares to
-LEADERS = 128
 MISSING = [f"missing{k}" for k in range(4)]  # columns of 64 fields of 4 bits
 CHUNK = 64  # classes compared to one class in one group
 BLOCK = 1 << 17  # shingles hashed at once
@@ -223,30 +224,27 @@ def common_sizes(texts: DataFrame) -> DataFrame:
     return alone.groupBy("id").agg(F.count("*").alias("own"))
 
 
+def first_shared() -> Column:
+    """Whether the row's table, of the half keys in slots i and j, is the first one that x and y share (halves,
+    l_halves). Components differ, so no half key that they share was left out before."""
+    same = F.zip_with("halves", "l_halves", lambda x, y: x == y)
+    place = lambda start: F.array_position(F.slice(same, start + 1, BANDS), True) + start - 1
+    return (place(0) == F.col("i")) & (place(BANDS) == F.col("j"))
+
+
 def _judge_buckets(buckets: DataFrame, texts: DataFrame, labels: DataFrame | None, threshold: int) -> DataFrame | None:
-    """Compares pairs of a bucket that lie in different components. Columns: table, id, root, n, common,
-    sketch, hub (the class that step 2 compared to, or null), its hub_n, in_hub (the intersection) and missing."""
+    """Compares pairs of a bucket that lie in different components. Columns: table, i, j, id, root, n, common, sketch,
+    halves, hub (the class that step 2 compared to, or null), its hub_n, in_hub (the intersection) and missing."""
     parts = buckets.groupBy("table", "root").agg(F.count("*").alias("k"))
-    sides = stored(parts.groupBy("table").agg(F.max_by("root", F.struct("k", "root")).alias("largest"),
-                                              (F.sum("k") - F.max("k")).alias("others")), "sides")
-    turns = F.ceil(F.col("others") / LEADERS)
+    sides = stored(parts.groupBy("table").agg(F.max_by("root", F.struct("k", "root")).alias("largest")), "sides")
     leads = stored(buckets.join(sides, "table").where("root <> largest").select(
-        "table", *[F.col(c).alias(f"l_{c}") for c in ("id", "root", "n", "common", "sketch", "hub", "in_hub", *MISSING)],
-        F.pmod(F.xxhash64("id"), turns).alias("turn")), "leads")
-    tested = None
-    for turn in range(sides.agg(F.max(turns)).first()[0]):
-        pairs = leads.where(F.col("turn") == turn).join(buckets, "table").where("l_root <> root")
-        pairs = pairs.where((100 + threshold) * most_common() >= threshold * (F.col("n") + F.col("l_n")))
-        pairs = pairs.groupBy(F.least("id", "l_id").alias("leader"), F.greatest("id", "l_id").alias("id")).agg(
-            F.first("sketch").alias("x"), F.first("l_sketch").alias("y"))
-        pairs = pairs.where(agreeing("x", "y") >= SKETCH_LEAST).select("leader", "id")
-        if tested is not None:
-            pairs = pairs.join(tested, ["leader", "id"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if not pairs.isEmpty():
-            tested = pairs if tested is None else stored(tested.union(pairs), "tested")
-            labels = absorb(labels, compared(pairs, texts, threshold).where("linked").select("a", "b"))
-    return labels
+        "table", *[F.col(c).alias(f"l_{c}") for c in ("id", "root", "n", "common", "sketch", "halves", "hub", "in_hub", *MISSING)]), "leads")
+    pairs = leads.join(buckets, "table").where("l_root <> root")
+    pairs = pairs.where((100 + threshold) * most_common() >= threshold * (F.col("n") + F.col("l_n"))).where(first_shared())
+    pairs = pairs.groupBy(F.least("id", "l_id").alias("leader"), F.greatest("id", "l_id").alias("id")).agg(
+        F.first("sketch").alias("x"), F.first("l_sketch").alias("y"))
+    pairs = stored(pairs.where(agreeing("x", "y") >= SKETCH_LEAST).select("leader", "id"), "pairs")
+    return labels if pairs.isEmpty() else absorb(labels, compared(pairs, texts, threshold).where("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,9 +276,9 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", t
     keys = stored(_mixed_keys(open_, "half"), "open-halves")
     left = open_.join(keys, "half", "left_semi").groupBy("id", "root").agg(F.collect_set(F.struct("slot", "half")).alias("h"))
     side = lambda cond: F.filter("h", cond)
-    tables = stored(left.select("id", "root", F.explode(F.flatten(F.transform(
-        side(lambda x: x["slot"] < BANDS), lambda a: F.transform(
-            side(lambda x: x["slot"] >= BANDS), lambda b: F.xxhash64(a["half"], b["half"]))))).alias("table")), "tables")
+    tables = stored(left.select("id", "root", F.inline(F.flatten(F.transform(
+        side(lambda x: x["slot"] < BANDS), lambda a: F.transform(side(lambda x: x["slot"] >= BANDS), lambda b: F.struct(
+            F.xxhash64(a["half"], b["half"]).alias("table"), a["slot"].alias("i"), b["slot"].alias("j"))))))), "tables")
     near = stored(tables.join(stored(_mixed_keys(tables, "table"), "open-tables"), "table", "left_semi"), "near")
     if not near.isEmpty():
         wanted = near.select("id").distinct()
@@ -289,7 +287,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, key: str = "doc_id", t
         # With the hubs among the texts, all that a text has of its hub is common.
         among = wanted.select("id").union(wanted.where("hub IS NOT NULL").select("hub")).distinct()
         own = stored(common_sizes(texts.join(among, "id", "left_semi")), "own")
-        able = wanted.join(classes.select("id", "n", "sketch"), "id").join(own, "id", "left").withColumn(
+        able = wanted.join(classes.select("id", "n", "sketch", "halves"), "id").join(own, "id", "left").withColumn(
             "common", F.col("n") - F.coalesce("own", F.lit(0))).where(100 * F.col("common") >= threshold * F.col("n"))
         near = stored(near.join(stored(able.drop("own"), "able"), "id"), "near")
         buckets = stored(near.join(stored(_mixed_keys(near, "table"), "open-tables"), "table", "left_semi"), "buckets")
