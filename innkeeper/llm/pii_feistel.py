@@ -6,8 +6,8 @@ document, different values different ones, and the holder of the key can invert
 
   card   13-19 digits, or groups of 4-4-4-4 or 4-6-5, that pass the Luhn check: all digits but the check
          digit are permuted, the check digit is made anew
-  iban   country code, check digits, account; valid modulo 97: the account's digits are
-         permuted, the check digits are made anew
+  iban   country code, check digits, account, in one or printed in groups of four; valid modulo 97:
+         the account's digits are permuted, the check digits are made anew
   ssn    ddd-dd-dddd in the issued ranges, permuted within them
   phone  an international number (+ and country code), (ddd) ddd-dddd or ddd-ddd-dddd: the digits
          after the country code are permuted
@@ -15,7 +15,7 @@ document, different values different ones, and the holder of the key can invert
   date   yyyy-mm-dd, dd.mm.yyyy or dd/mm/yyyy, a real day of 1800-2199: the day is permuted
          within these 400 years (146,097 days = 189 x 773, so no value needs a second try)
   email  the local part becomes "u" and a keyed hash (of the whole address, A-Z lower-cased);
-         the domain stays
+         the domain (up to 127 labels, as DNS allows) stays
 
 A Feistel network over a pair (a, b) in Z_m x Z_n adds, in turn, a keyed hash of b to a
 modulo m and a keyed hash of a to b modulo n; each round can be undone, so the whole is a
@@ -37,8 +37,10 @@ ROUNDS = 10
 KINDS = ["email", "iban", "card", "ssn", "phone", "ip", "date"]
 # A value does not begin or end inside a longer run of the same characters.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    # A local part begins where a run of its characters or the last match ends, so a run is read once; its parts are
+    # possessive, as none can give way to the next.
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,125}\.[A-Za-z]{2,}",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
              r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
              r"|(?<![0-9A-Za-z.-])[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}(?![0-9]|[.-][0-9])",
@@ -132,8 +134,9 @@ def pseudonym(match: Column, key: str) -> Column:
     account_digits = digits_of(account)
     other = F.when(F.length(account_digits) >= 2, laid_out(account, permuted_digits(
         account_digits, key, F.concat(F.lit("iban"), country)))).otherwise(account)
-    check = F.lpad((98 - mod97(F.concat(other, country, F.lit("00")))).cast("string"), 2, "0")
-    iban = F.when(mod97(F.concat(account, F.substring(match, 1, 4))) == 1,
+    joined = lambda c: F.replace(c, F.lit(" "))
+    check = F.lpad((98 - mod97(F.concat(joined(other), country, F.lit("00")))).cast("string"), 2, "0")
+    iban = F.when(mod97(F.concat(joined(account), F.substring(match, 1, 4))) == 1,
                   made("iban", F.concat(country, check, other))).otherwise(none)
 
     area, group, serial = (F.substring(match, p, w).cast("int") for p, w in ((1, 3), (5, 2), (8, 4)))

@@ -13,7 +13,8 @@ flagged window's start to the last one's end:
   entropy_hex     [0-9A-Fa-f], window 24, at least 3.0 bits
   entropy_base64  [A-Za-z0-9+/_=-], window 24, at least 3.9 bits
 A candidate on the allow list (``ALLOWED``: plain words, numbers, UUIDs, path-like or
-hyphenated words) is suppressed.
+hyphenated words) is suppressed. A candidate is scanned in pieces of ``PIECE`` windows, so that a
+run of any length costs time in proportion and a bounded piece of memory.
 
 Spans count code points, end exclusive. All work is DataFrame functions. Texts without any
 candidate carry one empty row through the shuffle, so every row of the input is returned.
@@ -36,6 +37,7 @@ HEX = r"[0-9a-f]{24,}"
 HEX_DIGITS = "0123456789abcdefABCDEF"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW_SIZE = 24
+PIECE = 4096  # windows of a candidate judged in one row
 UNIT = 1_000_000
 # kind -> (candidate pattern, characters counted, limit in bits); kinds are listed in this order
 ENTROPY = {
@@ -47,7 +49,8 @@ ALLOWED = [
     r"^[A-Za-z]+$",
     r"^[0-9]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[a-z0-9]+([/_-][a-z]+){2,}[/_-]?$",
+    # Possessive, as no part can give way to another; the JVM runs such a repetition as a loop, not as a recursion.
+    r"^[a-z0-9]++(?:[/_-][a-z]++){2,}+[/_-]?$",
 ]
 
 
@@ -76,7 +79,6 @@ def hits(text: Column, pattern: str, kind: int, keep=lambda match, value: F.lit(
 def flagged(candidate: Column, alphabet: str, bits: float, size: int = WINDOW_SIZE) -> Column:
     """struct(first, last): starts of the first and the last flagged window (0-based), -1 for none."""
     terms = F.array(*[F.lit(term(c)).cast("long") for c in range(size + 1)])
-    code = lambda i: F.instr(F.lit(alphabet), F.substr(candidate, i, F.lit(1)))  # noqa: E731  # 1-based
     blank = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("sum"),
                      F.lit(-1).alias("first"), F.lit(-1).alias("last"))
 
@@ -87,12 +89,6 @@ def flagged(candidate: Column, alphabet: str, bits: float, size: int = WINDOW_SI
         counts = F.transform(state["counts"], lambda c, k: F.when(k == at - 1, c + by).otherwise(c))
         return F.struct(counts.alias("counts"), total.alias("sum"), state["first"].alias("first"), state["last"].alias("last"))
 
-    def leave(state: Column, i: Column) -> Column:
-        return F.when(i > size, moved(state, code(F.greatest(i - size, F.lit(1))), -1)).otherwise(state)
-
-    def enter(state: Column, i: Column) -> Column:
-        return moved(state, code(i), 1)
-
     def judge(state: Column, i: Column) -> Column:
         hit = (i >= size) & (state["sum"] <= most_terms(bits, size))
         start = i - size
@@ -102,10 +98,13 @@ def flagged(candidate: Column, alphabet: str, bits: float, size: int = WINDOW_SI
 
     # Leave, enter and judge are three folds of one step, so that each state is computed once.
     steps = F.array(F.lit(0), F.lit(1), F.lit(2))
-    acts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(candidate)), lambda i: F.transform(
-        steps, lambda s: F.struct(i.alias("i"), s.alias("s")))))
-    end = F.aggregate(acts, blank, lambda st, a: F.when(a["s"] == 0, leave(st, a["i"])).when(
-        a["s"] == 1, enter(st, a["i"])).otherwise(judge(st, a["i"])))
+    codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c))  # 1-based; 0: none leaves yet
+    both = F.arrays_zip(codes.alias("enters"), F.slice(F.concat(F.array_repeat(F.lit(0), size), codes), F.lit(1),
+                                                       F.length(candidate)).alias("leaves"))
+    acts = F.flatten(F.transform(both, lambda x, k: F.transform(steps, lambda s: F.struct(
+        (k + 1).alias("i"), s.alias("s"), x["enters"].alias("enters"), x["leaves"].alias("leaves")))))
+    end = F.aggregate(acts, blank, lambda st, a: F.when(a["s"] == 2, judge(st, a["i"])).when(
+        a["s"] == 1, moved(st, a["enters"], 1)).when(a["leaves"] > 0, moved(st, a["leaves"], -1)).otherwise(st))
     return F.struct(end["first"].alias("first"), end["last"].alias("last"))
 
 
@@ -123,10 +122,20 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     # A match starts after all gaps up to its own and all matches before it, of its kind.
     upto = Window.partitionBy("_id", "kind").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
     at = found.withColumn("start", (F.sum(F.col("gap") + F.col("len")).over(upto) - F.col("len")).cast("int"))
+    # A piece has the windows that start at from to from + PIECE - 1. Rows stay where they are: all are dealt by _id.
+    piece = lambda s: F.struct(s.alias("from"), F.substr("string", s + 1, F.lit(PIECE + WINDOW_SIZE - 1)).alias("part"))
+    pieces = F.when((F.col("kind") >= 3) & F.col("keep"), F.transform(
+        F.sequence(F.lit(0), F.col("len") - WINDOW_SIZE, F.lit(PIECE)), piece))
+    at = at.select("_id", "_key", "_n", "kind", "len", "keep", "start", F.explode_outer(pieces).alias("_p"))
     judged = F.when(F.col("kind") < 3, F.struct(F.lit(0).alias("first"), (F.col("len") - WINDOW_SIZE).alias("last")))
     for k, (_, alphabet, bits) in enumerate(ENTROPY.values()):
-        judged = judged.when((F.col("kind") == 3 + k) & F.col("keep"), flagged(F.col("string"), alphabet, bits))
+        judged = judged.when((F.col("kind") == 3 + k) & F.col("keep"), flagged(F.col("_p.part"), alphabet, bits))
     at = at.withColumn("_w", judged)
+    begun, shift = F.col("_w.first") >= 0, F.coalesce("_p.from", F.lit(0))
+    at = at.groupBy("_id", "_key", "_n").agg(
+        *[F.first(c).alias(c) for c in ("kind", "keep", "start")],
+        F.struct(F.coalesce(F.min(F.when(begun | (F.col("kind") < 3), F.col("_w.first") + shift)), F.lit(-1)).alias("first"),
+                 F.max(F.when(begun | (F.col("kind") < 3), F.col("_w.last") + shift)).alias("last")).alias("_w"))
     names = F.array(*[F.lit(k) for k in KINDS])
     span = F.when(F.col("keep") & (F.col("_w.first") >= 0),
                   F.struct((F.col("start") + F.col("_w.first")).alias("start"), F.col("kind").alias("kind_no"),

@@ -13,12 +13,12 @@ full length. Documents are never shuffled and no task holds more than a shard.
 
 The benchmark is sent to the executors in blocks of at most ``block_chars`` characters
 (a single item may be longer); the documents pass through the blocks one after another,
-so its size is bounded in the driver and in each task, however large it is.
+written in between, so a task holds one block however large the benchmark is.
 
 Edge cases: null or empty texts have no words; items without words have no window; equal
 items are searched once and all their ids reported; a null item id is reported as "null";
 an empty benchmark hits nothing; equal rows stay separate rows; further columns pass
-through.
+through, and the added names are drawn so that they clash with none (``Added``).
 """
 
 from __future__ import annotations
@@ -28,18 +28,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, python_ready, text_bytes
+from .common import appended, free_name, python_ready, text_bytes
+from .components import stored
 
 WINDOW = 13
 BLOCK_CHARS = 16 << 20
 PAIRS_AT_ONCE = 1 << 20
 TO_WORDS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
                  for c in range(256))
-ADDED = ["_n_words", "_hits", "_items", "_longest"]
+
+
+class Added:
+    """The names of the columns added to docs: n_words, n_hit, items and longest, led by underscores."""
+
+    def __init__(self, columns: list[str]):
+        self.n_words, self.hits, self.items, self.longest, self.n_hit = (
+            free_name(columns, f"_{c}") for c in ("n_words", "hits", "items", "longest", "n_hit"))
+        self.scanned = [self.n_words, self.hits, self.items, self.longest]
+
+    def contaminated(self) -> Column:
+        return contaminated(self.n_hit, self.n_words)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -178,27 +190,27 @@ def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
     return hit, items, longest
 
 
-def _scan(sent, text_at: int, window: int, first_block: bool):
+def _scan(sent, text_at: int, window: int, first_block: bool, added: Added):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = sent.value
         for b in batches:
-            kept = b if first_block else b.select(b.schema.names[:-len(ADDED)])
+            kept = b if first_block else b.select(list(range(b.num_columns - len(added.scanned))))
             docs = [words_of(t) for t in text_bytes(b.column(text_at))]
             hit, items, longest = search(test, docs, window)
             cuts = np.cumsum([len(d) for d in docs])[:-1] if docs else []
             hits = np.split(hit, cuts) if docs else []
             names = [{n for k in items.get(d, ()) for n in test.items[k]} for d in range(len(docs))]
             if not first_block:
-                for d, (bits, before, far) in enumerate(zip(*[b.column(c).to_pylist() for c in ADDED[1:]])):
+                for d, (bits, before, far) in enumerate(zip(*[b.column(c).to_pylist() for c in added.scanned[1:]])):
                     if bits:
                         hits[d] = hits[d] | np.unpackbits(np.frombuffer(bits, np.uint8), count=len(hits[d])).astype(bool)
                     names[d].update(before)
                     longest[d] = max(longest[d], far)
             yield appended(kept, {
-                "_n_words": pa.array([len(d) for d in docs], pa.int64()),
-                "_hits": pa.array([np.packbits(h).tobytes() if h.any() else b"" for h in hits], pa.binary()),
-                "_items": pa.array([sorted(x) for x in names], pa.list_(pa.string())),
-                "_longest": pa.array(longest, pa.int64())})
+                added.n_words: pa.array([len(d) for d in docs], pa.int64()),
+                added.hits: pa.array([np.packbits(h).tobytes() if h.any() else b"" for h in hits], pa.binary()),
+                added.items: pa.array([sorted(x) for x in names], pa.list_(pa.string())),
+                added.longest: pa.array(longest, pa.int64())})
 
     return run
 
@@ -216,17 +228,19 @@ def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[str
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS,
                  text: str = "text") -> DataFrame:
-    """The rows of docs with ``_n_words``, ``_n_hit``, ``_items`` (ids of items with occurring
-    windows) and ``_longest`` (words of the longest verbatim match that holds a window)."""
+    """The rows of docs with ``_n_words``, ``_n_hit``, ``_items`` (ids of items with occurring windows) and
+    ``_longest`` (words of the longest verbatim match that holds a window); by other names where docs has these (``Added``)."""
     spark = docs.sparkSession
     python_ready(spark)
+    added = Added(docs.columns)
     out, schema = docs, T.StructType([
-        *docs.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_hits", T.BinaryType()),
-        T.StructField("_items", T.ArrayType(T.StringType())), T.StructField("_longest", T.LongType())])
+        *docs.schema.fields, T.StructField(added.n_words, T.LongType()), T.StructField(added.hits, T.BinaryType()),
+        T.StructField(added.items, T.ArrayType(T.StringType())), T.StructField(added.longest, T.LongType())])
     for k, items in enumerate(blocks_of(benchmark, block_chars)):
         sent = spark.sparkContext.broadcast(TestSuffixes(items, window))
-        out = out.mapInArrow(_scan(sent, docs.columns.index(text), window, k == 0), schema)
-    return out.withColumn("_n_hit", _ones("_hits")).drop("_hits")
+        out = (out if k == 0 else stored(out, "scanned")).mapInArrow(
+            _scan(sent, docs.columns.index(text), window, k == 0, added), schema)
+    return out.withColumn(added.n_hit, _ones(added.hits)).drop(added.hits)
 
 
 def _ones(column: str):
@@ -243,4 +257,4 @@ def contaminated(n_hit="_n_hit", n_words="_n_words"):
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    return find_matches(docs, benchmark, **how).where(~contaminated()).select(docs.columns)
+    return find_matches(docs, benchmark, **how).where(~Added(docs.columns).contaminated()).select(docs.columns)

@@ -352,13 +352,13 @@ class Scorer:
         return sigmoid(best)
 
 
-def _score(sent, text_at: int):
+def _score(sent, text_at: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         scorer = None if isinstance(model, float) else Scorer(model)
         for b in batches:
             score = np.full(b.num_rows, model) if scorer is None else scorer.score(text_bytes(b.column(text_at)))
-            yield appended(b, {"_score": pa.array(score, pa.float64())})
+            yield appended(b, {name: pa.array(score, pa.float64())})
 
     return run
 
@@ -385,9 +385,11 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     return fit([t.encode() for _, t, _ in rows], [x for _, _, x in rows])
 
 
-def score_documents(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
-    """docs with ``_score`` (0 to 1)."""
+def score_documents(docs: DataFrame, model: Model | float, text: str = "text", score: str = "_score") -> DataFrame:
+    """docs with ``score`` (0 to 1), a name that docs does not have."""
+    if score.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"docs has a column {score}")
     python_ready(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
-    return docs.mapInArrow(_score(sent, docs.columns.index(text)), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
+    return docs.mapInArrow(_score(sent, docs.columns.index(text), score), schema)

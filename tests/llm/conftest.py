@@ -45,7 +45,9 @@ def empty(spark):
 @pytest.fixture
 def clashing(spark, corpus):
     """Further columns whose names the operators use themselves."""
-    names = ("n_words", "kept", "score", "size", "key", "id", "block", "part", "root", "taken", "start", "rule", "found", "spans")
+    names = ("n_words", "kept", "score", "size", "key", "id", "block", "part", "root", "taken", "start", "rule", "found", "spans",
+             "_score", "_hits", "_items", "_n_words", "_n_hit", "_longest", "_kept", "_id", "_times", "_time", "_key", "_text", "_pieces",
+             "_found", "_s", "_order", "_cell", "_w", "_n", "_h", "_p", "place", "file", "row")
     df = spark.createDataFrame(corpus[:20], SCHEMA)
     for name in names:
         df = df.selectExpr("*", f"'x' AS {name}")

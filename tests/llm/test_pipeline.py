@@ -1,6 +1,7 @@
 """Toxicity model, and the pipeline against a plain composition of brute-force stages."""
 
 import hashlib
+import math
 import random
 
 import brute
@@ -115,8 +116,8 @@ def test_learn_and_score_edges(spark, corpus, docs, empty):
     assert all(abs(again[r["doc_id"]] - r["_score"]) < 1e-6 for r in scored.collect())
 
 
-def mixed_copies(docs):
-    """{id: copies that count} by the curriculum's rules, in plain Python."""
+def mixed_times(docs):
+    """{id: times of the copies that count} by the curriculum's rules, in plain Python."""
     sizes = {i: len(brute.words(t)) for i, t, s in docs}
     totals = {}
     for i, _, s in docs:
@@ -128,13 +129,20 @@ def mixed_copies(docs):
         order = sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i, _, x in docs if x == s)
         at = 0
         for _, i in order:
-            whole = int(target[s] + 1e-9)
-            got = [max(0, min(whole - at - e * totals[s], sizes[i])) for e in (0, 1)]
-            out[i] = sum(g > 0 and 2 * g >= sizes[i] for g in got)
+            whole, out[i] = int(target[s] + 1e-9), []
+            for begin in (at, at + totals[s]):
+                got = max(0, min(whole - begin, sizes[i]))
+                if got > 0 and 2 * got >= sizes[i]:
+                    # The weight grows from 0.5 to 1.5: words / target = t / 2 + t^2 / 2.
+                    out[i].append(min(math.sqrt(0.25 + 2 * min(begin / target[s], 1.0)) - 0.5, 1.0))
             at += sizes[i]
     return out
 
 
+def mixed_copies(docs):
+    return {i: len(t) for i, t in mixed_times(docs).items()}
+
+
 def test_run_equals_brute_force(spark):
     from innkeeper.llm.common import table
 
@@ -148,10 +156,16 @@ def test_run_equals_brute_force(spark):
     component = brute.near_duplicates([(i, t) for i, t, _ in left])
     left = [d for d in left if component[d[0]] == d[0]]
     left = [d for d, c in zip(left, brute.contamination([t for _, t, _ in left], items)) if not c[4]]
-    copies = mixed_copies(left)
-    want = brute.token_rows([(i, t) for i, t, _ in left for _ in range(copies[i])],
-                            Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
-    got = sorted(tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
+    texts = {i: t for i, t, _ in left}
+    order = sorted((time, i) for i, times in mixed_times(left).items() for time in times)
+    assert [i for _, i in order] != sorted(i for _, i in order)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want, start = [], 0
+    for _, i in order:  # the tokens lie in training order
+        (_, _, n, crc), = brute.token_rows([(i, texts[i])], tokenizer)
+        want.append((i, start, n, crc))
+        start += n
+    got = [tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("start").collect()]
     assert got == want
 
 

@@ -119,5 +119,5 @@ def test_edges(empty, clashing, spark):
     for df, n in ((empty, 0), (clashing, 20)):
         assert quality_rules.ledger(df).count() == n
         assert substring_dedup.remove_repeats(df).count() == n
-        assert suffix_decontam.find_matches(df, bench).where("_n_hit = 0").count() == n
+        assert suffix_decontam.find_matches(df, bench).where(F.col(suffix_decontam.Added(df.columns).n_hit) == 0).count() == n
         assert secret_entropy.scan(df).count() == n
