@@ -381,7 +381,9 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
                                 T.StructType([T.StructField("_id", labels.schema["doc_id"].dataType), T.StructField("_toxic", T.IntegerType())]))
     texts = docs.where(F.length("text") <= MOST_CHARS).select("doc_id", "text").join(
         F.broadcast(ids), F.col("doc_id") == F.col("_id"))  # at most positives + negatives rows
-    rows = sorted({(r["doc_id"], r["text"], r["_toxic"]) for r in texts.collect()})
+    # One text an id, the least one, so that repeated ids do not add to the sample.
+    rows = sorted(tuple(r) for r in texts.groupBy("doc_id", "_toxic").agg(F.min("text").alias("text")).select(
+        "doc_id", "text", "_toxic").collect())
     return fit([t.encode() for _, t, _ in rows], [x for _, _, x in rows])
 
 
