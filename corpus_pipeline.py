@@ -59,7 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key, all_times, time = (free_name(docs.columns, n) for n in ("_id", "_times", "_time"))
     times = times.groupBy(F.col("doc_id").alias(key)).agg(F.max("t").alias(all_times))
     placed = docs.join(times, F.col("doc_id") == F.col(key)).select(*docs.columns, F.explode(all_times).alias(time))
-    return placed.union(docs.where("doc_id IS NULL").withColumn(time, F.lit(2.0))).orderBy(time, "doc_id", "text").drop(time)
+    return placed.union(docs.where("doc_id IS NULL").withColumn(time, F.lit(2.0))).orderBy(time, "doc_id", F.xxhash64("text")).drop(time)
 
 
 def in_order(docs: DataFrame) -> DataFrame:
