@@ -8,7 +8,8 @@ Each URL is expanded to the expressions <host suffix><directory prefix of the pa
 every suffix of whole labels and every prefix that ends in "/" (none is left out, however
 long the URL). Expressions meet rules in an equi-join on the first 32 bits of their
 SHA-256; full digests and the rest of the path are compared after it. A rule whose path
-does not end in "/" is looked up by its directory, and confirmed by the comparison.
+does not end in "/" is looked up by its directory, and confirmed by the comparison. Only
+hosts and paths, each pair once, are expanded and joined; the pages get the result by them.
 
 Edge cases: a null URL, or one without "://", has an empty host and path and gets the
 default verdict; an empty rule list gives the default to all; rows that are equal stay
@@ -59,15 +60,13 @@ def hashed_rules(rules: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """One row per input row: ``row`` (struct of its columns), host, path, rule, verdict."""
     host, path = url_parts(F.col(url))
-    urls = pages.select(F.monotonically_increasing_id().alias("_id"), F.struct("*").alias("row"),
-                        host.alias("host"), path.alias("path"))
-    exprs = urls.select("*", F.explode_outer(expressions(F.col("host"), F.col("path"))).alias("expression"))
-    exprs = exprs.withColumn("digest", F.sha2("expression", 256))
-    exprs = exprs.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
-    met = exprs.join(hashed_rules(rules), "prefix", "left")
-    fits = (F.col("digest") == F.col("rule_digest")) & F.startswith("path", F.col("rule_path"))
-    best = F.max(F.when(fits, F.struct("rule_length", (F.col("action") == "block").alias("blocks"), "rule", "action")))
-    return (met.groupBy("_id").agg(F.first("row").alias("row"), F.first("host").alias("host"),
-                                   F.first("path").alias("path"), best.alias("best"))
-            .select("row", "host", "path", F.col("best.rule").alias("rule"),
-                    F.coalesce("best.action", F.lit(default)).alias("verdict")))
+    urls = pages.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"))
+    # Narrow rows meet the rules: each host and path once, without the rest of the page.
+    exprs = urls.select("host", "path").distinct().select("host", "path", F.explode(expressions(F.col("host"), F.col("path"))).alias("expression"))
+    exprs = exprs.select("host", "path", F.sha2("expression", 256).alias("digest"))
+    met = exprs.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).join(hashed_rules(rules), "prefix")
+    fits = met.where((F.col("digest") == F.col("rule_digest")) & F.startswith("path", F.col("rule_path")))
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(
+        "rule_length", (F.col("action") == "block").alias("blocks"), "rule", "action")).alias("best"))
+    return urls.join(best, ["host", "path"], "left").select(
+        "row", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
