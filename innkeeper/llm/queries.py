@@ -234,7 +234,8 @@ def op10_suffix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("_items"), ","), 256).alias("items_sha256"),
-        suffix_decontam.contaminated().alias("contaminated"), F.col("_longest").alias("longest_match"))
+        suffix_decontam.contaminated().alias("contaminated"), F.col("_longest").alias("longest_match"),
+        F.col("_longest_start").alias("longest_start"))
 
 
 OP10_SQL = r"""
@@ -253,13 +254,14 @@ m AS (SELECT rid, i, j, item, n FROM dh JOIN bh USING (n, h)),
 cov AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM m) GROUP BY rid),
 its AS (SELECT rid, count(DISTINCT item) AS n_items,
                array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM m GROUP BY rid),
-isl AS (SELECT rid, item, i - j AS diag, n, i - row_number() OVER (PARTITION BY rid, item, i - j ORDER BY i) AS g FROM m),
-lon AS (SELECT rid, max(len) AS longest FROM (SELECT rid, any_value(n) + count(*) - 1 AS len FROM isl
-        GROUP BY rid, item, diag, g) GROUP BY rid)
+isl AS (SELECT rid, item, i, i - j AS diag, n, i - row_number() OVER (PARTITION BY rid, item, i - j ORDER BY i) AS g FROM m),
+run AS (SELECT rid, any_value(n) + count(*) - 1 AS len, min(i) - 1 AS start FROM isl GROUP BY rid, item, diag, g),
+top AS (SELECT rid, max(len) AS longest FROM run GROUP BY rid),
+lon AS (SELECT rid, any_value(longest) AS longest, min(start) AS start FROM run JOIN top USING (rid) WHERE len = longest GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated,
-       coalesce(longest, 0)::BIGINT AS longest_match
+       coalesce(longest, 0)::BIGINT AS longest_match, coalesce(start, -1)::BIGINT AS longest_start
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid) LEFT JOIN lon USING (rid)
 """
 

@@ -43,12 +43,12 @@ TO_WORDS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61
 
 
 class Added:
-    """The names of the columns added to docs: n_words, n_hit, items and longest, led by underscores."""
+    """The names of the columns added to docs: n_words, n_hit, spans, items, longest and longest_start, led by underscores."""
 
     def __init__(self, columns: list[str]):
-        self.n_words, self.hits, self.items, self.longest, self.n_hit = (
-            free_name(columns, f"_{c}") for c in ("n_words", "hits", "items", "longest", "n_hit"))
-        self.scanned = [self.n_words, self.hits, self.items, self.longest]
+        self.n_words, self.hits, self.spans, self.items, self.longest, self.longest_start, self.n_hit = (
+            free_name(columns, f"_{c}") for c in ("n_words", "hits", "spans", "items", "longest", "longest_start", "n_hit"))
+        self.scanned = [self.n_words, self.hits, self.spans, self.items, self.longest, self.longest_start]
 
     def contaminated(self) -> Column:
         return contaminated(self.n_hit, self.n_words)
@@ -126,12 +126,13 @@ def ranges(s: np.ndarray, order: np.ndarray, query: np.ndarray, length: np.ndarr
 
 
 def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
-    """(hit words as a bool array over all docs' words, {doc: item numbers}, longest match of each doc)."""
+    """(hit words as a bool array over all docs' words, {doc: item numbers}, longest match of each doc and
+    the first word at which one of that length starts, -1 for none)."""
     counts = np.array([len(d) for d in docs], np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
     hit = np.zeros(first[-1], bool)
     items: dict[int, set[int]] = {}
-    longest = np.zeros(len(docs), np.int64)
+    longest, start = np.zeros(len(docs), np.int64), np.full(len(docs), -1, np.int64)
     get = test.ids.get
     coded = np.zeros(first[-1] + 1, np.int32)
     run = np.zeros(first[-1] + 1, bool)  # words inside a long enough run of known words
@@ -144,7 +145,7 @@ def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
                 run[lo + a:lo + b] = True
     at = np.flatnonzero(run)
     if not len(at) or not test.least:
-        return hit, items, longest
+        return hit, items, longest, start
     # Runs of one document may touch the next one's: a 0 goes wherever positions or documents break.
     doc_of = np.searchsorted(first, at, "right") - 1
     gap = np.concatenate([[False], (np.diff(at) > 1) | (np.diff(doc_of) > 0)])
@@ -158,7 +159,7 @@ def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
     low, high = ranges(s, order, query, test.length)
     found = np.flatnonzero(high > low)
     if not len(found):
-        return hit, items, longest
+        return hit, items, longest, start
     # Test suffixes with the same window have the same range: it is marked once.
     cover = np.zeros(first[-1] + 1, np.int32)
     seen = {}
@@ -176,6 +177,7 @@ def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
         for q in same:
             for k in range(0, len(spots), PAIRS_AT_ONCE):
                 part, whose = spots[k:k + PAIRS_AT_ONCE], owners[k:k + PAIRS_AT_ONCE]
+                begins = words[k:k + PAIRS_AT_ONCE] - first[whose]
                 length = np.full(len(part), n)
                 going = np.arange(len(part))
                 step = int(n)
@@ -185,9 +187,14 @@ def search(test: TestSuffixes, docs: list[list[bytes]], window: int):
                     going = going[s[part[going] + step] == word]
                     step += 1
                     length[going] = step
-                np.maximum.at(longest, whose, length)
+                # Of each document the longest match, and of equal ones the first.
+                by = np.lexsort((begins, -length, whose))
+                by = by[np.concatenate([[True], np.diff(whose[by]) > 0])]
+                d, n_, b_ = whose[by], length[by], begins[by]
+                better = (n_ > longest[d]) | ((n_ == longest[d]) & (b_ < start[d]))
+                longest[d[better]], start[d[better]] = n_[better], b_[better]
     hit[:] = np.cumsum(cover)[:-1] > 0
-    return hit, items, longest
+    return hit, items, longest, start
 
 
 def _scan(sent, text_at: int, window: int, first_block: bool, added: Added):
@@ -196,25 +203,39 @@ def _scan(sent, text_at: int, window: int, first_block: bool, added: Added):
         for b in batches:
             kept = b if first_block else b.select(list(range(b.num_columns - len(added.scanned))))
             docs = [words_of(t) for t in text_bytes(b.column(text_at))]
-            hit, items, longest = search(test, docs, window)
+            hit, items, longest, start = search(test, docs, window)
             cuts = np.cumsum([len(d) for d in docs])[:-1] if docs else []
             hits = np.split(hit, cuts) if docs else []
             names = [{n for k in items.get(d, ()) for n in test.items[k]} for d in range(len(docs))]
             if not first_block:
-                for d, (bits, before, far) in enumerate(zip(*[b.column(c).to_pylist() for c in added.scanned[1:]])):
+                earlier = (added.hits, added.items, added.longest, added.longest_start)
+                for d, (bits, before, far, at) in enumerate(zip(*[b.column(c).to_pylist() for c in earlier])):
                     if bits:
                         hits[d] = hits[d] | np.unpackbits(np.frombuffer(bits, np.uint8), count=len(hits[d])).astype(bool)
                     names[d].update(before)
-                    longest[d] = max(longest[d], far)
+                    if (far, -at) > (longest[d], -start[d]):
+                        longest[d], start[d] = far, at
             yield appended(kept, {
                 added.n_words: pa.array([len(d) for d in docs], pa.int64()),
                 added.hits: pa.array([np.packbits(h).tobytes() if h.any() else b"" for h in hits], pa.binary()),
+                added.spans: pa.array([_spans(h) for h in hits], SPANS),
                 added.items: pa.array([sorted(x) for x in names], pa.list_(pa.string())),
-                added.longest: pa.array(longest, pa.int64())})
+                added.longest: pa.array(longest, pa.int64()), added.longest_start: pa.array(start, pa.int64())})
 
     return run
 
 
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _spans(hit: np.ndarray) -> list[dict]:
+    """Maximal runs of hit words, end exclusive."""
+    if not hit.any():
+        return []
+    edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0)).tolist()
+    return [{"start": a, "end": b} for a, b in zip(edges[0::2], edges[1::2])]
+
+
 def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[str, bytes]]]:
     """The benchmark's (item id, text), collected block by block."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"),
@@ -228,14 +249,17 @@ def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[str
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS,
                  text: str = "text") -> DataFrame:
-    """The rows of docs with ``_n_words``, ``_n_hit``, ``_items`` (ids of items with occurring windows) and
-    ``_longest`` (words of the longest verbatim match that holds a window); by other names where docs has these (``Added``)."""
+    """The rows of docs with ``_n_words``, ``_n_hit``, ``_spans`` (maximal runs of hit words), ``_items`` (ids of items with
+    occurring windows), ``_longest`` (words of the longest verbatim match that holds a window) and ``_longest_start`` (where
+    the first such match starts, -1 for none); by other names where docs has these (``Added``)."""
     spark = docs.sparkSession
     python_ready(spark)
     added = Added(docs.columns)
     out, schema = docs, T.StructType([
         *docs.schema.fields, T.StructField(added.n_words, T.LongType()), T.StructField(added.hits, T.BinaryType()),
-        T.StructField(added.items, T.ArrayType(T.StringType())), T.StructField(added.longest, T.LongType())])
+        T.StructField(added.spans, T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        T.StructField(added.items, T.ArrayType(T.StringType())), T.StructField(added.longest, T.LongType()),
+        T.StructField(added.longest_start, T.LongType())])
     for k, items in enumerate(blocks_of(benchmark, block_chars)):
         sent = spark.sparkContext.broadcast(TestSuffixes(items, window))
         out = (out if k == 0 else stored(out, "scanned")).mapInArrow(

@@ -77,7 +77,20 @@ def test_longest_match(spark):
     text = " ".join(["p"] * 5 + item[2:22] + ["p"] + item[:13])
     df = spark.createDataFrame([(1, text), (2, " ".join(item[:12]))], "doc_id long, text string")
     out = suffix_decontam.find_matches(df, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
-    assert by_id(out, "_longest", "_n_hit") == {1: (20, 33), 2: (0, 0)}
+    assert by_id(out, "_longest", "_longest_start", "_n_hit") == {1: (20, 5, 33), 2: (0, -1, 0)}
+    assert by_id(out, "_spans") == {1: ([(5, 25), (26, 39)],), 2: ([],)}
+
+
+def test_locations_over_blocks_of_the_benchmark(spark):
+    """Spans and the first longest match are the same whichever block an item lies in."""
+    items = [(k, " ".join(f"q{k}x{i}" for i in range(13 + k % 3))) for k in range(12)]
+    text = " ".join(["p", items[4][1], "p p", items[5][1], "p", items[7][1], items[8][1], "p"])
+    df = spark.createDataFrame([(1, text), (2, "p p p"), (3, items[2][1])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one, many = (by_id(suffix_decontam.find_matches(df, bench, block_chars=b), "_longest", "_longest_start", "_spans", "_n_hit")
+                 for b in (1 << 20, 90))
+    assert one == many
+    assert one[1][:2] == (15, 17) and one[1][2] == [(1, 15), (17, 32), (33, 62)] and one[3] == (15, 0, [(0, 15)], 15)
 
 
 def test_secrets_base(spark):
