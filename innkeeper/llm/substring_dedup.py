@@ -5,7 +5,8 @@ window gets a Rabin-Karp hash; a window whose hash occurs anywhere else (also in
 document) is repeated, and repeated windows merge into maximal removal intervals. All
 windows are judged on the input, so every copy of a repeated passage goes.
 
-How it runs: documents are dealt into blocks by a hash of their content. A block hashes its
+How it runs: documents are dealt into blocks by a hash of their content (rows equal in key and
+text by the partition that they are read in, too). A block hashes its
 windows in numpy and sends its distinct hashes, sorted and cut into buckets of the hash
 space, as packed arrays: 8 bytes a window cross the network, and a passage that a third of
 all documents share is sent once by each block. A bucket finds the hashes that two blocks or
@@ -150,7 +151,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text:
     blocks = max(least, math.ceil(total / BLOCK_BYTES))
     buckets = max(least, math.ceil(total * HASH_BYTES_A_TEXT_BYTE / BUCKET_BYTES))
     kind = narrow.schema["key"].dataType.simpleString()
-    dealt = narrow.select(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).alias("block"), "key", "text")
+    dealt = narrow.select(F.pmod(F.xxhash64("key", "text", F.spark_partition_id()), F.lit(blocks)).alias("block"), "key", "text")
     hashed = dealt.groupBy("block").applyInArrow(
         _hash_block(buckets, size), "block long, bucket long, hashes binary")
     answers = hashed.groupBy("bucket").applyInArrow(trimmed(_answer), "block long, bucket long, bits binary")

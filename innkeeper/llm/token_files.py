@@ -24,6 +24,7 @@ written.
 from __future__ import annotations
 
 import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, powers, python_ready, shuffle_partitions, text_bytes
+from .common import U64, mixed, powers, python_ready, shuffle_partitions, text_bytes, text_size
 
 END_ID = 2
 FILE_FORMAT = {
@@ -49,6 +50,7 @@ MOST_REMEMBERED = 1_000_000  # pieces, in tables of 12 bytes a slot and their id
 SLOTS = 1 << 21
 TEXT_AT_ONCE = 1 << 19
 BATCH_ROWS = 250
+FILE_TEXT_BYTES = 64 << 20  # text of a file, about; its rows are encoded and written by one task
 
 
 def independent_words(file: str) -> bool:
@@ -256,7 +258,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     python_ready(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
-    ordered = narrow.repartitionByRange(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
+    parts = max(shuffle_partitions(docs.sparkSession), math.ceil(text_size(narrow) / FILE_TEXT_BYTES))
+    ordered = narrow.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
     tokens = ordered.mapInArrow(_encode(tokenizer, end_id),
                                 f"key {kind}, n_tokens long, ids array<int>, part int, before long")
     tokens.write.options(**FILE_FORMAT).mode("errorifexists").parquet(path)
