@@ -98,14 +98,19 @@ def python_ready(spark: SparkSession) -> None:
         spark.conf.set(rows, BATCH_ROWS)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def trimmed(fn):
     """fn for the groups of applyInArrow; what it freed goes back to the system, so a worker that waits holds little."""
 
     def run(*tables):
         out = fn(*tables)
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim is not None:
-            trim(0)
+        give_back()
         return out
 
     run.__signature__ = inspect.signature(fn)  # Spark looks at the number of parameters and their types

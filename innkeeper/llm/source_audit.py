@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import python_ready
+from .common import give_back, python_ready
 from .components import stored
 
 LEAST = 10
 TOP = 10
 SHARD_BYTES = 4 << 20
 SMALL = 1 << 16  # slices that are sorted at once
-HELD_ROWS = 1_000_000
+HELD_ROWS = 400_000
 PART_TERMS = 4096  # terms whose shares in all sources are compared in one group, about
 MATRIX = 1 << 21  # shares compared at once
 UNIT = 1_000_000_000
@@ -186,6 +186,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _shards(batches):
         if (terms := _shard_terms(rows)) is not None:
             held.append(terms)
+        give_back()
         if sum(t.num_rows for t in held) > HELD_ROWS:
             held = [_added(held)]
             if held[0].num_rows > HELD_ROWS // 2:
