@@ -273,9 +273,9 @@ def key_ranges(rows: DataFrame, key: str, most: int) -> list[tuple[int, int]]:
         return []
     width = (high - low) // most + 1
     parts = rows.groupBy(F.floor((F.col(key).cast("bigint") - low) / width).alias("part")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high")).orderBy("part").collect()
+        F.min(key).alias("low"), F.max(key).alias("high")).collect()
     out = []
-    for p in parts:
+    for p in sorted(parts, key=lambda p: p["part"]):
         if out and p["low"] <= out[-1][1] + 1:
             out[-1] = (out[-1][0], p["high"])
         else:
