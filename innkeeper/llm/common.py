@@ -117,6 +117,16 @@ def trimmed(fn):
     return run
 
 
+def relieved(fn):
+    """fn for mapInArrow; what a task freed goes back to the system when it ends."""
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from .common import U64, WORD_HASHES, appended, python_ready, mixed, text_bytes
+from .common import U64, WORD_HASHES, appended, mixed, python_ready, relieved, text_bytes
 from .components import absorb, stored
 
 SHINGLE = 5
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     python_ready(docs.sparkSession)
     narrow = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(_sign, f"id {kind}, n_shingles long, set_id string, halves array<long>, sketch binary")
+    return narrow.mapInArrow(relieved(_sign), f"id {kind}, n_shingles long, set_id string, halves array<long>, sketch binary")
 
 
 def missing_counts(hub: np.ndarray, own: np.ndarray) -> list[int | None]:

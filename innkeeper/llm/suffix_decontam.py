@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, free_name, python_ready, text_bytes
+from .common import appended, free_name, python_ready, relieved, text_bytes
 from .components import stored
 
 WINDOW = 13
@@ -222,7 +222,7 @@ def _scan(sent, text_at: int, window: int, first_block: bool, added: Added):
                 added.items: pa.array([sorted(x) for x in names], pa.list_(pa.string())),
                 added.longest: pa.array(longest, pa.int64()), added.longest_start: pa.array(start, pa.int64())})
 
-    return run
+    return relieved(run)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, powers, python_ready, shuffle_partitions, text_bytes, text_size
+from .common import U64, mixed, powers, python_ready, relieved, shuffle_partitions, text_bytes, text_size
 
 END_ID = 2
 FILE_FORMAT = {
@@ -249,7 +249,7 @@ def _encode(file: str, end_id: int):
                     names=["key", "n_tokens", "ids", "part", "before"])
                 before += int(ends[-1])
 
-    return run
+    return relieved(run)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, key: str = "doc_id",

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, python_ready, text_bytes
+from .common import appended, python_ready, relieved, text_bytes
 
 STEPS, STRIDE = 32, 24  # words of a window, and from one window to the next
 WORDS, LEAST_Z, LEAST_DOCS = 512, 3.0, 3  # words with an embedding of their own
@@ -360,7 +360,7 @@ def _score(sent, text_at: int, name: str):
             score = np.full(b.num_rows, model) if scorer is None else scorer.score(text_bytes(b.column(text_at)))
             yield appended(b, {name: pa.array(score, pa.float64())})
 
-    return run
+    return relieved(run)
 
 
 def held_out(key: str = "doc_id") -> Column:
