@@ -175,10 +175,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(curriculum.sized(table(spark, sf_dir, "documents"), "doc_id", "source"), "sizes")
-    return curriculum.mix(rows).select(
-        "doc_id", "size", "source_size", "target", "taken", F.size("times").alias("n_copies"),
-        F.round(F.get("times", F.lit(0)), 6).alias("first_time"))
+    """The digest is read off the written training order: a document's copies, their words and the first one's time."""
+    docs = curriculum.sized(table(spark, sf_dir, "documents"), "doc_id", "source")
+    mixed = stored(curriculum.mix(stored(docs.withColumn("_row", F.monotonically_increasing_id()), "sizes")), "mixed")
+    order = stored(curriculum.training_order(mixed), "training-order")
+    copies = order.groupBy("_row").agg(F.sum("words").alias("_words"), F.count(F.lit(1)).cast("int").alias("_copies"),
+                                       F.round(F.min("time"), 6).alias("first_time"))
+    return mixed.join(copies, "_row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("_words", F.lit(0).cast("long")).alias("taken"),
+        F.coalesce("_copies", F.lit(0)).alias("n_copies"), "first_time")
 
 
 OP4_SQL = r"""
