@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from innkeeper.functions import jsvalue as js
 from innkeeper.operators import records
 from innkeeper.plans.catalog import QUERIES
-from innkeeper.sources import bridge
+from innkeeper.sources import bridge, text
 
 DATES = ['"2024-01-02"', '"2024-01-02T03:04:05,5Z"', '" 5 March 2021 "', '"MAR 5, 2021 10:00 PM EST"', '"Sat, 03 Feb 1996 00:00:00 GMT"',
          '"12:30"', '"not a date"', '"İ 2020"', '"1/31/99"', '""', "0", "86400000", "1e30", "-5.5", "true", "false", "null", "[1]", "{}", '"K 2020"']
@@ -42,3 +42,23 @@ def test_members_of_what_is_no_object(spark):
             flat = policy == records.STRICT and not validate
             in_comment = policy == records.STRICT and validate
             assert [r["r"] for r in got] == [None, None, None, None, None if in_comment else "1", None, "3" if flat else "null"]
+
+
+def test_packed_feed_reads_as_the_plain_one(spark, tmp_path):
+    rows = [("a" if i % 3 else "b", i, f'{{"n":{i},"x":"{"y" * 50}"}}') for i in range(2000)]
+    feed = spark.createDataFrame(rows, "file string, i int, value string").select("file", F.struct("i").alias("ord"), "value")
+    size, seen = {}, {}
+    for codec in (None, "gzip"):
+        root = tmp_path / str(codec)
+        text.write_feed(feed, str(root), compression=codec)
+        size[codec] = sum(p.stat().st_size for p in root.rglob("part-*"))
+        lines = text.read_lines(spark, [str(root)]).select(text.logical_file(F.col("file")).alias("f"), "ord", "value")
+        seen[codec] = [(r["f"], r["value"]) for r in lines.orderBy("f", "ord").collect()]
+    assert seen[None] == seen["gzip"] and len(seen[None]) == len(rows)
+    assert size["gzip"] < size[None] / 3
+
+
+def test_file_runs_keep_a_packed_feed(spark):
+    from innkeeper.plans import streams
+    root, _ = streams._file_state(spark, "/root/testdata/sf0.001")
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/feed").where("path NOT LIKE '%.txt.gz'").isEmpty()
