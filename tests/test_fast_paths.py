@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from innkeeper.functions import jsvalue as js
-from innkeeper.operators import records
+from innkeeper.operators import records, store
+from innkeeper.operators.tables import TableStore
 from innkeeper.plans.catalog import QUERIES
 from innkeeper.sources import bridge, text
 
@@ -62,3 +63,21 @@ def test_file_runs_keep_a_packed_feed(spark):
     from innkeeper.plans import streams
     root, _ = streams._file_state(spark, "/root/testdata/sf0.001")
     assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/feed").where("path NOT LIKE '%.txt.gz'").isEmpty()
+
+
+def test_no_generated_method_is_too_long_for_the_jvm(spark, tmp_path):
+    """The JVM leaves a method of more than 8,000 bytes interpreted; the checks and projections of a line stay below."""
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # the code of an adaptive plan is not known before it runs
+    try:
+        checked = records.check_lines(bridge.review_lines(spark, sf))
+        job = bridge.request_job_id(F.col("file"))
+        frames = {"store_counters": QUERIES["store_counters"](spark, sf), "stage": TableStore(spark, str(tmp_path)).stage(checked, job),
+                  "review_rows": store.review_rows(checked.filter("is_valid"), job), "hotel_rows": store.hotel_rows(checked.filter("is_valid"))}
+        debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+        for name, df in frames.items():
+            stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+            sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+            assert sizes and max(sizes) <= 8000, (name, sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
