@@ -56,13 +56,21 @@ def strict_wrap(line: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"§"]')))
 
 
-def strict_ok(w: Column) -> Column:
-    """Whether a wrapped parse holds one whole value (at $[0]): JSON.parse would not throw."""
-    return F.coalesce(
-        (F.try_variant_get(w, "$[1]", "string") == F.lit("§"))
-        & F.variant_get(w, "$[2]", "variant").isNull(),
-        F.lit(False),
-    )
+def escaped(line: Column) -> Column:
+    """Whether JSON text has escapes: without them, a string is spelled as it stands."""
+    return F.contains(line, F.lit("\\"))
+
+
+def strict_ok(w: Column, sentinel: Column | None = None) -> Column:
+    """Whether a wrapped parse holds one whole value (at $[0]): JSON.parse would not throw.
+
+    A third element takes a sentinel of the line's own: it is looked for only where the line may have one (``sentinel``),
+    since a path that leads nowhere costs an exception inside Spark.
+    """
+    alone = F.variant_get(w, "$[2]", "variant").isNull()
+    if sentinel is not None:
+        alone = ~sentinel | alone
+    return F.coalesce((F.try_variant_get(w, "$[1]", "string") == F.lit("§")) & alone, F.lit(False))
 
 
 def strict_unwrap(w: Column) -> Column:

@@ -82,8 +82,8 @@ def review_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     Fragments that depend only on the supplier (hotel name, provider score) or the
     part (title) are encoded once per dimension row, before the join.
     """
-    li = spread(_t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     su = _t(spark, sf_dir, "supplier").select(
         "s_suppkey",
         F.when(F.col("s_suppkey") % NULL_NAME_MOD == 9, F.lit("null"))
@@ -97,8 +97,9 @@ def review_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Dimension joins: Catalyst broadcasts supplier/part only while their
     # estimated size is under spark.sql.autoBroadcastJoinThreshold; otherwise
     # it plans a shuffle join. No unconditional broadcast hint.
-    return (li.join(su, li.l_suppkey == su.s_suppkey, "inner")
-              .join(pa, li.l_partkey == pa.p_partkey, "inner"))
+    # Dealt after the joins: a shuffle join leaves about as many tasks as cores, however much they hold.
+    return spread(li.join(su, li.l_suppkey == su.s_suppkey, "inner")
+                    .join(pa, li.l_partkey == pa.p_partkey, "inner"))
 
 
 def _platform(linenumber: Column) -> Column:
