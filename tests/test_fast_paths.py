@@ -1,5 +1,7 @@
 """The compiled ways of the parse and the store give what the plain expressions give."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from innkeeper.functions import jsvalue as js
@@ -111,3 +113,56 @@ def test_lines_are_dealt_after_the_joins(spark):
         assert plan.index("Repartition") < plan.index("Join")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_members_that_nobody_reads_are_not_taken(spark):
+    plan = lambda name: QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("ingest_file_counts", "valid_records", "valid_no_rules", "strict_no_rules", "hotels_merge"):
+        assert not [n for n in ("reviewComments", "reviewTitle", "encryptedReviewData") if f"StructField({n}," in plan(name) or f"r_{n}" in plan(name)], name
+    custom = plan("custom_rules")
+    assert custom.count("try_variant_get(_w") <= 2 and "r_reviewTitle" in custom and "r_reviewComments" not in custom
+    assert "r_reviewComments" in plan("flattened_reviews") and "r_reviewTitle" in plan("flattened_reviews")
+
+
+def test_a_rule_need_not_name_the_fields_it_reads(spark):
+    rows = [(i, x) for i, x in enumerate(['{"comment":{"rating":1,"reviewTitle":"a"}}', '{"reviewTitle":""}', '{"comment":{"rating":1}}', "[1]", '{"reviewTitle":0.5}'])]
+    df = spark.createDataFrame(rows, "i int, value string").select(F.lit("f").alias("file"), F.struct("i").alias("ord"), "value")
+    for policy in (records.LENIENT, records.STRICT):
+        one, two = ([tuple(r) for r in records.check_lines(df, policy, rules=[records.Rule("title", lambda rec: ~js.truthy(rec["reviewTitle"]), reads=reads)])
+                     .orderBy("ord").select("errors", "is_valid", F.to_json("r_reviewTitle")).collect()] for reads in ((), ("reviewTitle",)))
+        assert one == two and one[0][1] is True and one[2][0] == ["title"]
+
+
+def test_a_comment_that_is_no_object(spark):
+    lines = ['{"comment":null}', '{"comment":"x"}', '{"comment":[1]}', '{"comment":7}', '{"a":1}', "null", "[1]", '"a"', '1,{"§":{}}', '1] x', "{} {}"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string").select(F.lit("f").alias("file"), F.struct("i").alias("ord"), "value")
+    got = {p: [r["_pre"] for r in records.check_lines(df, p, rules=[]).orderBy("ord").select(F.get("errors", F.lit(0)).alias("_pre")).collect()]
+           for p in (records.LENIENT, records.STRICT)}
+    bad, none = [records.MSG_PARSE] * 3, records.MSG_STRICT_NO_COMMENT
+    assert got[records.LENIENT] == [records.MSG_COMMENT_NULL, None, None, None, None, records.MSG_NULL_RECORD, None, None, *bad]
+    assert got[records.STRICT] == [none, None, None, None, none, records.MSG_STRICT_NULL, none, none, *bad]
+
+
+def test_few_and_many_items_are_compacted_alike(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, None), (3, "b", "b")], "i int, x string, y string")
+    few = [F.col("x"), F.lit(None).cast("string"), F.col("y")]
+    many = few + [F.lit(None).cast("string")] * js.FEW_ITEMS
+    for items in (few, many):
+        assert [r["got"] for r in js.compact_fence(df, "got", items).orderBy("i").collect()] == [["a"], [], ["b", "b"]]
+
+
+def test_a_value_is_taken_from_its_variant_once(spark):
+    """Spark builds a cast for each value taken, and a generator takes it as often as its expressions name it."""
+    checked = records.check_lines(bridge.review_lines(spark, "/root/testdata/sf0.001")).filter("is_valid")
+    plan = store.hotel_rows(checked)._jdf.queryExecution().optimizedPlan().toString()
+    for field, kind in (("hotelId", "DoubleType"), ("_score", "DoubleType"), ("platform", "StringType")):
+        name = field if field[0] == "_" else f"r_{field}"
+        assert len(re.findall(rf"variant_get\({name}#\d+, \$, {kind}, (?:true|false)", plan)) <= (2 if kind == "StringType" else 1), (field, plan[:500])
+
+
+def test_rows_are_dealt_by_their_keys(spark):
+    """Round-robin dealing sorts all rows of a task first; keys that tell rows apart need no sort."""
+    lines = bridge.review_source(spark, "/root/testdata/sf0.01")
+    assert "RepartitionByExpression [l_orderkey" in lines._jdf.queryExecution().optimizedPlan().toString()
+    sizes = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == bridge.TASKS_A_CORE * spark.sparkContext.defaultParallelism and max(sizes) < 1.3 * sum(sizes) / len(sizes)
